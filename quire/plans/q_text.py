@@ -1 +1,71 @@
-"""Queries (filled in below)."""
+"""Queries: text cleaning."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from quire.functions import text as TX
+from quire.plans import oracle as O
+from quire.plans.catalog import register
+from quire.plans.fixtures import corpus
+from quire.sources.tables import table
+
+
+@register("ocr_substitute", sql=f"SELECT doc_id, {O.ocr_substitute('text')} AS text FROM documents")
+def ocr_substitute(spark, sf_dir):
+    """T2."""
+    return corpus(spark, sf_dir).select("doc_id", TX.ocr_substitute("text").alias("text"))
+
+
+@register("noise_strip", sql=f"SELECT doc_id, {O.noise_strip(O.ocr_substitute('text'))} AS text FROM documents")
+def noise_strip(spark, sf_dir):
+    """T2 -> T3..T5."""
+    return corpus(spark, sf_dir).select("doc_id", TX.noise_strip(TX.ocr_substitute("text")).alias("text"))
+
+
+@register("fix_spacing", sql=f"SELECT doc_id, {O.fix_spacing('text')} AS text FROM documents")
+def fix_spacing(spark, sf_dir):
+    """T7 + T8 on raw text (ASCII-class rules)."""
+    return corpus(spark, sf_dir).select("doc_id", TX.fix_spacing("text").alias("text"))
+
+
+@register("clean_text", sql=f"SELECT doc_id, {O.clean_text('text')} AS text FROM documents")
+def clean_text(spark, sf_dir):
+    """The full cleaning chain over every document."""
+    return corpus(spark, sf_dir).select("doc_id", TX.clean_text("text").alias("text"))
+
+
+@register("clean_text_pages", sql=f"SELECT page_id, {O.clean_text('html')} AS text FROM pages")
+def clean_text_pages(spark, sf_dir):
+    """T10 over raw web pages (markup is noise to the OCR rules too)."""
+    p = table(spark, sf_dir, "pages")
+    return p.select("page_id", TX.clean_text("html").alias("text"))
+
+
+@register("accent_fold", sql="SELECT doc_id, strip_accents(text) AS text FROM documents")
+def accent_fold(spark, sf_dir):
+    """T6 on its own: diacritics removed, everything else kept."""
+    return corpus(spark, sf_dir).select("doc_id", TX.accent_fold("text").alias("text"))
+
+
+@register("advanced_cleanup", sql=f"SELECT doc_id, {O.line_cleanup(O.clean_text('text'))} AS text FROM documents")
+def advanced_cleanup(spark, sf_dir):
+    """Clean, then line rules and short-line removal."""
+    return corpus(spark, sf_dir).select("doc_id", TX.advanced_cleanup("text").alias("text"))
+
+
+@register("classifier_normalize", sql=f"SELECT doc_id, {O.classifier_normalize('text')} AS text FROM documents")
+def classifier_normalize(spark, sf_dir):
+    """T15."""
+    return corpus(spark, sf_dir).select("doc_id", TX.classifier_normalize("text").alias("text"))
+
+
+@register("text_lengths", sql="""
+SELECT doc_id, CAST(length(coalesce(text, '')) AS BIGINT) AS n_chars,
+       CAST(length(regexp_replace(text, '[^\\p{L}\\p{N}]', '', 'g')) AS BIGINT) AS n_alnum
+FROM documents""")
+def text_lengths(spark, sf_dir):
+    """T16 + T17: character length and Unicode alphanumeric count."""
+    d = corpus(spark, sf_dir)
+    return d.select("doc_id", TX.char_length("text").cast("bigint").alias("n_chars"),
+                    TX.alnum_count("text").cast("bigint").alias("n_alnum"))
