@@ -1 +1,178 @@
-"""Queries (filled in below)."""
+"""Queries: segmentation, vocabulary, sequences."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from quire.functions import keywords as KW
+from quire.functions import segment as SG
+from quire.operators import vocab as V
+from quire.plans import oracle as O
+from quire.plans.catalog import register
+from quire.plans.fixtures import corpus
+
+SEP = " || "
+
+
+def _sql_sentences(e: str) -> str:
+    return (f"string_split(regexp_replace({e}, {O.q(KW.SENTENCE_BOUNDARY)}, {O.q(chr(92) + '1' + KW.SENT_MARK)}, 'g'), "
+            f"{O.q(KW.SENT_MARK)})")
+
+
+@register("sentences", sql=f"""
+WITH s AS (SELECT doc_id, {_sql_sentences('text')} AS s FROM documents)
+SELECT doc_id, CAST(len(s) AS INTEGER) AS n_sentences, array_to_string(s, {O.q(SEP)}) AS sentences FROM s
+""")
+def sentences(spark, sf_dir):
+    """K1 on whole documents."""
+    d = corpus(spark, sf_dir).select("doc_id", KW.sentences("text").alias("s"))
+    return d.select("doc_id", F.size("s").alias("n_sentences"), F.array_join("s", SEP).alias("sentences"))
+
+
+def _sql_words(s: str) -> str:
+    toks = f"string_split_regex({O.strip_ws(f'lower({s})')}, '\\s+')"
+    return (f"list_filter(list_transform({toks}, lambda t: regexp_replace(t, {O.q(SG.EDGE_PUNCT)}, '', 'g')), "
+            f"lambda t: t <> '')")
+
+
+def _sql_markers(s: str) -> str:
+    items = ", ".join(f"CASE WHEN regexp_matches(lower({s}), {O.q(p)}) THEN {O.q(m)} END" for m, p in SG.MARKER_RULES)
+    return f"list_filter([{items}], lambda x: x IS NOT NULL)"
+
+
+def _sql_segment(text: str) -> str:
+    sents = _sql_sentences(O.classifier_normalize(text))
+    per = f"list_transform({sents}, lambda s: list_concat({_sql_words('s')}, {_sql_markers('s')}))"
+    kept = f"list_filter({per}, lambda w: len(w) > 0)"
+    return (f"CASE WHEN {text} IS NULL THEN [['']] WHEN len({kept}) = 0 THEN [['{SG.EMPTY_DOC}']] "
+            f"ELSE {kept} END")
+
+
+def _render_sql(e: str) -> str:
+    return f"array_to_string(list_transform({e}, lambda s: array_to_string(s, ' ')), {O.q(SEP)})"
+
+
+def _render(c):
+    return F.array_join(F.transform(c, lambda s: F.array_join(s, " ")), SEP)
+
+
+@register("han_segment", sql=f"SELECT doc_id, {_render_sql(_sql_segment('text'))} AS segments FROM documents")
+def han_segment(spark, sf_dir):
+    """K1-K4 + T15: words per sentence with structure markers."""
+    d = corpus(spark, sf_dir)
+    return d.select("doc_id", _render(SG.segment("text")).alias("segments"))
+
+
+@register("doc_markers", sql=f"""
+WITH s AS (SELECT doc_id, {_sql_sentences(O.classifier_normalize('text'))} AS s FROM documents)
+SELECT doc_id, {", ".join(
+    f"CAST(len(list_filter(s, lambda x: regexp_matches(lower(x), {O.q(p)}))) AS INTEGER) AS {m.lower()}"
+    for m, p in SG.MARKER_RULES)}
+FROM s
+""")
+def doc_markers(spark, sf_dir):
+    """K3: sentences per document carrying each structural marker."""
+    d = corpus(spark, sf_dir).select("doc_id", KW.sentences(SG.classifier_normalize("text")).alias("s"))
+
+    def matching(p):
+        return F.size(F.filter("s", lambda x: F.lower(x).rlike(p)))
+
+    return d.select("doc_id", *[matching(p).alias(m.lower()) for m, p in SG.MARKER_RULES])
+
+
+# --- hierarchical sequences ---------------------------------------------------------
+
+def lowered_segments(spark, sf_dir):
+    d = corpus(spark, sf_dir)
+    segs = F.transform(SG.segment("text"), lambda s: F.transform(s, lambda w: F.lower(w)))
+    return d.select("doc_id", segs.alias("segs"))
+
+
+HAN_SQL = f"""
+WITH seg AS (SELECT doc_id, list_transform({_sql_segment('text')}, lambda s: list_transform(s, lambda w: lower(w))) AS segs
+             FROM documents),
+sw AS (SELECT doc_id, unnest(segs) AS s, generate_subscripts(segs, 1) AS si FROM seg),
+ww AS (SELECT doc_id, si, unnest(s) AS w, generate_subscripts(s, 1) AS wi FROM sw),
+voc AS (SELECT w, row_number() OVER (ORDER BY n DESC, fd, fs, fw) AS idx
+        FROM (SELECT w, count(*) AS n, arg_min(doc_id, [doc_id, si, wi]) AS fd, arg_min(si, [doc_id, si, wi]) AS fs,
+                     arg_min(wi, [doc_id, si, wi]) AS fw FROM ww GROUP BY w)),
+enc AS (SELECT ww.doc_id, ww.si, list(voc.idx ORDER BY ww.wi) AS ids
+        FROM ww JOIN voc ON ww.w = voc.w WHERE voc.idx < {V.NUM_WORDS} AND ww.si <= {V.MAX_SENTENCES}
+        GROUP BY ww.doc_id, ww.si),
+grid AS (SELECT seg.doc_id, r.si,
+                coalesce(enc.ids[1:{V.MAX_SENTENCE_LENGTH}], []) AS ids
+         FROM seg CROSS JOIN range(1, {V.MAX_SENTENCES + 1}) r(si)
+         LEFT JOIN enc ON enc.doc_id = seg.doc_id AND enc.si = r.si),
+padded AS (SELECT doc_id, si, array_to_string(list_concat(ids, list_transform(range({V.MAX_SENTENCE_LENGTH} - len(ids)), lambda x: 0)), ',') AS row_
+           FROM grid)
+SELECT doc_id, string_agg(row_, '|' ORDER BY si) AS grid FROM padded GROUP BY doc_id
+"""
+
+
+@register("han_sequences", sql=HAN_SQL)
+def han_sequences(spark, sf_dir):
+    """K8 + O2 + W2: 15 x 50 id grid over a vocabulary ranked by frequency."""
+    segs = lowered_segments(spark, sf_dir)
+    vocab = V.rank_vocabulary(segs.select("doc_id", F.flatten("segs").alias("w")), "doc_id", "w", 1)
+    grid = V.encode_hierarchical(segs, "doc_id", "segs", vocab)
+    return grid.select("doc_id", F.array_join(F.transform("grid", lambda r: F.array_join(r, ",")), "|").alias("grid"))
+
+
+# --- flat tokens ----------------------------------------------------------------------
+
+FLAT_TOKENS_SQL = (f"list_filter(string_split(translate(lower(coalesce(text, '')), {O.q(SG.TOKEN_FILTERS)}, "
+                   f"{O.q(' ' * len(SG.TOKEN_FILTERS))}), ' '), lambda x: x <> '')")
+VOCAB_SQL = f"""
+t AS (SELECT doc_id, {FLAT_TOKENS_SQL} AS toks FROM documents),
+e AS (SELECT doc_id, unnest(toks) AS word, generate_subscripts(toks, 1) AS pos FROM t),
+c AS (SELECT word, count(*) AS n, arg_min(doc_id, [doc_id, pos]) AS fd, arg_min(pos, [doc_id, pos]) AS fp
+      FROM e GROUP BY word),
+voc AS (SELECT word, n, row_number() OVER (ORDER BY n DESC, fd, fp) + 1 AS idx FROM c)
+"""
+
+
+def flat_tokens(spark, sf_dir):
+    return corpus(spark, sf_dir).select("doc_id", SG.flat_tokens("text").alias("toks"))
+
+
+def flat_vocab(spark, sf_dir):
+    return V.rank_vocabulary(flat_tokens(spark, sf_dir), "doc_id", "toks", first_index=2)
+
+
+@register("vocab", sql=f"WITH {VOCAB_SQL} SELECT word, n, idx FROM voc")
+def vocab(spark, sf_dir):
+    """A15 + W2 + K5: flat tokenizer vocabulary (OOV holds id 1)."""
+    return flat_vocab(spark, sf_dir)
+
+
+@register("vocab_size", sql=f"WITH {VOCAB_SQL} SELECT count(*) AS n_words, count(*) + 2 AS vocab_size FROM voc")
+def vocab_size(spark, sf_dir):
+    """Index size + 1 (the index includes the OOV token)."""
+    return V.vocabulary_size(flat_vocab(spark, sf_dir))
+
+
+@register("encode_tokens", sql=f"""WITH {VOCAB_SQL},
+enc AS (SELECT e.doc_id, list(CASE WHEN voc.idx < {V.NUM_WORDS} THEN voc.idx ELSE {V.OOV_INDEX} END ORDER BY e.pos) AS ids
+        FROM e JOIN voc ON e.word = voc.word GROUP BY e.doc_id)
+SELECT t.doc_id, coalesce(array_to_string(enc.ids, ','), '') AS ids FROM t LEFT JOIN enc ON t.doc_id = enc.doc_id
+""")
+def encode_tokens(spark, sf_dir):
+    """K6: every token of every document to its id (over-cap -> OOV)."""
+    toks = flat_tokens(spark, sf_dir)
+    enc = V.encode_flat(toks, "doc_id", "toks", flat_vocab(spark, sf_dir), maxlen=None)
+    return enc.select("doc_id", F.array_join("ids", ",").alias("ids"))
+
+
+@register("pad_sequences", sql=f"""WITH {VOCAB_SQL},
+enc AS (SELECT e.doc_id, list(CASE WHEN voc.idx < {V.NUM_WORDS} THEN voc.idx ELSE {V.OOV_INDEX} END ORDER BY e.pos) AS ids
+        FROM e JOIN voc ON e.word = voc.word GROUP BY e.doc_id),
+l AS (SELECT t.doc_id, coalesce(CASE WHEN len(enc.ids) > {V.FLAT_MAXLEN} THEN enc.ids[-{V.FLAT_MAXLEN}:] ELSE enc.ids END, [])
+             AS ids FROM t LEFT JOIN enc ON t.doc_id = enc.doc_id)
+SELECT doc_id, array_to_string(list_concat(ids, list_transform(range({V.FLAT_MAXLEN} - len(ids)), lambda x: 0)), ',') AS ids
+FROM l
+""")
+def pad_sequences(spark, sf_dir):
+    """K7 + O3: last 250 ids, zero-padded after."""
+    toks = flat_tokens(spark, sf_dir)
+    enc = V.encode_flat(toks, "doc_id", "toks", flat_vocab(spark, sf_dir))
+    return enc.select("doc_id", F.array_join("ids", ",").alias("ids"))
