@@ -69,3 +69,39 @@ def text_lengths(spark, sf_dir):
     d = corpus(spark, sf_dir)
     return d.select("doc_id", TX.char_length("text").cast("bigint").alias("n_chars"),
                     TX.alnum_count("text").cast("bigint").alias("n_alnum"))
+
+
+# --- spelling pass (J8) ---------------------------------------------------------
+
+from quire.functions import extract as _X  # noqa: E402
+from quire.operators import spell as SPL  # noqa: E402
+
+_DICT_SQL = f"""
+dict AS (SELECT term, count(*) AS cnt
+         FROM (SELECT unnest(string_split_regex(lower({O.clean_text('text')}), '\\s+')) AS term FROM benchmark)
+         WHERE regexp_matches(term, '{SPL.WORD}') GROUP BY term)"""
+
+
+@register("spell_correct", sql=f"""
+WITH {_DICT_SQL},
+c AS (SELECT conv_id, turn, {O.line_cleanup(O.clean_text('text'))} AS t FROM conversations),
+e AS (SELECT conv_id, turn, t, regexp_extract(t, {O.q(_X.ORG_RULE)}, 1) AS org FROM c),
+occ AS (SELECT conv_id, turn, org, unnest(string_split_regex(t, '\\s+')) AS tok,
+               generate_subscripts(string_split_regex(t, '\\s+'), 1) AS pos FROM e),
+o2 AS (SELECT *, org <> '' AND list_contains(string_split_regex(org, '\\s+'), tok) AS exempt FROM occ WHERE tok <> ''),
+ut AS (SELECT DISTINCT tok FROM o2 WHERE NOT exempt AND tok NOT IN (SELECT term FROM dict)),
+cand AS (SELECT tok, term, cnt, levenshtein(tok, term) AS d FROM ut JOIN dict
+         ON abs(length(tok) - length(term)) <= {SPL.MAX_EDIT} WHERE levenshtein(tok, term) <= {SPL.MAX_EDIT}),
+best AS (SELECT tok, arg_min(term, {{'d': d, 'c': -cnt, 't': term}}) AS term FROM cand GROUP BY tok),
+w AS (SELECT o2.conv_id, o2.turn, o2.pos, CASE WHEN exempt THEN o2.tok ELSE coalesce(best.term, o2.tok) END AS w
+      FROM o2 LEFT JOIN best ON o2.tok = best.tok),
+agg AS (SELECT conv_id, turn, string_agg(w, ' ' ORDER BY pos) AS text FROM w GROUP BY conv_id, turn)
+SELECT c.conv_id, c.turn, coalesce(agg.text, '') AS text
+FROM c LEFT JOIN agg ON c.conv_id = agg.conv_id AND c.turn = agg.turn
+""")
+def spell_correct(spark, sf_dir):
+    """T11 + J8 + U3: advanced cleanup of every conversation turn, then the
+    dictionary pass (dictionary = word counts of the cleaned benchmark texts)."""
+    conv = table(spark, sf_dir, "conversations").select("conv_id", "turn", TX.advanced_cleanup("text").alias("text"))
+    dictionary = SPL.dictionary_from_text(table(spark, sf_dir, "benchmark"))
+    return SPL.correct(conv, ["conv_id", "turn"], "text", dictionary)
