@@ -1 +1,101 @@
-"""Queries (filled in below)."""
+"""Queries: file sources and sinks (S1-S10, S12), checked on row counts.
+
+They stage derived files under the shared checkpoint folder, then read them
+back the way a user's folders would be read.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from quire.functions import scalars as S
+from quire.operators import annotations as A
+from quire.operators import corpus as C
+from quire.plans.catalog import register
+from quire.plans.fixtures import corpus
+from quire.plans.q_annotations import built
+from quire.sources import files as FS
+from quire.sources.tables import table
+
+
+@register("table_to_text", sql="""
+WITH r AS (SELECT s_nationkey, s_suppkey,
+                  concat_ws(' ', coalesce(CAST(s_suppkey AS VARCHAR), ''), coalesce(s_name, ''),
+                            coalesce(CAST(s_nationkey AS VARCHAR), ''), coalesce(CAST(s_acctbal AS VARCHAR), '')) AS r
+           FROM supplier)
+SELECT 'suppliers_' || CAST(s_nationkey AS VARCHAR) || '.xlsx' AS file, string_agg(r, ' ' ORDER BY s_suppkey) AS text
+FROM r GROUP BY s_nationkey
+""")
+def table_to_text(spark, sf_dir):
+    """One spreadsheet per nation of supplier rows, as text."""
+    s = table(spark, sf_dir, "supplier").withColumn(
+        "file", F.concat(F.lit("suppliers_"), F.col("s_nationkey").cast("string"), F.lit(".xlsx")))
+    return FS.table_to_text(s, "file", "s_suppkey", ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"])
+
+
+def _stage_documents(spark, sf_dir):
+    """Documents written as text files, one folder per language."""
+    path = FS.staging_dir(spark, "docs")
+    corpus(spark, sf_dir).select("lang", "text").write.mode("overwrite").partitionBy("lang").text(path)
+    langs = [r[0] for r in corpus(spark, sf_dir).select("lang").distinct().collect()]  # a handful of folders
+    return path, [f"{path}/lang={x}" for x in sorted(langs)]
+
+
+@register("ingest_folder")
+def ingest_folder(spark, sf_dir):
+    """S1 + S2 + S3 + T10: labelled folders -> cleaned corpus rows (text files)."""
+    _, folders = _stage_documents(spark, sf_dir)
+    files = FS.scan_folders(spark, folders)
+    rows, _ = FS.ingest(files)
+    idx = C.label_index(rows, "label_name")
+    return C.with_label(rows, "label_name", idx).select("id", "filename", "text", "label", "timestamp")
+
+
+@register("file_metadata")
+def file_metadata(spark, sf_dir):
+    """S12 + D2-D6 over the driver's own table folder (listing only)."""
+    files = FS.scan_folder(spark, sf_dir, with_content=False)
+    return FS.file_metadata(files)
+
+
+@register("csv_roundtrip")
+def csv_roundtrip(spark, sf_dir):
+    """S7 + S4: corpus written as CSV (multi-line texts quoted) and read back
+    with an explicit schema."""
+    path = FS.staging_dir(spark, "csv")
+    d = corpus(spark, sf_dir).select(F.col("id"), F.col("filename"), F.col("text"),
+                                     F.lit(None).cast("int").alias("label"),
+                                     F.lit("2024-01-01 00:00:00").alias("timestamp"))
+    FS.write_csv(d, path)
+    return FS.read_csv(spark, path, FS.CORPUS_SCHEMA)
+
+
+@register("class_index_file")
+def class_index_file(spark, sf_dir):
+    """S9 + S10: class index written as text lines and parsed back."""
+    path = FS.staging_dir(spark, "classes")
+    idx = C.label_index(corpus(spark, sf_dir), "source")
+    FS.write_class_index(C.class_index_lines(idx), path)
+    return C.parse_class_index(FS.read_class_index(spark, path))
+
+
+@register("coco_read")
+def coco_read(spark, sf_dir):
+    """S8 + S6: annotation set written as JSON lines (image + its annotations)
+    and read back with an explicit schema, then flattened."""
+    path = FS.staging_dir(spark, "coco")
+    images, anns = built(spark, sf_dir)
+    A.nested_lines(images, anns).write.mode("overwrite").json(path)
+    line_schema = A.IMAGE_TYPE.add("annotations", A.COCO_SCHEMA["annotations"].dataType)
+    back = spark.read.schema(line_schema).json(path)
+    return back.select(F.col("id").alias("image_id"), "file_name", F.posexplode("annotations").alias("ann_pos", "a")) \
+        .select("image_id", "file_name", "ann_pos", "a.id", "a.category_id", "a.text")
+
+
+@register("route_files")
+def route_files(spark, sf_dir):
+    """S2 + P6 on a real listing: every file of the staged corpus and the table folder."""
+    path, folders = _stage_documents(spark, sf_dir)
+    files = FS.scan_folders(spark, folders + [sf_dir], with_content=False)
+    return files.select(S.base_name("path").alias("filename"), S.extension("path").alias("ext"),
+                        S.route(S.extension("path")).alias("route"), S.allowed_file(S.base_name("path")).alias("allowed"))
