@@ -1 +1,130 @@
-"""Queries (filled in below)."""
+"""Queries: training, tuning, scoring, explanation, field presence, batch
+classify-then-extract (M1-M9, A10, O4, P8, P11, S13, J9).  Rows-only checks:
+model fits have no SQL oracle."""
+
+from __future__ import annotations
+
+from pyspark.ml import PipelineModel
+from pyspark.sql import functions as F
+
+from quire.functions import extract as X
+from quire.functions import scalars as S
+from quire.functions import text as TX
+from quire.operators import annotations as A
+from quire.operators import models as M
+from quire.operators import results as RS
+from quire.operators import splits as SP
+from quire.plans.catalog import register
+from quire.plans.fixtures import corpus, invoice_text
+from quire.plans.q_annotations import wide
+from quire.sources import files as FS
+
+SEED = 42
+
+
+def _split_corpus(spark, sf_dir):
+    d = corpus(spark, sf_dir).select("doc_id", "id", "text", F.col("lang").alias("label"))
+    return SP.stratified_split(d, "label", "id", train=0.8, test=0.1, validation=0.1, seed=SEED)
+
+
+def _fit(spark, sf_dir):
+    s = _split_corpus(spark, sf_dir)
+    model = M.train(s.filter(F.col("split") == "train"))
+    return model, s
+
+
+@register("train_classifier")
+def train_classifier(spark, sf_dir):
+    """M1: class-weighted classifier on the language label; test-split predictions."""
+    model, s = _fit(spark, sf_dir)
+    test = s.filter(F.col("split") == "test")
+    return M.predict(model, test).select("doc_id", "label", "predicted_label")
+
+
+@register("tune_classifier")
+def tune_classifier(spark, sf_dir):
+    """M2 + M3: validation-based choice over a small parameter grid."""
+    s = _split_corpus(spark, sf_dir).filter(F.col("split") != "test")
+    tvs, grid = M.tune(s, seed=SEED)
+    rows = [(float(p[[k for k in p if k.name == "regParam"][0]]), int(p[[k for k in p if k.name == "maxIter"][0]]),
+             float(m)) for p, m in zip(grid, tvs.validationMetrics)]
+    return spark.createDataFrame(rows, "reg_param double, max_iter int, validation_log_loss double")
+
+
+@register("evaluate_model")
+def evaluate_model(spark, sf_dir):
+    """M4 + A10: loss, accuracy and weighted F1 on the test split."""
+    model, s = _fit(spark, sf_dir)
+    return M.evaluate(model, s.filter(F.col("split") == "test"))
+
+
+@register("predict_class")
+def predict_class(spark, sf_dir):
+    """M5 + O4: every document's predicted original label and its probability."""
+    model, _ = _fit(spark, sf_dir)
+    p = M.predict(model, corpus(spark, sf_dir).select("doc_id", "text"))
+    return p.select("doc_id", "predicted_label", F.array_max("probabilities").alias("probability"))
+
+
+@register("explain_tokens")
+def explain_tokens(spark, sf_dir):
+    """M8 (re-aimed): top-5 tokens per test document toward its predicted class."""
+    model, s = _fit(spark, sf_dir)
+    return M.explain_tokens(spark, model, s.filter(F.col("split") == "test"), "doc_id")
+
+
+@register("model_roundtrip")
+def model_roundtrip(spark, sf_dir):
+    """Save the fitted pipeline, load it back, score the test split."""
+    model, s = _fit(spark, sf_dir)
+    path = FS.staging_dir(spark, "model")
+    model.write().overwrite().save(path)
+    back = PipelineModel.load(path)
+    return back.transform(s.filter(F.col("split") == "test")).select("doc_id", "predicted_label")
+
+
+def _presence_data(spark, sf_dir):
+    w = wide(spark, sf_dir)
+    flags = w.select("id", "text", *A.presence_flags(w))
+    names = SP.split_701515(flags.select("id"), "id", SEED)
+    return flags.join(names, "id")
+
+
+@register("train_presence")
+def train_presence(spark, sf_dir):
+    """M6: six binary presence outputs on shared text features; reports each
+    output's training-split positive share and fitted intercept."""
+    data = _presence_data(spark, sf_dir)
+    flags = [f"has_{f}" for f in X.FIELD_KEYS]
+    feats, models = M.train_presence(data.filter(F.col("split") == "train"), flags)
+    rows = [(f, float(m.intercept), int(m.numFeatures)) for f, m in models.items()]
+    return spark.createDataFrame(rows, "flag string, intercept double, n_features int")
+
+
+@register("presence_predict")
+def presence_predict(spark, sf_dir):
+    """M7 + P8 + J9: predicted flags for the test split, keyed by id."""
+    data = _presence_data(spark, sf_dir)
+    flags = [f"has_{f}" for f in X.FIELD_KEYS]
+    feats, models = M.train_presence(data.filter(F.col("split") == "train"), flags)
+    out = M.predict_presence(feats, models, data.filter(F.col("split") == "test"))
+    return out.select("id", *flags, *[f"predicted_{f}" for f in flags])
+
+
+@register("classify_then_extract")
+def classify_then_extract(spark, sf_dir):
+    """M9 + P11: one batch of invoices and other documents -> clean -> classify
+    -> fields only for documents classified as invoices -> result rows."""
+    inv = invoice_text(spark, sf_dir).select(
+        F.concat(F.lit("inv_"), F.col("o_orderkey").cast("string")).alias("id"), "text", F.lit("invoice").alias("label"))
+    docs = corpus(spark, sf_dir).select(F.concat(F.lit("doc_"), F.col("id")).alias("id"), "text",
+                                        F.col("lang").alias("label"))
+    batch = inv.unionByName(docs).withColumn("text", TX.clean_text("text"))
+    s = SP.stratified_split(batch, "label", "id", train=0.8, test=0.1, validation=0.1, seed=SEED)
+    model = M.train(s.filter(F.col("split") == "train"))
+    scored = M.predict(model, batch.select("id", "text"))
+    is_invoice = F.lower(F.col("predicted_label")) == "invoice"
+    fields = F.when(is_invoice, F.map_from_arrays(F.array(*[F.lit(f) for f in X.FIELD_KEYS]),
+                                                   F.array(*[X.extract_field(F.col("text"), f) for f in X.FIELD_KEYS])))
+    return scored.select("id", S.display_class(F.col("predicted_label")).alias("classification"),
+                         RS.render_fields(fields).alias("invoice_fields"))
