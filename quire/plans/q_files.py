@@ -99,3 +99,17 @@ def route_files(spark, sf_dir):
     files = FS.scan_folders(spark, folders + [sf_dir], with_content=False)
     return files.select(S.base_name("path").alias("filename"), S.extension("path").alias("ext"),
                         S.route(S.extension("path")).alias("route"), S.allowed_file(S.base_name("path")).alias("allowed"))
+
+
+@register("stream_ingest")
+def stream_ingest(spark, sf_dir):
+    """``documents.parquet`` as a file stream into a corpus that already
+    holds the even documents; returns the corpus after the stream drained."""
+    from quire.streaming.ingest import start_ingest, to_corpus_rows
+    corpus_path = FS.staging_dir(spark, "stream-corpus")
+    ckpt = FS.staging_dir(spark, "stream-ckpt")
+    docs = table(spark, sf_dir, "documents")
+    to_corpus_rows(docs.filter(F.col("doc_id") % 2 == 0)).write.mode("overwrite").parquet(corpus_path)
+    q = start_ingest(spark, sf_dir, docs.schema, corpus_path, ckpt, glob="documents.parquet")
+    q.awaitTermination()
+    return spark.read.parquet(corpus_path)

@@ -11,8 +11,21 @@ TABLES = (
 )
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+# Row-heavy tables whose per-row work (regex, tokenising) dominates.
+WIDE_ROW_TABLES = ("documents", "pages", "conversations", "orders", "lineitem", "events", "benchmark")
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin the rows over the cluster when the scan yields fewer
+    partitions than there are cores (e.g. one large unsplittable row group).
+    A scan that is already wide is left alone: no extra shuffle at scale."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = True) -> DataFrame:
     """Parquet tables carry their schema, so nothing is inferred here."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if spread_rows and name in WIDE_ROW_TABLES else df
