@@ -115,7 +115,7 @@ def explain_tokens(spark: SparkSession, model: PipelineModel, df: DataFrame, key
     predicted class: contribution = tf x idf x class coefficient."""
     vocab, coef = model_tables(spark, model)
     scored = model.transform(df).select(key, "tokens", F.col("prediction").cast("int").alias("class"))
-    tf = scored.select(key, "class", F.explode("tokens").alias("word")).groupBy(key, "class", "word") \
+    tf = scored.select(key, "class", F.explode_outer("tokens").alias("word")).filter(F.col("word").isNotNull()).groupBy(key, "class", "word") \
         .agg(F.count(F.lit(1)).alias("tf"))
     j = tf.join(F.broadcast(vocab), "word").join(F.broadcast(coef), ["class", "term"])
     j = j.withColumn("contribution", F.col("tf") * F.col("idf") * F.col("coef"))

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from quire.functions.extract import ORG_RULE
 from quire.functions.text import clean_text, col_of
+from quire.session import reliable_checkpoint
 
 MAX_EDIT = 2
 PREFIX = 7
@@ -46,7 +47,7 @@ def delete_keys(word) -> Column:
 def dictionary_from_text(df: DataFrame, text: str = "text", min_count: int = 1) -> DataFrame:
     """A frequency dictionary ``term, cnt``: lower-cased words (``[a-z]+``) of
     the cleaned text."""
-    words = df.select(F.explode(F.split(F.lower(clean_text(text)), r"\s+")).alias("term"))
+    words = df.select(F.explode_outer(F.split(F.lower(clean_text(text)), r"\s+")).alias("term"))
     d = words.filter(F.col("term").rlike(WORD)).groupBy("term").agg(F.count(F.lit(1)).alias("cnt"))
     return d.filter(F.col("cnt") >= min_count)
 
@@ -59,8 +60,8 @@ def best_terms(tokens: DataFrame, dictionary: DataFrame, token: str = "token") -
     exact = toks.join(d.select(F.col("term").alias("token")), "token", "left_semi") \
         .select("token", F.col("token").alias("term"), F.lit(0).alias("distance"))
     rest = toks.join(d.select(F.col("term").alias("token")), "token", "left_anti")
-    tk = rest.select("token", F.explode(delete_keys("token")).alias("key"))
-    dk = d.select("term", "cnt", F.explode(delete_keys("term")).alias("key"))
+    tk = rest.select("token", F.explode_outer(delete_keys("token")).alias("key"))
+    dk = d.select("term", "cnt", F.explode_outer(delete_keys("term")).alias("key"))
     cand = tk.join(dk, "key").select("token", "term", "cnt").distinct()
     cand = cand.filter(F.abs(F.length("token") - F.length("term")) <= MAX_EDIT)
     cand = cand.withColumn("distance", F.levenshtein("token", "term", MAX_EDIT)).filter(F.col("distance") >= 0)
@@ -79,9 +80,11 @@ def entity_tokens(text) -> Column:
 def correct(df: DataFrame, key: list[str], text: str, dictionary: DataFrame) -> DataFrame:
     """J8 applied to whole texts: whitespace tokens corrected in place, joined
     by one space.  ``text`` is the cleaned, line-joined text (T11 before J8)."""
-    base = df.select(*key, F.col(text).alias("_t"), entity_tokens(F.col(text)).alias("_ents"))
-    occ = base.select(*key, "_ents", F.posexplode(F.split(F.col("_t"), r"\s+")).alias("_p", "token")) \
-        .filter(F.col("token") != "")
+    # the cleaned text feeds two branches (distinct tokens, occurrences):
+    # materialise it once in the shared checkpoint folder
+    base = reliable_checkpoint(df.select(*key, F.col(text).alias("_t"), entity_tokens(F.col(text)).alias("_ents")))
+    occ = base.select(*key, "_ents", F.posexplode_outer(F.split(F.col("_t"), r"\s+")).alias("_p", "token")) \
+        .filter(F.col("_p").isNotNull() & (F.col("token") != ""))
     exempt = F.array_contains("_ents", F.col("token"))
     to_fix = occ.filter(~exempt)
     best = best_terms(to_fix, dictionary)

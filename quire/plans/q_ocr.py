@@ -43,7 +43,7 @@ def ocr_words(spark, sf_dir):
     """Word boxes of every document: whitespace-split words with a line number,
     an x position that is not in reading order, and a confidence, all from
     fixed arithmetic on the word position."""
-    d = corpus(spark, sf_dir).select("doc_id", F.posexplode(F.split("text", " ")).alias("pos", "text"))
+    d = corpus(spark, sf_dir).select("doc_id", F.posexplode_outer(F.split("text", " ")).alias("pos", "text")).filter(F.col("pos").isNotNull())
     return d.select("doc_id", "pos", "text",
                     (F.floor(F.col("pos") / WORDS_PER_LINE) + 1).alias("line_num"),
                     ((F.col("pos") * 7) % WORDS_PER_LINE * 50).alias("left"),
