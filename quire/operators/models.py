@@ -16,6 +16,7 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import IDF, CountVectorizer, IndexToString, RegexTokenizer, StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -39,7 +40,7 @@ def with_class_weights(df: DataFrame, label: str = "label") -> DataFrame:
     return df.join(F.broadcast(w), label, "left")
 
 
-def classifier(label: str = "label", text: str = "text", max_iter: int = 50, reg: float = 0.01,
+def classifier(label: str = "label", text: str = "text", max_iter: int = 30, reg: float = 0.01,
                weighted: bool = True) -> Pipeline:
     """M1: label index -> tokens -> tf -> idf -> weighted logistic regression."""
     lr = LogisticRegression(featuresCol="features", labelCol="label_idx", maxIter=max_iter, regParam=reg,
@@ -49,18 +50,34 @@ def classifier(label: str = "label", text: str = "text", max_iter: int = 50, reg
     return Pipeline(stages=[indexer, *feature_stages(text), lr])
 
 
-def train(df: DataFrame, label: str = "label", text: str = "text", max_iter: int = 50, reg: float = 0.01,
+def train(df: DataFrame, label: str = "label", text: str = "text", max_iter: int = 30, reg: float = 0.01,
           weighted: bool = True) -> PipelineModel:
-    """M1: fit on ``df`` and append the index -> original label stage (M5)."""
+    """M1: fit on ``df`` and append the index -> original label stage (M5).
+
+    Stages are fitted one by one over a persisted, tokenised copy of the
+    training rows (dropped again once the fit is done), so the split lineage
+    and the tokeniser run once instead of once per stage."""
     data = df.withColumn(label, F.col(label).cast("string"))
     if weighted:
         data = with_class_weights(data, label)
-    fitted = classifier(label, text, max_iter, reg, weighted).fit(data)
+    tok, cv_est, idf_est = feature_stages(text)
+    indexer = StringIndexer(inputCol=label, outputCol="label_idx", stringOrderType="alphabetAsc",
+                            handleInvalid="error")
+    prepared = tok.transform(data).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        indexer_model = indexer.fit(prepared)
+        cv = cv_est.fit(prepared)
+        tf = cv.transform(indexer_model.transform(prepared))
+        idf = idf_est.fit(tf)
+        lr = LogisticRegression(featuresCol="features", labelCol="label_idx", maxIter=max_iter, regParam=reg,
+                                family="multinomial", weightCol="weight" if weighted else None)
+        lr_model = lr.fit(idf.transform(tf))
+    finally:
+        prepared.unpersist()
     # scoring tables may hold labels unseen in training: index them past the end
-    fitted.stages[0].setHandleInvalid("keep")
-    labels = fitted.stages[0].labels
-    back = IndexToString(inputCol="prediction", outputCol="predicted_label", labels=labels)
-    return PipelineModel(stages=[*fitted.stages, back])
+    indexer_model.setHandleInvalid("keep")
+    back = IndexToString(inputCol="prediction", outputCol="predicted_label", labels=indexer_model.labels)
+    return PipelineModel(stages=[indexer_model, tok, cv, idf, lr_model, back])
 
 
 def tune(df: DataFrame, label: str = "label", text: str = "text", regs=(0.0, 0.01), iters=(50,),
