@@ -96,8 +96,9 @@ def tune(df: DataFrame, label: str = "label", text: str = "text", regs=(0.0, 0.0
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
     """M5 + O4: predicted original label and the class probabilities; the
     input key columns are carried through (no positional alignment, J9)."""
-    out = model.transform(df)
-    return out.withColumn("probabilities", vector_to_array("probability"))
+    out = model.transform(df).withColumn("probabilities", vector_to_array("probability"))
+    # O4 spelled out: 0-based position of the largest probability
+    return out.withColumn("argmax", F.array_position("probabilities", F.array_max("probabilities")) - 1)
 
 
 def evaluate(model: PipelineModel, df: DataFrame, label: str = "label") -> DataFrame:

@@ -116,3 +116,33 @@ def table_to_text(df: DataFrame, file_key: str, order_col: str, cols: list[str])
     rows = df.select(file_key, F.col(order_col).alias("_o"), row_text.alias("_r"))
     g = rows.groupBy(file_key).agg(F.sort_array(F.collect_list(F.struct("_o", "_r"))).alias("_rs"))
     return g.select(file_key, F.array_join(F.transform("_rs", lambda x: x["_r"]), " ").alias("text"))
+
+
+WRITE_MODES = ("append", "overwrite", "production")
+
+
+def write_corpus(spark: SparkSession, rows: DataFrame, path: str, mode: str = "append",
+                 key: str = "id") -> DataFrame:
+    """``append`` adds rows whose key is not stored yet (incoming copies
+    of each other are all kept); ``overwrite`` replaces the stored corpus;
+    ``production`` writes nothing.  Returns the rows that were (or would be)
+    written."""
+    if mode not in WRITE_MODES:
+        raise ValueError(f"mode must be one of {WRITE_MODES}")
+    if mode == "production":
+        return rows
+    if mode == "overwrite":
+        rows.write.mode("overwrite").parquet(path)
+        return rows
+    try:
+        stored = spark.read.parquet(path).select(key)
+    except Exception as e:  # noqa: BLE001 - nothing stored yet
+        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
+            raise
+        stored = None
+    new = rows if stored is None else rows.join(stored, key, "left_anti")
+    # materialise before writing into the folder the anti join reads from
+    from quire.session import reliable_checkpoint
+    new = reliable_checkpoint(new)
+    new.write.mode("append").parquet(path)
+    return new

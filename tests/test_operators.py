@@ -156,3 +156,28 @@ def test_reports(spark):
     q = R.exact_quantiles(spark.createDataFrame([(float(x),) for x in [1, 2, 3, 4]], "v double"), "v",
                           [0.25, 0.5]).first()
     assert q.q25 == 1.75 and q.q50 == 2.5
+
+
+def test_write_corpus_modes(spark, tmp_path):
+    from quire.sources.files import write_corpus
+    path = str(tmp_path / "corpus")
+    rows = spark.createDataFrame([("a", "x"), ("b", "y")], "id string, text string")
+    assert write_corpus(spark, rows, path, "production").count() == 2
+    assert write_corpus(spark, rows, path, "append").count() == 2
+    again = spark.createDataFrame([("b", "y"), ("c", "z"), ("c", "z")], "id string, text string")
+    assert write_corpus(spark, again, path, "append").count() == 2
+    assert spark.read.parquet(path).count() == 4
+    write_corpus(spark, rows, path, "overwrite")
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_unseen_label_reported(spark):
+    from quire.operators import models as M
+    train = spark.createDataFrame([(f"alpha beta {i}", "a") for i in range(20)] +
+                                  [(f"gamma delta {i}", "b") for i in range(20)], "text string, label string")
+    m = M.train(train, max_iter=10)
+    test = spark.createDataFrame([("alpha beta", "a"), ("gamma", "b"), ("new words", "zzz")], "text string, label string")
+    metrics = {r.metric: r.value for r in M.evaluate(m, test).collect()}
+    assert metrics["unseen_label_rows"] == 1.0 and metrics["accuracy"] == 1.0
+    p = M.predict(m, test).select("predicted_label", "argmax").collect()
+    assert [r.predicted_label for r in p][:2] == ["a", "b"]
