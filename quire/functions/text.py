@@ -153,13 +153,20 @@ def alnum_ascii_len(c) -> Column:
     return F.length(F.regexp_replace(col_of(c), "[^a-zA-Z0-9]", ""))
 
 
-def line_cleanup(cleaned) -> Column:
+def line_cleanup(cleaned, newline_free: bool = False) -> Column:
     """T11 without the spelling pass: split the cleaned text into lines (on
-    ``.``, since cleaning removed every newline), clean each line, drop lines
-    with fewer than 3 ASCII alphanumerics, join by one space."""
+    newlines when there are any, else on ``.``), clean each line, drop lines
+    with fewer than 3 ASCII alphanumerics, join by one space.
+
+    ``newline_free=True`` states that the input holds no newline (true of
+    ``clean_text`` output, Q11), so only the ``.`` split is planned and the
+    input expression is referenced once."""
     cleaned = col_of(cleaned)
-    has_nl = F.instr(cleaned, "\n") > 0
-    lines = F.when(has_nl, F.split(cleaned, "\n")).otherwise(F.split(cleaned, r"\."))
+    if newline_free:
+        lines = F.split(cleaned, r"\.")
+    else:
+        has_nl = F.instr(cleaned, "\n") > 0
+        lines = F.when(has_nl, F.split(cleaned, "\n")).otherwise(F.split(cleaned, r"\."))
     kept = F.filter(F.transform(lines, _clean_line), lambda x: alnum_ascii_len(x) >= 3)
     return strip_ws(F.regexp_replace(F.array_join(kept, " "), r"\s{2,}", " "))
 
@@ -167,7 +174,7 @@ def line_cleanup(cleaned) -> Column:
 def advanced_cleanup(c, normalize: bool = True) -> Column:
     """T11 (T10 then T12..T14).  The dictionary pass (J8) is a join, see
     ``quire.operators.spell``."""
-    return line_cleanup(clean_text(c, normalize=normalize))
+    return line_cleanup(clean_text(c, normalize=normalize), newline_free=True)
 
 
 # --- small scalars -----------------------------------------------------------

@@ -87,7 +87,9 @@ def correct(df: DataFrame, key: list[str], text: str, dictionary: DataFrame) ->
         .filter(F.col("_p").isNotNull() & (F.col("token") != ""))
     exempt = F.array_contains("_ents", F.col("token"))
     to_fix = occ.filter(~exempt)
-    best = best_terms(to_fix, dictionary)
+    # only tokens that change are joined back: usually a small table, so the
+    # occurrences (hot tokens included) are not shuffled by token
+    best = best_terms(to_fix, dictionary).filter(F.col("term") != F.col("token")).select("token", "term")
     fixed = occ.join(best, "token", "left").select(
         *key, "_p", F.when(exempt, F.col("token")).otherwise(F.coalesce("term", "token")).alias("w"))
     regrouped = fixed.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("_p", "w"))).alias("_ws"))

@@ -10,6 +10,7 @@ from quire.operators import vocab as V
 from quire.plans import oracle as O
 from quire.plans.catalog import register
 from quire.plans.fixtures import corpus
+from quire.session import reliable_checkpoint
 
 SEP = " || "
 
@@ -83,9 +84,11 @@ def doc_markers(spark, sf_dir):
 # --- hierarchical sequences ---------------------------------------------------------
 
 def lowered_segments(spark, sf_dir):
+    """Segmented documents, materialised once: the vocabulary and the encoding
+    both read them, and segmentation is the expensive part."""
     d = corpus(spark, sf_dir)
     segs = F.transform(SG.segment("text"), lambda s: F.transform(s, lambda w: F.lower(w)))
-    return d.select("doc_id", segs.alias("segs"))
+    return reliable_checkpoint(d.select("doc_id", segs.alias("segs")))
 
 
 HAN_SQL = f"""

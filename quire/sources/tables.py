@@ -19,8 +19,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin the rows over the cluster when the scan yields fewer
     partitions than there are cores (e.g. one large unsplittable row group).
     A scan that is already wide is left alone: no extra shuffle at scale."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - sessions without RDD access: leave the scan as is
+        return df
+    return df.repartition(target) if current < target else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = True) -> DataFrame:
