@@ -83,7 +83,7 @@ SELECT o_orderkey, {_kw_sql(_sql_keyword_sentence)} FROM t
 def keyword_sentence(spark, sf_dir):
     """X12 (+K1): sentence holding the first found keyword, per field."""
     inv = invoice_text(spark, sf_dir)
-    return inv.select("o_orderkey", *KW.extract_fields_from_text("text"))
+    return KW.keyword_fields(inv, "text", ["o_orderkey"])
 
 
 @register("keyword_sentence_docs", sql=f"""
@@ -93,4 +93,4 @@ SELECT doc_id, {_kw_sql(_sql_keyword_sentence)} FROM t
 def keyword_sentence_docs(spark, sf_dir):
     """X12 over the multilingual corpus (whole texts)."""
     d = corpus(spark, sf_dir)
-    return d.select("doc_id", *KW.extract_fields_from_text("text"))
+    return KW.keyword_fields(d, "text", ["doc_id"])
