@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter for correctness or scale (not for a particular box).
@@ -64,6 +65,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def reliable_checkpoint(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` into the shared checkpoint folder and cut its lineage."""
+    """Materialise ``df`` into the shared checkpoint folder and cut its lineage.
+
+    A reliable checkpoint writes its files in a second job over the same
+    plan, so the rows are persisted for the duration of the call: the plan is
+    computed once, then written, then the cache is dropped."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist()
