@@ -113,3 +113,16 @@ def stream_ingest(spark, sf_dir):
     q = start_ingest(spark, sf_dir, docs.schema, corpus_path, ckpt, glob="documents.parquet")
     q.awaitTermination()
     return spark.read.parquet(corpus_path)
+
+
+@register("corpus_write")
+def corpus_write(spark, sf_dir):
+    """S11 with a stored corpus: write the even documents (overwrite), append
+    the whole batch in content-hash mode (only unseen ids are added), then read
+    the stored corpus back."""
+    from quire.operators.corpus import hash_ids
+    path = FS.staging_dir(spark, "corpus")
+    d = corpus(spark, sf_dir).select("filename", "text", F.lower("lang").alias("label_name"))
+    FS.write_corpus(spark, hash_ids(d.filter(F.col("filename").rlike(r"_[0-9]*[02468]\.txt$"))), path, "overwrite")
+    FS.write_corpus(spark, hash_ids(d), path, "append")
+    return spark.read.parquet(path)

@@ -181,3 +181,9 @@ def test_unseen_label_reported(spark):
     assert metrics["unseen_label_rows"] == 1.0 and metrics["accuracy"] == 1.0
     p = M.predict(m, test).select("predicted_label", "argmax").collect()
     assert [r.predicted_label for r in p][:2] == ["a", "b"]
+
+
+def test_decode_drops_bad_bytes(spark):
+    from quire.sources.files import decode_text
+    df = spark.createDataFrame([(bytearray(b"ab\xffc\xc3\xa9"),)], "b binary")
+    assert df.select(decode_text("b")).first()[0] == "abcé"
