@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from quire.functions import scalars as S
 from quire.functions import text as TX
+from quire.session import broadcast_if_small
 
 
 def label_index(df: DataFrame, name_col: str = "label_name", lower: bool = True) -> DataFrame:
@@ -25,7 +26,7 @@ def label_index(df: DataFrame, name_col: str = "label_name", lower: bool = True)
 def with_label(df: DataFrame, name_col: str, index: DataFrame) -> DataFrame:
     """Attach the dense label; the index has one row per class, so it is broadcast."""
     keyed = df.withColumn("label_name", F.lower(F.col(name_col)))
-    return keyed.join(F.broadcast(index), "label_name", "left")
+    return keyed.join(broadcast_if_small(index), "label_name", "left")
 
 
 def class_index_lines(index: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.operators.indexing import global_index
+from quire.session import broadcast_if_small
 
 
 def _one(df: DataFrame) -> DataFrame:
@@ -66,7 +67,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], group: str |
     ranks = want.select(g, (F.col("_start") + F.col("lo")).alias("_r")).union(
         want.select(g, (F.col("_start") + F.col("hi")).alias("_r"))).distinct()
     # at most 2 x probs x classes rows
-    picked = ranked.join(F.broadcast(ranks), [g, "_r"], "left_semi").select(g, "_r", "_v")
+    picked = ranked.join(broadcast_if_small(ranks), [g, "_r"], "left_semi").select(g, "_r", "_v")
     lo = picked.select(g, F.col("_r").alias("_rl"), F.col("_v").alias("_vl"))
     hi = picked.select(g, F.col("_r").alias("_rh"), F.col("_v").alias("_vh"))
     w = want.withColumn("_rl", F.col("_start") + F.col("lo")).withColumn("_rh", F.col("_start") + F.col("hi"))
@@ -92,7 +93,7 @@ def five_numbers_by_class(df: DataFrame, value: str, label: str = "label") -> Da
     behind a box plot): whiskers reach the furthest value inside the fences."""
     q = exact_quantiles(df, value, [0.25, 0.5, 0.75], label)
     v = df.select(label, F.col(value).cast("double").alias("_v"))
-    j = v.join(F.broadcast(q), label)
+    j = v.join(broadcast_if_small(q), label)
     iqr = F.col("q75") - F.col("q25")
     lo_f, hi_f = F.col("q25") - 1.5 * iqr, F.col("q75") + 1.5 * iqr
     agg = j.groupBy(label, "q25", "q50", "q75").agg(

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.operators.indexing import global_index
+from quire.session import broadcast_if_small
 
 SPLITS = ("train", "validation", "test")
 
@@ -33,7 +34,7 @@ def check_fractions(*fractions: float) -> None:
 def _with_cut_labels(df: DataFrame, cuts: DataFrame, part_cols: list[str], key: str) -> DataFrame:
     """``cuts``: per part-key rows ``(c1_h, c1_id, c2_h, c2_id)`` = first row of
     the second and third bucket (null when the bucket is empty)."""
-    joined = df.join(F.broadcast(cuts), part_cols, "left") if part_cols else \
+    joined = df.join(broadcast_if_small(cuts), part_cols, "left") if part_cols else \
         df.withColumn("_one", F.lit(1)).join(F.broadcast(cuts.withColumn("_one", F.lit(1))), "_one").drop("_one")
     pos = F.struct(F.col("_h"), F.col(key).cast("string"))
     c1 = F.struct(F.col("c1_h"), F.col("c1_id"))
@@ -99,7 +100,7 @@ def stratified_split(df: DataFrame, label: str = "label", key: str = "id", train
 
     narrow = df.select(F.col(label), seeded_order(key, seed).alias("_h"), F.col(key).cast("string").alias("_k"))
     ranked = global_index(narrow, [label, "_h", "_k"], "_r")
-    r = ranked.join(F.broadcast(q.select(label, "_start", "_qt", "_qv")), label)
+    r = ranked.join(broadcast_if_small(q.select(label, "_start", "_qt", "_qv")), label)
     in_class = F.col("_r") - F.col("_start")
     cuts = r.groupBy(label).agg(
         F.max(F.when(in_class == F.col("_qt"), F.col("_h"))).alias("c1_h"),

@@ -12,6 +12,7 @@ import tempfile
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Settings that matter for correctness or scale (not for a particular box).
 SESSION_DEFAULTS = {
@@ -76,3 +77,18 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
         return cached.checkpoint(eager=True)
     finally:
         cached.unpersist()
+
+
+# Per-class / per-group side tables at most this many rows are broadcast.
+BROADCAST_MAX_ROWS = 200_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast a side table (one row per class, per group ...) only after
+    checking its size; above the bound it stays a normal (shuffle) join side.
+
+    The table is persisted before counting so the check does not compute it a
+    second time; such tables are small by nature (that is what is checked)."""
+    small = df.persist(StorageLevel.MEMORY_AND_DISK)
+    n = small.count()
+    return F.broadcast(small) if n <= max_rows else small
