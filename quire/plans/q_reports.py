@@ -38,7 +38,7 @@ def class_share(spark, sf_dir):
 
 @register("class_weights", sql=f"""
 WITH l AS ({LABELLED_SQL}), c AS (SELECT label, count(*) AS n FROM l GROUP BY label)
-SELECT label, row_number() OVER (ORDER BY label) - 1 AS class_index, n,
+SELECT label, CAST(row_number() OVER (ORDER BY label) - 1 AS INTEGER) AS class_index, n,
        sum(n) OVER () / (count(*) OVER () * n) AS weight
 FROM c
 """)
