@@ -60,9 +60,13 @@ def best_terms(tokens: DataFrame, dictionary: DataFrame, token: str = "token") -
     exact = toks.join(d.select(F.col("term").alias("token")), "token", "left_semi") \
         .select("token", F.col("token").alias("term"), F.lit(0).alias("distance"))
     rest = toks.join(d.select(F.col("term").alias("token")), "token", "left_anti")
-    tk = rest.select("token", F.explode_outer(delete_keys("token")).alias("key"))
-    dk = d.select("term", "cnt", F.explode_outer(delete_keys("term")).alias("key"))
-    cand = tk.join(dk, "key").select("token", "term", "cnt").distinct()
+    # join on (delete key, token length): each term is listed under the token
+    # lengths it can be within MAX_EDIT of, so a short, common key does not pair
+    # every token with every term that shares it
+    tk = rest.select("token", F.length("token").alias("tlen"), F.explode_outer(delete_keys("token")).alias("key"))
+    dk = d.select("term", "cnt", F.explode_outer(delete_keys("term")).alias("key"),
+                  F.explode(F.sequence(F.length("term") - MAX_EDIT, F.length("term") + MAX_EDIT)).alias("tlen"))
+    cand = tk.join(dk, ["key", "tlen"]).select("token", "term", "cnt").distinct()
     cand = cand.filter(F.abs(F.length("token") - F.length("term")) <= MAX_EDIT)
     cand = cand.withColumn("distance", F.levenshtein("token", "term", MAX_EDIT)).filter(F.col("distance") >= 0)
     best = cand.groupBy("token").agg(
