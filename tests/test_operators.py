@@ -187,3 +187,16 @@ def test_decode_drops_bad_bytes(spark):
     from quire.sources.files import decode_text
     df = spark.createDataFrame([(bytearray(b"ab\xffc\xc3\xa9"),)], "b binary")
     assert df.select(decode_text("b")).first()[0] == "abcé"
+
+
+def test_global_index_with_hot_value(spark):
+    # a third of the rows share one value: ties are broken by the unique key and
+    # the range partitioner spreads the hot value over several partitions
+    df = spark.range(0, 9000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("v"),
+                                     F.col("id"))
+    out = global_index(df, ["v", "id"], "i", num_partitions=6)
+    rows = out.orderBy("i").collect()
+    assert [r.i for r in rows] == list(range(9000))
+    assert [(r.v, r.id) for r in rows] == sorted((r.v, r.id) for r in rows)
+    per_part = out.groupBy(F.spark_partition_id()).count().collect()
+    assert len(per_part) > 1
