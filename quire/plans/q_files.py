@@ -53,8 +53,10 @@ def ingest_folder(spark, sf_dir):
 
 @register("file_metadata")
 def file_metadata(spark, sf_dir):
-    """S12 + D2-D6 over the driver's own table folder (listing only)."""
-    files = FS.scan_folder(spark, sf_dir, with_content=False)
+    """S12 + D2-D6 from the listing only: the corpus staged as text files (its
+    file count and sizes grow with the documents) and the table folder."""
+    _, folders = _stage_documents(spark, sf_dir)
+    files = FS.scan_folders(spark, folders + [sf_dir], with_content=False)
     return FS.file_metadata(files)
 
 
