@@ -128,7 +128,7 @@ def class_display(spark, sf_dir):
 
 # --- label index, class index -------------------------------------------------
 
-@register("class_index", sql="""
+CLASS_INDEX_SQL = """
 WITH n AS (SELECT DISTINCT lower(source) AS label_name FROM documents),
 i AS (SELECT label_name, CAST(dense_rank() OVER (ORDER BY label_name) - 1 AS INTEGER) AS label FROM n),
 l AS (SELECT CAST(label AS VARCHAR) || ' ' || label_name AS value FROM i)
@@ -137,7 +137,10 @@ SELECT CAST(split_part(value, ' ', 1) AS INTEGER) AS class_id,
        upper(substring(substring(value, strpos(value, ' ') + 1), 1, 1))
          || lower(substring(substring(value, strpos(value, ' ') + 1), 2)) AS display
 FROM l
-""")
+"""
+
+
+@register("class_index", sql=CLASS_INDEX_SQL)
 def class_index(spark, sf_dir):
     """W6 + S9 + S10 + O1: folder names -> class ids -> index lines -> parsed back."""
     d = corpus(spark, sf_dir)
@@ -262,6 +265,15 @@ def corpus_append(spark, sf_dir):
     return existing.unionByName(new)
 
 
+HASH_CORPUS_SQL = f"""
+WITH ex AS (SELECT md5(text) AS id, filename, text, label_name FROM ({_APPEND_EXISTING})),
+inc AS (SELECT filename, {O.clean_text('text')} AS text, lower(lang) AS label_name FROM ({O.CORPUS}))
+SELECT * FROM ex
+UNION ALL
+SELECT md5(text) AS id, filename, text, label_name FROM inc WHERE NOT EXISTS (SELECT 1 FROM ex WHERE ex.id = md5(inc.text))
+"""
+
+
 @register("corpus_append_hash", sql=f"""
 WITH ex AS (SELECT md5(text) AS id, filename, text, label_name, 'existing' AS origin
             FROM ({_APPEND_EXISTING})),

@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 from quire.functions import scalars as S
 from quire.operators import annotations as A
 from quire.operators import corpus as C
+from quire.plans import oracle as O
 from quire.plans.catalog import register
+from quire.plans.q_annotations import BUILD_SQL
+from quire.plans.q_corpus import CLASS_INDEX_SQL, HASH_CORPUS_SQL, LABELLED_SQL, labelled_corpus
 from quire.plans.fixtures import corpus
 from quire.plans.q_annotations import built
 from quire.sources import files as FS
@@ -60,19 +63,20 @@ def file_metadata(spark, sf_dir):
     return FS.file_metadata(files)
 
 
-@register("csv_roundtrip")
+@register("csv_roundtrip", sql=f"""
+SELECT id, filename, text, label, '2024-01-01 00:00:00' AS timestamp FROM ({LABELLED_SQL})
+""")
 def csv_roundtrip(spark, sf_dir):
     """S7 + S4: corpus written as CSV (multi-line texts quoted) and read back
     with an explicit schema."""
     path = FS.staging_dir(spark, "csv")
-    d = corpus(spark, sf_dir).select(F.col("id"), F.col("filename"), F.col("text"),
-                                     F.lit(None).cast("int").alias("label"),
-                                     F.lit("2024-01-01 00:00:00").alias("timestamp"))
+    d = labelled_corpus(spark, sf_dir).select("id", "filename", "text", F.col("label").cast("int"),
+                                              F.lit("2024-01-01 00:00:00").alias("timestamp"))
     FS.write_csv(d, path)
     return FS.read_csv(spark, path, FS.CORPUS_SCHEMA)
 
 
-@register("class_index_file")
+@register("class_index_file", sql=CLASS_INDEX_SQL)
 def class_index_file(spark, sf_dir):
     """S9 + S10: class index written as text lines and parsed back."""
     path = FS.staging_dir(spark, "classes")
@@ -81,7 +85,11 @@ def class_index_file(spark, sf_dir):
     return C.parse_class_index(FS.read_class_index(spark, path))
 
 
-@register("coco_read")
+@register("coco_read", sql=BUILD_SQL + """
+SELECT ann.image_id, img.file_name, CAST(row_number() OVER (PARTITION BY ann.image_id ORDER BY ann.id) - 1 AS INTEGER) AS ann_pos,
+       ann.id, ann.category_id, ann.text
+FROM ann JOIN img ON ann.image_id = img.image_id
+""")
 def coco_read(spark, sf_dir):
     """S8 + S6: annotation set written as JSON lines (image + its annotations)
     and read back with an explicit schema, then flattened."""
@@ -103,7 +111,7 @@ def route_files(spark, sf_dir):
                         S.route(S.extension("path")).alias("route"), S.allowed_file(S.base_name("path")).alias("allowed"))
 
 
-@register("stream_ingest")
+@register("stream_ingest", sql=HASH_CORPUS_SQL)
 def stream_ingest(spark, sf_dir):
     """``documents.parquet`` as a file stream into a corpus that already
     holds the even documents; returns the corpus after the stream drained."""
@@ -114,10 +122,10 @@ def stream_ingest(spark, sf_dir):
     to_corpus_rows(docs.filter(F.col("doc_id") % 2 == 0)).write.mode("overwrite").parquet(corpus_path)
     q = start_ingest(spark, sf_dir, docs.schema, corpus_path, ckpt, glob="documents.parquet")
     q.awaitTermination()
-    return spark.read.parquet(corpus_path)
+    return spark.read.parquet(corpus_path).select("id", "filename", "text", "label_name")
 
 
-@register("corpus_write")
+@register("corpus_write", sql=HASH_CORPUS_SQL)
 def corpus_write(spark, sf_dir):
     """S11 with a stored corpus: write the even documents (overwrite), append
     the whole batch in content-hash mode (only unseen ids are added), then read
@@ -127,4 +135,4 @@ def corpus_write(spark, sf_dir):
     d = corpus(spark, sf_dir).select("filename", "text", F.lower("lang").alias("label_name"))
     FS.write_corpus(spark, hash_ids(d.filter(F.col("filename").rlike(r"_[0-9]*[02468]\.txt$"))), path, "overwrite")
     FS.write_corpus(spark, hash_ids(d), path, "append")
-    return spark.read.parquet(path)
+    return spark.read.parquet(path).select("id", "filename", "text", "label_name")
