@@ -145,7 +145,7 @@ def explain_tokens(spark: SparkSession, model: PipelineModel, df: DataFrame, key
 
 # --- field presence (M6, M7, P8) ------------------------------------------------------
 
-def train_presence(df: DataFrame, flags: list[str], text: str = "text", max_iter: int = 50):
+def train_presence(df: DataFrame, flags: list[str], text: str = "text", max_iter: int = 30):
     """M6: one shared feature pipeline, one binary logistic regression per flag."""
     feats = Pipeline(stages=feature_stages(text)).fit(df)
     data = feats.transform(df).select("features", *flags).persist()
