@@ -36,22 +36,38 @@ def table_to_text(spark, sf_dir):
     return FS.table_to_text(s, "file", "s_suppkey", ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"])
 
 
+STAGE_BUCKETS = 8
+
+
 def _stage_documents(spark, sf_dir):
-    """Documents written as text files, one folder per language."""
+    """Documents written as text files: one folder per language, one file per
+    (language, doc_id mod 8) bucket, rows in doc_id order (so each file's
+    content is reproducible)."""
     path = FS.staging_dir(spark, "docs")
-    corpus(spark, sf_dir).select("lang", "text").write.mode("overwrite").partitionBy("lang").text(path)
+    d = corpus(spark, sf_dir).select("lang", (F.col("doc_id") % STAGE_BUCKETS).alias("bucket"), "doc_id", "text")
+    (d.repartition("lang", "bucket").sortWithinPartitions("lang", "bucket", "doc_id")
+     .select("lang", "bucket", "text").write.mode("overwrite").partitionBy("lang", "bucket").text(path))
     langs = [r[0] for r in corpus(spark, sf_dir).select("lang").distinct().collect()]  # a handful of folders
     return path, [f"{path}/lang={x}" for x in sorted(langs)]
 
 
-@register("ingest_folder")
+@register("ingest_folder", sql=f"""
+WITH f AS (SELECT 'lang=' || lower(lang) AS label_name,
+                  string_agg(text || chr(10), '' ORDER BY doc_id) AS content
+           FROM documents GROUP BY lang, doc_id % {STAGE_BUCKETS}),
+r AS (SELECT label_name, {O.clean_text('content')} AS text FROM f),
+i AS (SELECT label_name, CAST(dense_rank() OVER (ORDER BY label_name) - 1 AS INTEGER) AS label
+      FROM (SELECT DISTINCT label_name FROM r))
+SELECT r.label_name, i.label, r.text FROM r JOIN i ON r.label_name = i.label_name
+""")
 def ingest_folder(spark, sf_dir):
-    """S1 + S2 + S3 + T10: labelled folders -> cleaned corpus rows (text files)."""
+    """S1 + S2 + S3 + T10: labelled folders of text files -> cleaned corpus rows
+    (file names and stamps are left out of the compared columns)."""
     _, folders = _stage_documents(spark, sf_dir)
     files = FS.scan_folders(spark, folders)
     rows, _ = FS.ingest(files)
     idx = C.label_index(rows, "label_name")
-    return C.with_label(rows, "label_name", idx).select("id", "filename", "text", "label", "timestamp")
+    return C.with_label(rows, "label_name", idx).select("label_name", "label", "text")
 
 
 @register("file_metadata")
