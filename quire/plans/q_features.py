@@ -60,8 +60,8 @@ def _render(c):
 @register("han_segment", sql=f"SELECT doc_id, {_render_sql(_sql_segment('text'))} AS segments FROM documents")
 def han_segment(spark, sf_dir):
     """K1-K4 + T15: words per sentence with structure markers."""
-    d = corpus(spark, sf_dir)
-    return d.select("doc_id", _render(SG.segment("text")).alias("segments"))
+    d = SG.with_segments(corpus(spark, sf_dir), "text", ["doc_id"])
+    return d.select("doc_id", _render(F.col("segs")).alias("segments"))
 
 
 @register("doc_markers", sql=f"""
@@ -86,8 +86,8 @@ def doc_markers(spark, sf_dir):
 def lowered_segments(spark, sf_dir):
     """Segmented documents, materialised once: the vocabulary and the encoding
     both read them, and segmentation is the expensive part."""
-    d = corpus(spark, sf_dir)
-    segs = F.transform(SG.segment("text"), lambda s: F.transform(s, lambda w: F.lower(w)))
+    d = SG.with_segments(corpus(spark, sf_dir), "text", ["doc_id"])
+    segs = F.transform("segs", lambda s: F.transform(s, lambda w: F.lower(w)))
     return reliable_checkpoint(d.select("doc_id", segs.alias("segs")))
 
 
