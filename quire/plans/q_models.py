@@ -128,3 +128,11 @@ def classify_then_extract(spark, sf_dir):
                                                    F.array(*[X.extract_field(F.col("text"), f) for f in X.FIELD_KEYS])))
     return scored.select("id", S.display_class(F.col("predicted_label")).alias("classification"),
                          RS.render_fields(fields).alias("invoice_fields"))
+
+
+@register("explain_sentences")
+def explain_sentences(spark, sf_dir):
+    """M8 at sentence level: top-3 sentences per test document toward its
+    predicted class."""
+    model, s = _fit(spark, sf_dir)
+    return M.explain_sentences(spark, model, s.filter(F.col("split") == "test"), "doc_id")
