@@ -51,7 +51,7 @@ def classifier(label: str = "label", text: str = "text", max_iter: int = 30, reg
     return Pipeline(stages=[indexer, *feature_stages(text), lr])
 
 
-def train(df: DataFrame, label: str = "label", text: str = "text", max_iter: int = 30, reg: float = 0.01,
+def train(df: DataFrame, label: str = "label", text: str = "text", max_iter: int = 20, reg: float = 0.01,
           weighted: bool = True) -> PipelineModel:
     """M1: fit on ``df`` and append the index -> original label stage (M5).
 
