@@ -200,3 +200,14 @@ def test_global_index_with_hot_value(spark):
     assert [(r.v, r.id) for r in rows] == sorted((r.v, r.id) for r in rows)
     per_part = out.groupBy(F.spark_partition_id()).count().collect()
     assert len(per_part) > 1
+
+
+def test_staged_forms_equal_column_forms(spark, sf001):
+    from quire.functions import keywords as KW
+    d = corpus(spark, sf001).select("doc_id", "text")
+    a = d.select("doc_id", SG.segment("text").alias("segs"))
+    b = SG.with_segments(d, "text", ["doc_id"])
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    k1 = d.select("doc_id", *KW.extract_fields_from_text("text"))
+    k2 = KW.keyword_fields(d, "text", ["doc_id"])
+    assert k1.exceptAll(k2).count() == 0 and k2.exceptAll(k1).count() == 0
