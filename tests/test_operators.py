@@ -211,3 +211,15 @@ def test_staged_forms_equal_column_forms(spark, sf001):
     k1 = d.select("doc_id", *KW.extract_fields_from_text("text"))
     k2 = KW.keyword_fields(d, "text", ["doc_id"])
     assert k1.exceptAll(k2).count() == 0 and k2.exceptAll(k1).count() == 0
+
+
+def test_single_document_round_trip(spark):
+    docs = spark.createDataFrame([("d1", "INV-1", "", "", "Acme", "", "")],
+                                 "id string, invoice_number string, invoice_date string, due_date string, "
+                                 "issuer_name string, recipient_name string, total_amount string")
+    images, anns = A.build(docs, "id")
+    doc = A.coco_document(spark, images, anns)
+    imgs, back, cats = A.explode_document(doc)
+    assert imgs.count() == 1 and back.count() == 2 and cats.count() == 6
+    with pytest.raises(ValueError):
+        A.coco_document(spark, images, anns, max_images=0)
