@@ -144,7 +144,7 @@ def _fragment(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     return nodes, sizes, counts, grams, among
 
 
-def _shared_counts(table: pa.Table) -> pa.Table:
+def _shared_counts(table):
     """Nodes that share n-grams in this fragment, and how many."""
     nodes, _, counts, _, among = _fragment(table)
     owner = np.repeat(np.arange(len(nodes)), counts)
@@ -153,7 +153,7 @@ def _shared_counts(table: pa.Table) -> pa.Table:
     return pa.table({"node": pa.array([nodes[i].tobytes() for i in has], pa.binary()), "shared": pa.array(shared[has], pa.int64())})
 
 
-def _segments(key, table: pa.Table) -> pa.Table:
+def _segments(key, table):
     """Per node: its n-grams of this fragment that other nodes have too."""
     nodes, sizes, counts, grams, among = _fragment(table)
     ends = np.cumsum(counts)

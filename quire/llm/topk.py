@@ -125,7 +125,7 @@ def _rows(bitmap: np.ndarray) -> np.ndarray:
 
 
 def _search(k: int):
-    def run(key, candidates: pa.Table, queries: pa.Table) -> pa.Table:
+    def run(key, candidates, queries):
         out = {"query_id": [], "vec_id": [], "score": []}
         if candidates.num_rows and queries.num_rows:
             dims = candidates.column("dims")[0].as_py()
