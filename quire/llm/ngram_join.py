@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.common import staged
-from quire.llm.words import mix, portions, words
+from quire.llm.words import Words, mix, portions
 
 N_WORDS = 5
 #: A link: 100 * intersection >= PERCENT * union.
@@ -57,8 +57,9 @@ _STEP = [np.uint64(x) for x in (0x9FB21C651E98DF25, 0xA24BAED4963EE407, 0xD6E8FE
 def ngram_sets(texts: list[str | None]) -> Iterator[np.ndarray]:
     """The sorted distinct n-gram hashes of each text."""
     for _, buffer, bounds in portions(texts):
-        starts, _, value = words(buffer)
-        first = np.searchsorted(starts, bounds)
+        words = Words(buffer)
+        value = words.hashes()
+        first = np.searchsorted(words.starts, bounds)
         grams = np.zeros(max(0, len(value) - N_WORDS + 1), np.uint64)
         for k, step in enumerate(_STEP):
             grams += value[k:k + len(grams)] * step

@@ -6,12 +6,12 @@ the share that the class prior says is positive, and kept from falling below
 zero: R = prior * R_p(+) + max(0, R_u(-) - prior * R_p(-)), with the sigmoid
 loss.  When the bracket is negative, the step goes against it instead.
 
-Words (runs without white space, A-Z lowered, punctuation stripped at the
-ends) are hashed into ``FEATURES`` buckets; a text has a bucket or not.  The
-fit takes at most ``MAX_POSITIVE`` and ``MAX_UNLABELLED`` texts, drawn by a
-hash of the text; buckets of the fit are chosen by counts over all training
-rows.  Scoring is one pass over all rows with the weights (fixed size)
-broadcast.
+Features are words (runs without white space, A-Z lowered, punctuation
+stripped at the ends) and their first bytes, hashed into ``FEATURES`` buckets;
+a text has a bucket or not.  The fit takes at most ``MAX_POSITIVE`` and
+``MAX_UNLABELLED`` texts, drawn by a hash of the text, and the buckets that
+stand out among the positives.  Scoring is one pass over all rows with the
+weights (a fixed number) broadcast.
 
 Edge cases: a null or empty text has no words and scores by the bias alone;
 texts of any length are read whole; null labels count as no label; repeated
@@ -29,20 +29,36 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.words import batch_words
+from quire.llm.common import staged
+from quire.llm.words import Words, portions
 
 FEATURES = 1 << 20
-#: Bounds of the fit's sample: texts, and distinct buckets kept for it.
-MAX_POSITIVE, MAX_UNLABELLED, MAX_KEPT = 4_000, 12_000, 20_000
-#: A bucket of the fit is in this many training texts at least.
-MIN_TEXTS = 3
-STEPS, BATCH, RATE, DECAY, SEED = 1_500, 512, 0.1, 1e-3, 7
-
-
-def buckets(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """(row, bucket) of every distinct bucket of every text, by row."""
-    hashes, rows = batch_words(texts, strip=True)
-    key = np.unique((rows << 32) | (hashes & np.uint64(FEATURES - 1)).astype(np.int64))
+#: Lengths in bytes of the word beginnings that are features beside the word.
+BEGINNINGS = (4, 5)
+#: Bounds of the fit's sample in texts, and of its buckets.
+MAX_POSITIVE, MAX_UNLABELLED, MAX_KEPT = 4_000, 12_000, 4_000
+#: A bucket of the fit is in this many positives, and this many standard errors above its rate in all texts.
+MIN_TEXTS, MIN_Z = 3, 5.0
+STEPS, RATE, DECAY = 600, 0.05, 1e-4
+
+
+def buckets(texts: list[str | None], wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(row, bucket) of every distinct bucket of every text, by row; with
+    ``wanted`` (a mask over buckets) of those alone."""
+    found = [np.empty(0, np.int64)]
+    for first, buffer, bounds in portions(texts):
+        words = Words(buffer, strip=True)
+        rows = first + np.searchsorted(bounds, words.starts, "right") - 1
+        size = words.ends - words.starts
+        for length in (None, *BEGINNINGS):
+            long = slice(None) if length is None else np.flatnonzero(size > length)
+            starts = words.starts[long]
+            hashes = words.hashes(starts, words.ends if length is None else starts + length)
+            # a beginning is another feature than the word of the same letters
+            column = ((hashes + np.uint64(length or 0)) & np.uint64(FEATURES - 1)).astype(np.int64)
+            key = (rows[long] << 32) | column
+            found.append(np.unique(key if wanted is None else key[wanted[column]]))
+    key = np.unique(np.concatenate(found))
     return key >> 32, key & 0xFFFFFFFF
 
 
@@ -52,54 +68,40 @@ class Model:
     bias: float
 
     def score(self, texts: list[str | None]) -> np.ndarray:
-        rows, columns = buckets(texts)
-        margin = np.bincount(rows, self.weight[columns], len(texts)) + self.bias
-        return 1.0 / (1.0 + np.exp(-np.clip(margin, -60, 60)))
+        rows, columns = buckets(texts, self.weight != 0)
+        return sigmoid(np.bincount(rows, self.weight[columns], len(texts)) + self.bias)
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -60, 60)))
 
 
-def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, steps: int = STEPS) -> Model:
-    """A linear model over the buckets that the texts hold (an array each)."""
+def fit(positive: list[list[int]], unlabelled: list[list[int]], prior: float, steps: int = STEPS) -> Model:
+    """A linear model over the buckets that the texts hold (a list each)."""
     weight = np.zeros(FEATURES, np.float64)
     if not positive or not unlabelled:
         return Model(weight, -60.0)
-    used, column = np.unique(np.concatenate(positive + unlabelled), return_inverse=True)
-    sizes = np.array([len(x) for x in positive + unlabelled])
-    ends = np.cumsum(sizes)
-    starts = ends - sizes
-    n_pos, n = len(positive), len(sizes)
-    rng = np.random.default_rng(SEED)
-    w, bias = np.zeros(len(used)), 0.0
-    mean_w, var_w, mean_b, var_b = np.zeros(len(used)), np.zeros(len(used)), 0.0, 0.0
-
-    def margins(rows):
-        cells = np.concatenate([column[starts[r]:ends[r]] for r in rows]) if len(rows) else np.empty(0, int)
-        owner = np.repeat(np.arange(len(rows)), sizes[rows])
-        return np.bincount(owner, w[cells], len(rows)) + bias, cells, owner
-
+    sides = [(np.repeat(np.arange(len(side)), [len(x) for x in side]), np.array([b for x in side for b in x], np.int64), len(side))
+             for side in (positive, unlabelled)]
+    used, column = np.unique(np.concatenate([b for _, b, _ in sides]), return_inverse=True)
+    split = len(sides[0][1])
+    cells = (column[:split], column[split:])
+    w = np.zeros(len(used) + 1)  # the last one is the bias
+    mean, square = np.zeros_like(w), np.zeros_like(w)
     for step in range(1, steps + 1):
-        p, cells_p, owner_p = margins(rng.integers(0, n_pos, BATCH // 2))
-        u, cells_u, owner_u = margins(rng.integers(n_pos, n, BATCH))
+        p, u = (np.bincount(owner, w[c], n) + w[-1] for (owner, _, n), c in zip(sides, cells, strict=True))
         # sigmoid loss of label y: sigmoid(-y * margin); its slope is -y * s * (1 - s)
         slope_p, slope_u = sigmoid(p) * sigmoid(-p) / len(p), sigmoid(u) * sigmoid(-u) / len(u)
         rest = sigmoid(u).mean() - prior * sigmoid(p).mean()
-        if rest >= 0:
-            g_p, g_u = -2 * prior * slope_p, slope_u
-        else:
-            g_p, g_u = prior * slope_p, -slope_u
-        gradient = (np.bincount(cells_p, g_p[owner_p], len(used)) + np.bincount(cells_u, g_u[owner_u], len(used))
-                    + DECAY * w / len(p))
-        g_bias = g_p.sum() + g_u.sum()
-        mean_w, var_w = 0.9 * mean_w + 0.1 * gradient, 0.999 * var_w + 0.001 * gradient ** 2
-        mean_b, var_b = 0.9 * mean_b + 0.1 * g_bias, 0.999 * var_b + 0.001 * g_bias ** 2
-        a, b = 1 - 0.9 ** step, 1 - 0.999 ** step
-        w -= RATE * (mean_w / a) / (np.sqrt(var_w / b) + 1e-8)
-        bias -= RATE * (mean_b / a) / (np.sqrt(var_b / b) + 1e-8)
-    weight[used] = w
-    return Model(weight, float(bias))
+        g_p, g_u = (-2 * prior * slope_p, slope_u) if rest >= 0 else (prior * slope_p, -slope_u)
+        gradient = DECAY * w
+        for (owner, _, _), c, g in zip(sides, cells, (g_p, g_u), strict=True):
+            gradient[:-1] += np.bincount(c, g[owner], len(used))
+            gradient[-1] += g.sum()
+        mean, square = 0.9 * mean + 0.1 * gradient, 0.999 * square + 0.001 * gradient ** 2
+        w -= RATE * (mean / (1 - 0.9 ** step)) / (np.sqrt(square / (1 - 0.999 ** step)) + 1e-8)
+    weight[used] = w[:-1]
+    return Model(weight, float(w[-1]))
 
 
 def _buckets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,38 +110,45 @@ def _buckets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, columns = buckets(texts)
         ends = np.cumsum(np.bincount(rows, minlength=len(texts)))
         lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(columns, pa.int32()))
-        yield pa.RecordBatch.from_arrays([batch.column("toxic"), batch.column("place"), lists],
-                                         names=["toxic", "place", "buckets"])
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("place", "positive", "unlabelled")), lists],
+                                         names=["place", "positive", "unlabelled", "buckets"])
 
 
 def train(docs: DataFrame, labels: DataFrame, may_learn, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic") -> Model:
     """``may_learn(id column)`` names the rows whose labels may be used.  Toxic
-    rows are the positives; all others are taken as unlabelled, and only the
-    prior (the share of toxic among labelled rows) uses the clean labels."""
+    rows among them are the positives; the unlabelled sample is drawn from all
+    rows without regard to labels; only the prior (the share of toxic among
+    labelled rows) uses the clean labels."""
     known = (labels.filter(F.col(label_col).isNotNull() & may_learn(F.col(id_col)))
-             .groupBy(F.col(id_col).alias("key")).agg(F.max(label_col).alias("toxic")))
+             .groupBy(F.col(id_col).alias("key")).agg(F.max(label_col).cast("int").alias("toxic")))
     prior = known.agg(F.avg("toxic").alias("p")).first()["p"] or 0.0
-    rows = (docs.filter(may_learn(F.col(id_col)) & (F.length(text_col) > 0))
-            .select(F.col(id_col).alias("key"), F.xxhash64(text_col).alias("place")))
-    # narrow rows decide the sample; one of equal texts, spread by the text's hash
-    drawn = (rows.join(known, "key", "left").groupBy("place")
-             .agg(F.min("key").alias("key"), F.max(F.coalesce("toxic", F.lit(0))).alias("toxic")))
-    picked = (drawn.filter("toxic = 1").orderBy("place").limit(MAX_POSITIVE)
-              .unionByName(drawn.filter("toxic = 0").orderBy("place").limit(MAX_UNLABELLED)))
-    texts = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text")).join(
-        F.broadcast(picked.select("key", "toxic", "place")), "key")  # at most the sample's bound
-    held = texts.dropDuplicates(["key"]).mapInArrow(_buckets_of, "toxic int, place bigint, buckets array<int>")
-    # buckets that few texts hold carry no more than one text's noise
-    kept = (held.select("toxic", F.explode("buckets").alias("b")).groupBy("b")
-            .agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("p"))
-            .filter(F.col("n") >= MIN_TEXTS).orderBy(F.desc("p"), "b").limit(MAX_KEPT))
-    keep = np.array([r["b"] for r in kept.select("b").collect()], np.int64)
-    sample = sorted(((r["toxic"], r["place"], r["buckets"]) for r in held.collect()), key=lambda x: (x[0], x[1]))
-    sides: dict[int, list[np.ndarray]] = {0: [], 1: []}
-    for toxic, _, found in sample:
-        sides[toxic].append(np.intersect1d(np.array(found, np.int64), keep))
-    return fit(sides[1], sides[0], prior)
+    rows = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text")).filter("length(text) > 0")
+    # narrow rows decide the sample: one of equal texts, in the order of the texts' hashes
+    texts = (rows.select("key", F.xxhash64("text").alias("place")).join(known, "key", "left").groupBy("place")
+             .agg(F.min("key").alias("first"), F.min(F.when(F.col("toxic") == 1, F.col("key"))).alias("toxic_key")))
+    positives = texts.filter("toxic_key IS NOT NULL").orderBy("place").limit(MAX_POSITIVE)
+    others = texts.orderBy("place").limit(MAX_UNLABELLED)
+    picked = (positives.select("place", F.col("toxic_key").alias("key"), F.lit(1).alias("positive"), F.lit(0).alias("unlabelled"))
+              .unionByName(others.select("place", F.coalesce("toxic_key", "first").alias("key"),
+                                         F.lit(0).alias("positive"), F.lit(1).alias("unlabelled")))
+              .groupBy("place").agg(F.max("key").alias("key"), F.max("positive").alias("positive"),
+                                    F.max("unlabelled").alias("unlabelled")))
+    held = staged(rows.join(F.broadcast(picked), "key").dropDuplicates(["place"])  # at most the sample's bound
+                  .mapInArrow(_buckets_of, "place bigint, positive int, unlabelled int, buckets array<int>"))
+    sizes = held.agg(F.sum("positive").alias("p"), F.sum("unlabelled").alias("u")).first()
+    if not sizes["p"] or not sizes["u"]:
+        return fit([], [], prior)
+    rate = (F.col("u") + 1) / F.lit(sizes["u"] + 2)
+    z = (F.col("p") / F.lit(sizes["p"]) - rate) / F.sqrt(rate * (1 - rate) / F.lit(sizes["p"]))
+    kept = (held.select("positive", "unlabelled", F.explode("buckets").alias("b")).groupBy("b")
+            .agg(F.sum("positive").alias("p"), F.sum("unlabelled").alias("u"))
+            .filter((F.col("p") >= MIN_TEXTS) & (z >= MIN_Z)).orderBy(z.desc(), "b").limit(MAX_KEPT))
+    keep = {r["b"] for r in kept.select("b").collect()}
+    wanted = F.array(*(F.lit(b) for b in sorted(keep))).cast("array<int>")
+    sample = sorted(held.select("place", "positive", "unlabelled", F.array_intersect("buckets", wanted).alias("b")).collect(),
+                    key=lambda r: r["place"])  # at most the sample's bound, few buckets each
+    return fit([r["b"] for r in sample if r["positive"]], [r["b"] for r in sample if r["unlabelled"]], prior)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

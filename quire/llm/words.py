@@ -43,21 +43,29 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[:n], _INVERSES[:n]
 
 
-def words(buffer: np.ndarray, strip: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, end, hash) of the words of ``buffer`` (lowered bytes)."""
-    space = _SPACE[buffer]
-    edge = np.flatnonzero(np.diff(np.concatenate([[True], space, [True]]).view(np.int8)))
-    starts, ends = edge[::2], edge[1::2]
-    if strip and len(starts):
-        plain = np.flatnonzero(~(_PUNCT | _SPACE)[buffer])
-        first, last = np.searchsorted(plain, starts), np.searchsorted(plain, ends) - 1
-        some = first <= last
-        starts, ends = plain[first[some]], plain[last[some]] + 1
-    powers, inverses = _powers(len(buffer) + 1)
-    sums = np.zeros(len(buffer) + 1, np.uint64)
-    np.cumsum((buffer.astype(np.uint64) + np.uint64(1)) * powers[:-1], out=sums[1:])
-    value = (sums[ends] - sums[starts]) * inverses[starts]
-    return starts, ends, mix(value + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+class Words:
+    """Bounds and hashes of the words of ``buffer`` (lowered bytes); with
+    ``strip``, punctuation at their ends is left out."""
+
+    def __init__(self, buffer: np.ndarray, strip: bool = False):
+        space = _SPACE[buffer]
+        edge = np.flatnonzero(np.diff(np.concatenate([[True], space, [True]]).view(np.int8)))
+        starts, ends = edge[::2], edge[1::2]
+        if strip and len(starts):
+            plain = np.flatnonzero(~(_PUNCT | _SPACE)[buffer])
+            first, last = np.searchsorted(plain, starts), np.searchsorted(plain, ends) - 1
+            some = first <= last
+            starts, ends = plain[first[some]], plain[last[some]] + 1
+        powers, self.inverses = _powers(len(buffer) + 1)
+        self.sums = np.zeros(len(buffer) + 1, np.uint64)
+        np.cumsum((buffer.astype(np.uint64) + np.uint64(1)) * powers[:-1], out=self.sums[1:])
+        self.starts, self.ends = starts, ends
+
+    def hashes(self, starts: np.ndarray | None = None, ends: np.ndarray | None = None) -> np.ndarray:
+        """Of the words, or of other stretches of the buffer."""
+        starts, ends = (self.starts if starts is None else starts), (self.ends if ends is None else ends)
+        value = (self.sums[ends] - self.sums[starts]) * self.inverses[starts]
+        return mix(value + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
 def lowered(text: str | None) -> bytes:
@@ -76,13 +84,3 @@ def portions(texts: list[str | None], size: int = 1 << 20):
             lengths = np.array([len(r) + 1 for r in run])
             yield at, np.frombuffer(b" ".join(run) + b" ", np.uint8), np.concatenate([[0], np.cumsum(lengths)])
             at, run, n = k + 1, [], 0
-
-
-def batch_words(texts: list[str | None], strip: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, row) of every word of every text."""
-    hashes, rows = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
-    for first, buffer, bounds in portions(texts):
-        starts, _, value = words(buffer, strip)
-        hashes.append(value)
-        rows.append(first + np.searchsorted(bounds, starts, "right") - 1)
-    return np.concatenate(hashes), np.concatenate(rows)
