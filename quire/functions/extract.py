@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quire.functions.text import col_of, strip_ws
+from quire.functions.text import col_of, strip_ws, unicode_classes
 
 # ---------------------------------------------------------------------------
 # Field names, category table and extraction rules must equal
@@ -65,11 +65,10 @@ HASH_ID_RULE = r"([A-Za-z0-9][\w\-]*\d[\w\-]*)"
 # ---------------------------------------------------------------------------
 
 # X8 re-aimed: the reference asks a trained entity recogniser for the first
-# organisation in the first 1,000 characters.  Here: the first run of
-# capitalised words ending in a company suffix.
-ORG_PREFIX_CHARS = 1000
-ORG_RULE = (r"(?:^|[^A-Za-z0-9])((?:[A-Z][A-Za-z0-9&\-]*[ ]+)+"
-            r"(?:Inc|LLC|Ltd|GmbH|Co|Corp|SA|SARL|AG|BV|PLC)\.?)(?:[^A-Za-z0-9]|$)")
+# organisation.  Here: the first run of capitalised words ending in a company
+# suffix, anywhere in the text.
+ORG_RULE = (r"(?:^|[^\p{L}\p{N}])((?:\p{Lu}[\p{L}\p{N}&\-]*[ ]+)+"
+            r"(?:Inc|LLC|Ltd|GmbH|Co|Corp|SA|SARL|AG|BV|PLC)\.?)(?:[^\p{L}\p{N}]|$)")
 NAME_FIELDS = ("issuer_name", "recipient_name")
 
 
@@ -78,22 +77,22 @@ def _nonempty(c: Column) -> Column:
 
 
 def rule_value(text: Column, rule: str, case_insensitive: bool = True) -> Column:
-    """Group 1 of the first match, stripped; null when the rule does not match."""
-    pattern = ("(?i)" if case_insensitive else "") + rule
+    """Group 1 of the first match, stripped; null when the rule does not match.
+    Words and spaces of a rule are those of any script."""
+    pattern = ("(?i)" if case_insensitive else "") + unicode_classes(rule)
     return _nonempty(strip_ws(F.regexp_extract(text, pattern, 1)))
 
 
 def hash_id_fallback(text: Column) -> Column:
     """Text after the first '#' up to the next one; first token with a digit."""
     after_hash = F.regexp_extract(text, r"^[^#]*#([^#]*)", 1)
-    found = F.regexp_extract(after_hash, HASH_ID_RULE, 1)
+    found = F.regexp_extract(after_hash, unicode_classes(HASH_ID_RULE), 1)
     return F.when(F.instr(text, "#") > 0, F.when(after_hash.rlike(r"\d"), _nonempty(strip_ws(found))))
 
 
 def org_fallback(text) -> Column:
-    """X8 (re-aimed): first organisation-like name in the first 1,000 characters."""
-    head = F.substring(col_of(text), 1, ORG_PREFIX_CHARS)
-    return _nonempty(strip_ws(F.regexp_extract(head, ORG_RULE, 1)))
+    """X8 (re-aimed): first organisation-like name of the text."""
+    return _nonempty(strip_ws(F.regexp_extract(col_of(text), ORG_RULE, 1)))
 
 
 def extract_field(text, field: str, rules: dict | None = None,

@@ -69,9 +69,37 @@ def col_of(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+#: Unicode words and spaces, as the insides of a character class that Java and RE2 both read.
+WORD_CLASS = r"\p{L}\p{N}_"
+SPACE_CLASS = r"\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}"
+
+
+def unicode_classes(pattern: str) -> str:
+    """``pattern`` with ``\\w`` and ``\\s`` meaning Unicode word characters and
+    spaces, as in the rules' own language, in any engine."""
+    out, inside, i = [], False, 0
+    while i < len(pattern):
+        two = pattern[i:i + 2]
+        if two in (r"\w", r"\s"):
+            body = WORD_CLASS if two == r"\w" else SPACE_CLASS
+            out.append(body if inside else f"[{body}]")
+            i += 2
+        elif two.startswith("\\"):
+            out.append(two)
+            i += 2
+        else:
+            inside = pattern[i] == "[" or inside and pattern[i] != "]"
+            out.append(pattern[i])
+            i += 1
+    return "".join(out)
+
+
+STRIP = unicode_classes(r"^\s+|\s+$")
+
+
 def strip_ws(c) -> Column:
-    """Python ``str.strip()`` on whitespace (Spark ``trim`` only removes spaces)."""
-    return F.regexp_replace(col_of(c), r"^\s+|\s+$", "")
+    """Whitespace of any script off both ends (Spark ``trim`` only removes spaces)."""
+    return F.regexp_replace(col_of(c), STRIP, "")
 
 
 @F.pandas_udf(T.StringType())
@@ -201,10 +229,10 @@ def _accent_table():
 
 
 def classifier_normalize(c) -> Column:
-    """Collapse whitespace, keep word characters, whitespace and basic
-    punctuation (adds ``? ( )`` to the T5 set)."""
-    out = F.regexp_replace(col_of(c), r"\s+", " ")
-    return F.regexp_replace(out, KEEP_CLASSIFIER, "")
+    """Collapse whitespace, keep word characters of any script, whitespace
+    and basic punctuation (adds ``? ( )`` to the T5 set)."""
+    out = F.regexp_replace(col_of(c), unicode_classes(r"\s+"), " ")
+    return F.regexp_replace(out, unicode_classes(KEEP_CLASSIFIER), "")
 
 
 def char_length(c) -> Column:

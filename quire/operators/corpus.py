@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from quire.functions import scalars as S
 from quire.functions import text as TX
-from quire.session import broadcast_if_small
 
 
 def label_index(df: DataFrame, name_col: str = "label_name", lower: bool = True) -> DataFrame:
@@ -24,9 +23,9 @@ def label_index(df: DataFrame, name_col: str = "label_name", lower: bool = True)
 
 
 def with_label(df: DataFrame, name_col: str, index: DataFrame) -> DataFrame:
-    """Attach the dense label; the index has one row per class, so it is broadcast."""
+    """Attach the dense label; Spark sizes the index (one row per class) at run time."""
     keyed = df.withColumn("label_name", F.lower(F.col(name_col)))
-    return keyed.join(broadcast_if_small(index), "label_name", "left")
+    return keyed.join(index, "label_name", "left")
 
 
 def class_index_lines(index: DataFrame) -> DataFrame:
@@ -84,11 +83,13 @@ def deterministic_sample(df: DataFrame, n: int, key: str = "id", seed: int = 42)
     return df.withColumn("_o", order).orderBy("_o", key).limit(n).drop("_o")
 
 
-def lookup_text(requests: DataFrame, docs: DataFrame, req_key: str, doc_key: str) -> DataFrame:
-    """Left lookup of text by key, default ''; first stored row per key wins
-    (the stored side is reduced to one row per key before the join)."""
-    one = (docs.groupBy(doc_key).agg(F.min_by("text", F.col("_pos")).alias("text"))
-           if "_pos" in docs.columns else docs.select(doc_key, "text").dropDuplicates([doc_key]))
+def lookup_text(requests: DataFrame, docs: DataFrame, req_key: str, doc_key: str, pos: str) -> DataFrame:
+    """Left lookup of text by key, default ''; the stored row with the
+    smallest ``pos`` (its place in the stored table) wins.  Only rows with a
+    requested key travel, and their texts are aggregated map-side first."""
+    wanted = requests.select(F.col(req_key).alias(doc_key)).distinct()
+    one = (docs.select(doc_key, pos, "text").join(wanted, doc_key, "left_semi")
+           .groupBy(doc_key).agg(F.min_by("text", F.col(pos)).alias("text")))
     j = requests.join(one.withColumnRenamed(doc_key, req_key), req_key, "left")
     return j.withColumn("text", F.coalesce(F.col("text"), F.lit("")))
 

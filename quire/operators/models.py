@@ -21,7 +21,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.operators.reports import class_weights
-from quire.session import broadcast_if_small
 
 VOCAB_SIZE = 20000
 TOKEN_PATTERN = r"[^\p{L}\p{N}]+"
@@ -36,9 +35,9 @@ def feature_stages(text: str = "text", vocab_size: int = VOCAB_SIZE, min_df: flo
 
 
 def with_class_weights(df: DataFrame, label: str = "label") -> DataFrame:
-    """A3 weights joined on (one row per class, broadcast)."""
+    """A3 weights joined on (one row per class; Spark sizes it at run time)."""
     w = class_weights(df, label).select(label, "weight")
-    return df.join(broadcast_if_small(w), label, "left")
+    return df.join(w, label, "left")
 
 
 def classifier(label: str = "label", text: str = "text", max_iter: int = 30, reg: float = 0.01,

@@ -58,19 +58,19 @@ def table_text(words: DataFrame, doc: str, line: str = "line_num", left: str = "
                conf: str = "conf", text: str = "text") -> DataFrame:
     """Keep words with confidence > 0 and non-blank text; per line sort by
     x (ties keep reading order) and join with two spaces; lines in order, each
-    ending in a newline, wrapped by the start / end markers."""
-    kept = words.filter((F.col(conf).cast("double").cast("int") > 0) & (strip_ws(F.col(text)) != ""))
-    lines = kept.groupBy(doc, line).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(left, pos, text))), lambda x: x[text]),
-                     WORD_SEPARATOR).alias("_line"))
-    per_doc = lines.groupBy(doc).agg(F.sort_array(F.collect_list(F.struct(line, "_line"))).alias("_ls"))
+    ending in a newline, wrapped by the start / end markers.  A page whose words
+    were all rejected has an empty block; a page without word rows has none."""
+    kept = (F.col(conf).cast("double").cast("int") > 0) & (strip_ws(F.col(text)) != "")
+    lines = words.groupBy(doc, line).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.when(kept, F.struct(left, pos, text)))), lambda x: x[text]),
+                     WORD_SEPARATOR).alias("_line"), F.count_if(kept).alias("_kept"))
+    per_doc = lines.groupBy(doc).agg(F.sort_array(F.collect_list(
+        F.when(F.col("_kept") > 0, F.struct(line, "_line")))).alias("_ls"))
     body = F.concat_ws("", F.transform("_ls", lambda x: F.concat(x["_line"], F.lit("\n"))))
     return per_doc.select(doc, F.concat(F.lit(TABLE_START), body, F.lit(TABLE_END)).alias("table_text"))
 
 
 def append_table_text(pages: DataFrame, tables: DataFrame, doc: str, text: str = "text") -> DataFrame:
-    """A19 last step: page text + newline + table text (documents without any
-    kept word get an empty table block)."""
+    """A19 last step: page text + newline + table text where a table was found."""
     j = pages.join(tables, doc, "left")
-    block = F.coalesce(F.col("table_text"), F.lit(TABLE_START + TABLE_END))
-    return j.select(doc, F.concat(F.col(text), F.lit("\n"), block).alias(text))
+    return j.select(doc, F.concat(F.col(text), F.coalesce(F.concat(F.lit("\n"), "table_text"), F.lit(""))).alias(text))

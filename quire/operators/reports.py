@@ -1,10 +1,9 @@
 """Distributions, summaries and evaluation reports.
 
-Aggregates are partial + final hash aggregates; per-class tables have one row
-per class and are the only thing broadcast.  Exact quartiles avoid the
+Aggregates are partial + final hash aggregates.  Exact quartiles avoid the
 ``percentile`` aggregate (which buffers every value of a group in one task):
-values are range-sorted with ``global_index`` and only the rows at the needed
-ranks are picked out.
+rows are counted per (class, value) first, so copies of a value cost nothing
+after the map side, and ranks are running sums over distinct values.
 """
 
 from __future__ import annotations
@@ -12,9 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.operators.indexing import global_index
-from quire.session import broadcast_if_small
-
 
 def _one(df: DataFrame) -> DataFrame:
     return df.withColumn("_one", F.lit(1))
@@ -47,35 +43,38 @@ def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
                     (F.col("_N") / (F.col("_K") * F.col("n"))).alias("weight"))
 
 
+def value_counts(df: DataFrame, value: str, group: str | None = None) -> DataFrame:
+    """``_g, _v, _n``: rows per (class, value); nulls are left out."""
+    base = df.select((F.col(group) if group else F.lit(0)).alias("_g"), F.col(value).cast("double").alias("_v"))
+    return base.filter(F.col("_v").isNotNull()).groupBy("_g", "_v").agg(F.count(F.lit(1)).alias("_n"))
+
+
+def _quantiles(counts: DataFrame, probs: list[float]) -> DataFrame:
+    """Per ``_g``: ``q<p>`` by linear interpolation between the two ranks around p."""
+    w = Window.partitionBy("_g")
+    first = F.coalesce(F.sum("_n").over(w.orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    c = counts.select("_g", "_v", first.alias("_first"), (first + F.col("_n")).alias("_end"),
+                      F.sum("_n").over(w).alias("_t"))
+
+    def at(rank):  # the value that holds this rank
+        return F.max(F.when((F.col("_first") <= rank) & (rank < F.col("_end")), F.col("_v")))
+
+    picked = []
+    for p in probs:
+        pos = F.lit(p) * (F.col("_t") - 1)
+        picked += [at(F.floor(pos)).alias(f"_lo{p}"), at(F.ceil(pos)).alias(f"_hi{p}"),
+                   F.max(pos - F.floor(pos)).alias(f"_f{p}")]
+    q = c.groupBy("_g").agg(*picked)
+    return q.select("_g", *[(F.col(f"`_lo{p}`") + (F.col(f"`_hi{p}`") - F.col(f"`_lo{p}`")) * F.col(f"`_f{p}`"))
+                            .alias(f"q{round(p * 100):d}") for p in probs])
+
+
 def exact_quantiles(df: DataFrame, value: str, probs: list[float], group: str | None = None) -> DataFrame:
     """Linear-interpolation quantiles (numpy / pandas default), exact.
 
     Returns one row per group with ``q<p>`` columns (e.g. ``q25``)."""
-    g = group or "_g"
-    base = df.select((F.col(group) if group else F.lit(0)).alias(g), F.col(value).cast("double").alias("_v"))
-    base = base.filter(F.col("_v").isNotNull())
-    counts = base.groupBy(g).agg(F.count(F.lit(1)).alias("_n"))
-    counts = counts.withColumn("_start", F.coalesce(F.sum("_n").over(
-        Window.orderBy(g).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    ranked = global_index(base, [g, "_v"], "_r")
-    needed = []
-    for p in probs:
-        pos = F.lit(p) * (F.col("_n") - 1)
-        needed.append(F.struct(F.lit(p).alias("p"), F.floor(pos).alias("lo"), F.ceil(pos).alias("hi"),
-                               (pos - F.floor(pos)).alias("frac")))
-    want = counts.select(g, "_start", F.explode(F.array(*needed)).alias("w")).select(g, "_start", "w.*")
-    ranks = want.select(g, (F.col("_start") + F.col("lo")).alias("_r")).union(
-        want.select(g, (F.col("_start") + F.col("hi")).alias("_r"))).distinct()
-    # at most 2 x probs x classes rows
-    picked = ranked.join(broadcast_if_small(ranks), [g, "_r"], "left_semi").select(g, "_r", "_v")
-    lo = picked.select(g, F.col("_r").alias("_rl"), F.col("_v").alias("_vl"))
-    hi = picked.select(g, F.col("_r").alias("_rh"), F.col("_v").alias("_vh"))
-    w = want.withColumn("_rl", F.col("_start") + F.col("lo")).withColumn("_rh", F.col("_start") + F.col("hi"))
-    w = w.join(lo, [g, "_rl"]).join(hi, [g, "_rh"])
-    w = w.select(g, "p", (F.col("_vl") + (F.col("_vh") - F.col("_vl")) * F.col("frac")).alias("q"))
-    names = {p: f"q{round(p * 100):d}" for p in probs}
-    out = w.groupBy(g).agg(*[F.max(F.when(F.col("p") == p, F.col("q"))).alias(names[p]) for p in probs])
-    return out if group else out.drop(g)
+    out = _quantiles(value_counts(df, value, group), probs)
+    return out.withColumnRenamed("_g", group) if group else out.drop("_g")
 
 
 def describe_length(df: DataFrame, value: str) -> DataFrame:
@@ -91,17 +90,17 @@ def describe_length(df: DataFrame, value: str) -> DataFrame:
 def five_numbers_by_class(df: DataFrame, value: str, label: str = "label") -> DataFrame:
     """A5: per class min, quartiles, max and the 1.5 IQR whisker ends (the data
     behind a box plot): whiskers reach the furthest value inside the fences."""
-    q = exact_quantiles(df, value, [0.25, 0.5, 0.75], label)
-    v = df.select(label, F.col(value).cast("double").alias("_v"))
-    j = v.join(broadcast_if_small(q), label)
+    v = value_counts(df, value, label)
+    j = v.join(_quantiles(v, [0.25, 0.5, 0.75]), "_g")
     iqr = F.col("q75") - F.col("q25")
     lo_f, hi_f = F.col("q25") - 1.5 * iqr, F.col("q75") + 1.5 * iqr
-    agg = j.groupBy(label, "q25", "q50", "q75").agg(
+    out = (F.col("_v") < lo_f) | (F.col("_v") > hi_f)
+    agg = j.groupBy("_g", "q25", "q50", "q75").agg(
         F.min("_v").alias("min"), F.max("_v").alias("max"),
         F.min(F.when(F.col("_v") >= lo_f, F.col("_v"))).alias("whisker_lo"),
         F.max(F.when(F.col("_v") <= hi_f, F.col("_v"))).alias("whisker_hi"),
-        F.sum(((F.col("_v") < lo_f) | (F.col("_v") > hi_f)).cast("int")).alias("n_outliers"))
-    return agg.select(label, "min", "q25", "q50", "q75", "max", "whisker_lo", "whisker_hi", "n_outliers")
+        F.sum(F.when(out, F.col("_n")).otherwise(0)).alias("n_outliers"))
+    return agg.select(F.col("_g").alias(label), "min", "q25", "q50", "q75", "max", "whisker_lo", "whisker_hi", "n_outliers")
 
 
 def null_counts(df: DataFrame) -> DataFrame:

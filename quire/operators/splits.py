@@ -1,10 +1,11 @@
 """Seeded and stratified splits.
 
 Order inside a split decision is ``md5(seed|id)``: independent of the
-partitioning, reproducible in SQL.  Neither split moves full rows: the ranks are
-computed on a narrow ``(class, hash, id)`` projection, reduced to a few cut
-rows (two per class), and those cut rows - bounded by the number of classes -
-are broadcast back for a plain comparison.
+partitioning, reproducible in SQL, and uniform.  So rows are counted per class
+and first hash digits; a cut falls into one such bucket, every other bucket
+lies whole on one side of it, and only the rows of the cut buckets (one in
+65,536 per cut) are ranked.  No global sort, no checkpoint, and a class of any
+size is spread over its buckets.
 """
 
 from __future__ import annotations
@@ -14,9 +15,6 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.operators.indexing import global_index
-from quire.session import broadcast_if_small
-
 SPLITS = ("train", "validation", "test")
 
 
@@ -31,37 +29,43 @@ def check_fractions(*fractions: float) -> None:
         raise ValueError("Split proportions must sum to 1.0")
 
 
-def _with_cut_labels(df: DataFrame, cuts: DataFrame, part_cols: list[str], key: str) -> DataFrame:
-    """``cuts``: per part-key rows ``(c1_h, c1_id, c2_h, c2_id)`` = first row of
-    the second and third bucket (null when the bucket is empty)."""
-    joined = df.join(broadcast_if_small(cuts), part_cols, "left") if part_cols else \
-        df.withColumn("_one", F.lit(1)).join(F.broadcast(cuts.withColumn("_one", F.lit(1))), "_one").drop("_one")
-    pos = F.struct(F.col("_h"), F.col(key).cast("string"))
-    c1 = F.struct(F.col("c1_h"), F.col("c1_id"))
-    c2 = F.struct(F.col("c2_h"), F.col("c2_id"))
-    return joined, pos, c1, c2
+#: Hash digits that name a bucket: 16 ** 4 buckets per class.
+BUCKET_DIGITS = 4
+
+
+def _cut(df: DataFrame, cuts: DataFrame, key: str, seed: int, names: tuple[str, str, str]) -> DataFrame:
+    """``df`` (with a class column ``_c``) and its split: rows of a class, in
+    hash order, before rank ``_cut1`` get the first name, before ``_cut2`` the
+    second, others the third.  ``cuts`` has one row per class; null is a class."""
+    rows = df.withColumn("_h", seeded_order(key, seed)).withColumn("_b", F.substring("_h", 1, BUCKET_DIGITS))
+    buckets = rows.groupBy("_c", "_b").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("_c").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    buckets = buckets.withColumn("_at", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+
+    def same(x, y):
+        return x["_c"].eqNullSafe(y["_c"])
+
+    buckets = buckets.join(cuts, same(buckets, cuts)).select(
+        buckets["_c"].alias("_bc"), F.col("_b").alias("_bb"), "_at", "_cut1", "_cut2",
+        *[((F.col("_at") < F.col(c)) & (F.col(c) < F.col("_at") + F.col("_n"))).alias(m)
+          for c, m in (("_cut1", "_in1"), ("_cut2", "_in2"))])
+    placed = rows.join(buckets, rows["_c"].eqNullSafe(F.col("_bc")) & (F.col("_b") == F.col("_bb")))
+    mixed = F.col("_in1") | F.col("_in2")
+    rank = F.row_number().over(Window.partitionBy("_c", "_b").orderBy("_h", F.col(key).cast("string"))) - 1
+    out = (placed.filter(~mixed).withColumn("_r", F.col("_at"))
+           .unionByName(placed.filter(mixed).withColumn("_r", F.col("_at") + rank)))
+    split = (F.when(F.col("_r") < F.col("_cut1"), names[0]).when(F.col("_r") < F.col("_cut2"), names[1]).otherwise(names[2]))
+    return out.withColumn("split", split).select(*[c for c in df.columns if c != "_c"], "split")
 
 
 def split_701515(df: DataFrame, key: str = "id", seed: int = 42,
                  first: float = 0.7, second: float = 0.85) -> DataFrame:
     """Seeded shuffle cut at ``int(0.7 N)`` and ``int(0.85 N)`` -> train /
     valid / test."""
-    narrow = df.select(seeded_order(key, seed).alias("_h"), F.col(key).cast("string").alias("_k"))
-    ranked = global_index(narrow, ["_h", "_k"], "_r")
-    n = ranked.agg(F.count(F.lit(1)).alias("_n"))
-    bounds = n.select(F.floor(F.col("_n") * first).alias("_b1"), F.floor(F.col("_n") * second).alias("_b2"))
-    b = ranked.withColumn("_one", F.lit(1)).join(F.broadcast(bounds.withColumn("_one", F.lit(1))), "_one")
-    cuts = b.agg(
-        F.max(F.when(F.col("_r") == F.col("_b1"), F.col("_h"))).alias("c1_h"),
-        F.max(F.when(F.col("_r") == F.col("_b1"), F.col("_k"))).alias("c1_id"),
-        F.max(F.when(F.col("_r") == F.col("_b2"), F.col("_h"))).alias("c2_h"),
-        F.max(F.when(F.col("_r") == F.col("_b2"), F.col("_k"))).alias("c2_id"))
-    base = df.withColumn("_h", seeded_order(key, seed))
-    joined, pos, c1, c2 = _with_cut_labels(base, cuts, [], key)
-    split = (F.when(F.col("c1_h").isNull() | (pos < c1), F.lit("train"))
-             .when(F.col("c2_h").isNull() | (pos < c2), F.lit("valid"))
-             .otherwise(F.lit("test")))
-    return joined.withColumn("split", split).drop("_h", "c1_h", "c1_id", "c2_h", "c2_id")
+    n = df.agg(F.count(F.lit(1)).alias("_n"))
+    cuts = n.select(F.lit(0).alias("_c"), F.floor(F.col("_n") * first).alias("_cut1"),
+                    F.floor(F.col("_n") * second).alias("_cut2"))
+    return _cut(df.withColumn("_c", F.lit(0)), cuts, key, seed, ("train", "valid", "test"))
 
 
 def _largest_remainder(counts: DataFrame, label: str, n_col: str, total_take: Column, out: str) -> DataFrame:
@@ -84,7 +88,8 @@ def stratified_split(df: DataFrame, label: str = "label", key: str = "id", train
     """Cut the test part first (``ceil(test N)`` rows), then split the rest
     by ``validation / (train + validation)`` (``ceil`` again), each with
     per-class largest-remainder quotas; inside a class rows go in
-    ``md5(seed|id)`` order: test quota, validation quota, then train."""
+    ``md5(seed|id)`` order: test quota, validation quota, then train.  Rows
+    without a label are a class like any other."""
     check_fractions(train, test, validation)
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
     w_all = Window.partitionBy()
@@ -94,25 +99,8 @@ def stratified_split(df: DataFrame, label: str = "label", key: str = "id", train
     ratio = validation / (train + validation) if (train + validation) > 0 else 0.0
     n_val = F.ceil(F.lit(ratio) * F.sum("_rest").over(w_all))
     q = _largest_remainder(q, label, "_rest", n_val, "_qv")
-    # class start offsets in (label, hash, id) order: K rows
-    q = q.withColumn("_start", F.coalesce(F.sum("_nc").over(
-        Window.orderBy(label).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-
-    narrow = df.select(F.col(label), seeded_order(key, seed).alias("_h"), F.col(key).cast("string").alias("_k"))
-    ranked = global_index(narrow, [label, "_h", "_k"], "_r")
-    r = ranked.join(broadcast_if_small(q.select(label, "_start", "_qt", "_qv")), label)
-    in_class = F.col("_r") - F.col("_start")
-    cuts = r.groupBy(label).agg(
-        F.max(F.when(in_class == F.col("_qt"), F.col("_h"))).alias("c1_h"),
-        F.max(F.when(in_class == F.col("_qt"), F.col("_k"))).alias("c1_id"),
-        F.max(F.when(in_class == F.col("_qt") + F.col("_qv"), F.col("_h"))).alias("c2_h"),
-        F.max(F.when(in_class == F.col("_qt") + F.col("_qv"), F.col("_k"))).alias("c2_id"))
-    base = df.withColumn("_h", seeded_order(key, seed))
-    joined, pos, c1, c2 = _with_cut_labels(base, cuts, [label], key)
-    split = (F.when(F.col("c1_h").isNull() | (pos < c1), F.lit("test"))
-             .when(F.col("c2_h").isNull() | (pos < c2), F.lit("validation"))
-             .otherwise(F.lit("train")))
-    return joined.withColumn("split", split).drop("_h", "c1_h", "c1_id", "c2_h", "c2_id")
+    cuts = q.select(F.col(label).alias("_c"), F.col("_qt").alias("_cut1"), (F.col("_qt") + F.col("_qv")).alias("_cut2"))
+    return _cut(df.withColumn("_c", F.col(label)), cuts, key, seed, ("test", "validation", "train"))
 
 
 def stratified_holdout(df: DataFrame, fraction: float = 0.1, label: str = "label", key: str = "id",

@@ -35,7 +35,7 @@ def rr(e: str, pattern: str, replacement: str) -> str:
 
 
 def strip_ws(e: str) -> str:
-    return rr(e, r"^\s+|\s+$", "")
+    return rr(e, TX.STRIP, "")
 
 
 def ocr_substitute(e: str) -> str:
@@ -94,26 +94,25 @@ def line_cleanup(e: str) -> str:
 
 
 def classifier_normalize(e: str) -> str:
-    return rr(rr(e, r"\s+", " "), TX.KEEP_CLASSIFIER, "")
+    return rr(rr(e, TX.unicode_classes(r"\s+"), " "), TX.unicode_classes(TX.KEEP_CLASSIFIER), "")
 
 
 # --- extraction -------------------------------------------------------------
 
 def rule_value(e: str, rule: str, ci: bool = True) -> str:
-    pat = ("(?i)" if ci else "") + rule
+    pat = ("(?i)" if ci else "") + TX.unicode_classes(rule)
     return f"NULLIF({strip_ws(f'regexp_extract({e}, {q(pat)}, 1)')}, '')"
 
 
 def hash_id_fallback(e: str) -> str:
     after = f"regexp_extract({e}, '^[^#]*#([^#]*)', 1)"
-    found = f"NULLIF({strip_ws(f'regexp_extract({after}, {q(X.HASH_ID_RULE)}, 1)')}, '')"
+    found = f"NULLIF({strip_ws(f'regexp_extract({after}, {q(TX.unicode_classes(X.HASH_ID_RULE))}, 1)')}, '')"
     return (f"CASE WHEN strpos({e}, '#') > 0 AND regexp_matches({after}, '\\d') "
             f"THEN {found} END")
 
 
 def org_fallback(e: str) -> str:
-    head = f"substring({e}, 1, {X.ORG_PREFIX_CHARS})"
-    return f"NULLIF({strip_ws(f'regexp_extract({head}, {q(X.ORG_RULE)}, 1)')}, '')"
+    return f"NULLIF({strip_ws(f'regexp_extract({e}, {q(X.ORG_RULE)}, 1)')}, '')"
 
 
 def extract_field(e: str, field: str, use_org_fallback: bool = True) -> str:

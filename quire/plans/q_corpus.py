@@ -228,14 +228,26 @@ def sample_rows(spark, sf_dir):
     return C.deterministic_sample(d, 5, "id", 42)
 
 
+def stored_copies(spark, sf_dir):
+    """Every document at position 2; some ids again before it, some after it."""
+    d = corpus(spark, sf_dir).select("doc_id", "text")
+    return (d.withColumn("pos", F.lit(2))
+            .unionByName(d.filter("doc_id % 4 = 0").select("doc_id", F.lit("zzz first").alias("text"), F.lit(1).alias("pos")))
+            .unionByName(d.filter("doc_id % 6 = 0").select("doc_id", F.lit("aaa last").alias("text"), F.lit(3).alias("pos"))))
+
+
 @register("lookup_text", sql="""
-WITH r AS (SELECT doc_id * 2 AS doc_id FROM labels)
-SELECT r.doc_id, coalesce(d.text, '') AS text FROM r LEFT JOIN documents d ON r.doc_id = d.doc_id
+WITH r AS (SELECT doc_id * 2 AS doc_id FROM labels),
+s AS (SELECT doc_id, 2 AS pos, text FROM documents
+      UNION ALL SELECT doc_id, 1, 'zzz first' FROM documents WHERE doc_id % 4 = 0
+      UNION ALL SELECT doc_id, 3, 'aaa last' FROM documents WHERE doc_id % 6 = 0),
+f AS (SELECT doc_id, arg_min(text, pos) AS text FROM s GROUP BY doc_id)
+SELECT r.doc_id, coalesce(f.text, '') AS text FROM r LEFT JOIN f ON r.doc_id = f.doc_id
 """)
 def lookup_text(spark, sf_dir):
     """Text for requested ids (some absent -> '')."""
     req = table(spark, sf_dir, "labels").select((F.col("doc_id") * 2).alias("doc_id"))
-    return C.lookup_text(req, corpus(spark, sf_dir), "doc_id", "doc_id").select("doc_id", "text")
+    return C.lookup_text(req, stored_copies(spark, sf_dir), "doc_id", "doc_id", "pos").select("doc_id", "text")
 
 
 # --- incremental append ---------------------------------------------------------

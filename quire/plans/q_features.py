@@ -151,7 +151,7 @@ def vocab(spark, sf_dir):
 @register("vocab_size", sql=f"WITH {VOCAB_SQL} SELECT count(*) AS n_words, count(*) + 2 AS vocab_size FROM voc")
 def vocab_size(spark, sf_dir):
     """Index size + 1 (the index includes the OOV token)."""
-    return V.vocabulary_size(flat_vocab(spark, sf_dir))
+    return V.vocabulary_size(flat_tokens(spark, sf_dir), "toks")
 
 
 @register("encode_tokens", sql=f"""WITH {VOCAB_SQL},

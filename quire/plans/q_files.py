@@ -14,7 +14,7 @@ from quire.operators import corpus as C
 from quire.plans import oracle as O
 from quire.plans.catalog import register
 from quire.plans.q_annotations import BUILD_SQL
-from quire.plans.q_corpus import CLASS_INDEX_SQL, HASH_CORPUS_SQL, LABELLED_SQL, labelled_corpus
+from quire.plans.q_corpus import CLASS_INDEX_SQL, HASH_CORPUS_SQL, LABELLED_SQL, _size_sql, labelled_corpus
 from quire.plans.fixtures import corpus
 from quire.plans.q_annotations import built
 from quire.sources import files as FS
@@ -26,35 +26,41 @@ WITH r AS (SELECT s_nationkey, s_suppkey,
                   concat_ws(' ', coalesce(CAST(s_suppkey AS VARCHAR), ''), coalesce(s_name, ''),
                             coalesce(CAST(s_nationkey AS VARCHAR), ''), coalesce(CAST(s_acctbal AS VARCHAR), '')) AS r
            FROM supplier)
-SELECT 'suppliers_' || CAST(s_nationkey AS VARCHAR) || '.xlsx' AS file, string_agg(r, ' ' ORDER BY s_suppkey) AS text
-FROM r GROUP BY s_nationkey
+SELECT 'suppliers_' || CAST(s_nationkey AS VARCHAR) || '_' || CAST(CAST(floor(s_suppkey / 10000) AS BIGINT) AS VARCHAR) || '.xlsx' AS file,
+       string_agg(r, ' ' ORDER BY s_suppkey) AS text
+FROM r GROUP BY s_nationkey, floor(s_suppkey / 10000)
 """)
 def table_to_text(spark, sf_dir):
-    """One spreadsheet per nation of supplier rows, as text."""
-    s = table(spark, sf_dir, "supplier").withColumn(
-        "file", F.concat(F.lit("suppliers_"), F.col("s_nationkey").cast("string"), F.lit(".xlsx")))
+    """Spreadsheets of supplier rows, one per nation and sheet of keys, as text."""
+    s = FS.sheets(table(spark, sf_dir, "supplier"), "s_suppkey")
+    s = s.withColumn("file", F.concat(F.lit("suppliers_"), F.col("s_nationkey").cast("string"), F.lit("_"),
+                                      F.col("sheet").cast("string"), F.lit(".xlsx")))
     return FS.table_to_text(s, "file", "s_suppkey", ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"])
 
 
-STAGE_BUCKETS = 8
+#: Documents of one staged file.
+FILE_DOCS = 64
 
 
 def _stage_documents(spark, sf_dir):
     """Documents written as text files: one folder per language, one file per
-    (language, doc_id mod 8) bucket, rows in doc_id order (so each file's
-    content is reproducible)."""
+    run of 64 ids, rows in id order (so each file's content is reproducible and
+    files stay small however many documents there are).  Returns the root."""
     path = FS.staging_dir(spark, "docs")
-    d = corpus(spark, sf_dir).select("lang", (F.col("doc_id") % STAGE_BUCKETS).alias("bucket"), "doc_id", "text")
-    (d.repartition("lang", "bucket").sortWithinPartitions("lang", "bucket", "doc_id")
-     .select("lang", "bucket", "text").write.mode("overwrite").partitionBy("lang", "bucket").text(path))
-    langs = [r[0] for r in corpus(spark, sf_dir).select("lang").distinct().collect()]  # a handful of folders
-    return path, [f"{path}/lang={x}" for x in sorted(langs)]
+    d = corpus(spark, sf_dir).select("lang", F.floor(F.col("doc_id") / FILE_DOCS).alias("run"), "doc_id", "text")
+    (d.repartition("lang", "run").sortWithinPartitions("lang", "run", "doc_id")
+     .select("lang", "run", "text").write.mode("overwrite").partitionBy("lang", "run").text(path))
+    return path
+
+
+STAGED_SQL = f"""
+SELECT 'lang=' || lower(lang) AS label_name, string_agg(text || chr(10), '' ORDER BY doc_id) AS content
+FROM documents GROUP BY lang, floor(doc_id / {FILE_DOCS})
+"""
 
 
 @register("ingest_folder", sql=f"""
-WITH f AS (SELECT 'lang=' || lower(lang) AS label_name,
-                  string_agg(text || chr(10), '' ORDER BY doc_id) AS content
-           FROM documents GROUP BY lang, doc_id % {STAGE_BUCKETS}),
+WITH f AS ({STAGED_SQL}),
 r AS (SELECT label_name, {O.clean_text('content')} AS text FROM f),
 i AS (SELECT label_name, CAST(dense_rank() OVER (ORDER BY label_name) - 1 AS INTEGER) AS label
       FROM (SELECT DISTINCT label_name FROM r))
@@ -63,20 +69,22 @@ SELECT r.label_name, i.label, r.text FROM r JOIN i ON r.label_name = i.label_nam
 def ingest_folder(spark, sf_dir):
     """S1 + S2 + S3 + T10: labelled folders of text files -> cleaned corpus rows
     (file names and stamps are left out of the compared columns)."""
-    _, folders = _stage_documents(spark, sf_dir)
-    files = FS.scan_folders(spark, folders)
+    files = FS.scan_labelled(spark, _stage_documents(spark, sf_dir))
     rows, _ = FS.ingest(files)
-    idx = C.label_index(rows, "label_name")
+    idx = C.label_index(files, "label_name")
     return C.with_label(rows, "label_name", idx).select("label_name", "label", "text")
 
 
-@register("file_metadata")
+@register("file_metadata", sql=f"""
+WITH f AS (SELECT label_name, CAST(octet_length(encode(content)) AS BIGINT) AS length FROM ({STAGED_SQL}))
+SELECT label_name, '.txt' AS extension, 'TXT' AS file_type, 'Text Document' AS type, length,
+       {_size_sql("length")} AS file_size FROM f
+""")
 def file_metadata(spark, sf_dir):
-    """S12 + D2-D6 from the listing only: the corpus staged as text files (its
-    file count and sizes grow with the documents) and the table folder."""
-    _, folders = _stage_documents(spark, sf_dir)
-    files = FS.scan_folders(spark, folders + [sf_dir], with_content=False)
-    return FS.file_metadata(files)
+    """S12 + D2-D6 from the listing only, for the corpus staged as text files
+    (part names and stamps, which differ by run, are left out)."""
+    files = FS.scan_labelled(spark, _stage_documents(spark, sf_dir), with_content=False)
+    return FS.file_metadata(files, "label_name").select("label_name", "extension", "file_type", "type", "length", "file_size")
 
 
 @register("csv_roundtrip", sql=f"""
@@ -108,23 +116,23 @@ FROM ann JOIN img ON ann.image_id = img.image_id
 """)
 def coco_read(spark, sf_dir):
     """S8 + S6: annotation set written as JSON lines (image + its annotations)
-    and read back with an explicit schema, then flattened."""
+    and a header, read back with explicit schemas, flat."""
     path = FS.staging_dir(spark, "coco")
     images, anns = built(spark, sf_dir)
-    A.nested_lines(images, anns).write.mode("overwrite").json(path)
-    line_schema = A.IMAGE_TYPE.add("annotations", A.COCO_SCHEMA["annotations"].dataType)
-    back = spark.read.schema(line_schema).json(path)
-    return back.select(F.col("id").alias("image_id"), "file_name", F.posexplode("annotations").alias("ann_pos", "a")) \
-        .select("image_id", "file_name", "ann_pos", "a.id", "a.category_id", "a.text")
+    A.write_set(spark, images, anns, path)
+    images, anns, _ = A.read_set(spark, path)
+    j = anns.join(images.select(F.col("id").alias("image_id"), "file_name"), "image_id")
+    return j.select("image_id", "file_name", "ann_pos", "id", "category_id", "text")
 
 
-@register("route_files")
+@register("route_files", sql=f"""
+SELECT label_name, '.txt' AS ext, 'text' AS route, true AS allowed FROM ({STAGED_SQL})
+""")
 def route_files(spark, sf_dir):
-    """S2 + P6 on a real listing: every file of the staged corpus and the table folder."""
-    path, folders = _stage_documents(spark, sf_dir)
-    files = FS.scan_folders(spark, folders + [sf_dir], with_content=False)
-    return files.select(S.base_name("path").alias("filename"), S.extension("path").alias("ext"),
-                        S.route(S.extension("path")).alias("route"), S.allowed_file(S.base_name("path")).alias("allowed"))
+    """S2 + P6 on a real listing: every file of the staged corpus."""
+    files = FS.scan_labelled(spark, _stage_documents(spark, sf_dir), with_content=False)
+    return files.select("label_name", S.extension("path").alias("ext"), S.route(S.extension("path")).alias("route"),
+                        S.allowed_file(S.base_name("path")).alias("allowed"))
 
 
 @register("stream_ingest", sql=HASH_CORPUS_SQL)

@@ -7,12 +7,8 @@ cut long lineages.
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Settings that matter for correctness or scale (not for a particular box).
 SESSION_DEFAULTS = {
@@ -21,6 +17,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # splits of a scan: small enough that one task's regular expressions end soon
+    "spark.sql.files.maxPartitionBytes": "32m",
     "spark.ui.enabled": "false",
 }
 
@@ -45,50 +43,31 @@ def build_session(master: str | None = None, app: str = "quire",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    Reads ``spark.checkpoint.dir`` (or the context's current one).  Only a
-    local-mode session without any setting gets a private folder, as in tests;
-    a cluster session without one is a configuration error, because a
-    machine-local folder would not survive the loss of an executor.
-    """
+    Reads ``spark.checkpoint.dir`` (or the context's current one); where it is
+    unset, as in tests, a folder below the warehouse, which the cluster shares
+    as well."""
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder before running this job")
-    path = tempfile.mkdtemp(prefix="quire-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(path)
+    if not sc.getCheckpointDir():
+        named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+        sc.setCheckpointDir(named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
     return sc.getCheckpointDir()
 
 
+def delete_at_exit(spark: SparkSession, path: str) -> None:
+    """Have ``path`` (and all below it) deleted when the driver's JVM ends."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
+
+
 def reliable_checkpoint(df: DataFrame) -> DataFrame:
     """Materialise ``df`` into the shared checkpoint folder and cut its lineage.
 
     A reliable checkpoint writes its files in a second job over the same
     plan, so the rows are persisted for the duration of the call: the plan is
     computed once, then written, then the cache is dropped."""
-    ensure_checkpoint_dir(df.sparkSession)
+    delete_at_exit(df.sparkSession, ensure_checkpoint_dir(df.sparkSession))
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return cached.checkpoint(eager=True)
     finally:
         cached.unpersist()
-
-
-# Per-class / per-group side tables at most this many rows are broadcast.
-BROADCAST_MAX_ROWS = 200_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast a side table (one row per class, per group ...) only after
-    checking its size; above the bound it stays a normal (shuffle) join side.
-
-    The table is persisted before counting so the check does not compute it a
-    second time; such tables are small by nature (that is what is checked)."""
-    small = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = small.count()
-    return F.broadcast(small) if n <= max_rows else small

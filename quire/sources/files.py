@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from quire.functions import scalars as S
 from quire.functions import text as TX
-from quire.session import ensure_checkpoint_dir
+from quire.session import delete_at_exit, ensure_checkpoint_dir, reliable_checkpoint
 
 CORPUS_SCHEMA = T.StructType([
     T.StructField("id", T.StringType()), T.StructField("filename", T.StringType()),
@@ -27,18 +27,32 @@ CORPUS_SCHEMA = T.StructType([
 
 
 def staging_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/quire-staging/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh folder under the shared checkpoint folder, deleted with the
+    driver's JVM."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quire-staging/{name}-{uuid.uuid4().hex[:12]}"
+    delete_at_exit(spark, path)
+    return path
 
 
 def scan_folder(spark: SparkSession, path: str, with_content: bool = True) -> DataFrame:
     """S1 for one input path: every file below it (recursive); the label is the
     lower-cased name of the input path itself."""
     label = path.rstrip("/").split("/")[-1].lower()
+    return _listing(spark, path, with_content).withColumn("label_name", F.lit(label))
+
+
+def _listing(spark: SparkSession, path: str, with_content: bool) -> DataFrame:
     df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    cols = ["path", "length", "modificationTime"] + (["content"] if with_content else [])
-    return df.select(*cols).withColumn("label_name", F.lit(label))
+    return df.select("path", "length", "modificationTime", *(["content"] if with_content else []))
+
+
+def scan_labelled(spark: SparkSession, root: str, with_content: bool = True) -> DataFrame:
+    """S1 for a folder of labelled folders, in one scan: the label of a file is
+    the lower-cased name of the folder right below ``root``, however many there
+    are."""
+    files = _listing(spark, root, with_content)
+    below = F.regexp_extract("path", r"^.*?" + root.rstrip("/").split("/")[-1] + r"/([^/]*)/", 1)
+    return files.withColumn("label_name", F.lower(below))
 
 
 def scan_folders(spark: SparkSession, paths: list[str], with_content: bool = True) -> DataFrame:
@@ -77,11 +91,11 @@ def ingest(files: DataFrame, id_type: str = "filename", now: F.Column | None = N
     return rows, rejects
 
 
-def file_metadata(files: DataFrame) -> DataFrame:
+def file_metadata(files: DataFrame, *keep: str) -> DataFrame:
     """S12 + D2-D6: name, extension, type, sizes and modification time, from
     the listing only."""
     return files.select(
-        S.base_name("path").alias("filename"), S.extension("path").alias("extension"),
+        *keep, S.base_name("path").alias("filename"), S.extension("path").alias("extension"),
         S.file_type("path").alias("file_type"), S.type_description(S.extension("path")).alias("type"),
         S.format_size("length").alias("file_size"), S.format_size_short("length").alias("size"),
         S.format_timestamp("modificationTime").alias("last_modified"), F.col("length"))
@@ -109,15 +123,25 @@ def read_class_index(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+#: Rows of one sheet: the most a spreadsheet file of the common format holds is 1,048,576.
+SHEET_ROWS = 10_000
+
+
 def table_to_text(df: DataFrame, file_key: str, order_col: str, cols: list[str]) -> DataFrame:
     """A sheet's cells to text - null -> '', cells joined by a space, rows
-    (in row order) joined by a space; one text per file."""
+    (in row order) joined by a space; one text per file.  A file is one sheet,
+    so its rows are bounded; tables are cut into sheets by ``sheets`` first."""
     row_text = F.concat_ws(" ", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
     rows = df.select(file_key, F.col(order_col).alias("_o"), row_text.alias("_r"))
     g = rows.groupBy(file_key).agg(F.sort_array(F.collect_list(F.struct("_o", "_r"))).alias("_rs"))
     return g.select(file_key, F.array_join(F.transform("_rs", lambda x: x["_r"]), " ").alias("text"))
 
 
+def sheets(df: DataFrame, order_col: str, out: str = "sheet", rows: int = SHEET_ROWS) -> DataFrame:
+    """Number the sheets a table is cut into: ranges of ``rows`` keys."""
+    return df.withColumn(out, F.floor(F.col(order_col) / rows))
+
+
 WRITE_MODES = ("append", "overwrite", "production")
 
 
@@ -142,7 +166,6 @@ def write_corpus(spark: SparkSession, rows: DataFrame, path: str, mode: str = "a
         stored = None
     new = rows if stored is None else rows.join(stored, key, "left_anti")
     # materialise before writing into the folder the anti join reads from
-    from quire.session import reliable_checkpoint
     new = reliable_checkpoint(new)
     new.write.mode("append").parquet(path)
     return new

@@ -11,25 +11,10 @@ TABLES = (
 )
 
 
-# Row-heavy tables whose per-row work (regex, tokenising) dominates.
-WIDE_ROW_TABLES = ("documents", "pages", "conversations", "orders", "lineitem", "events", "benchmark")
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin the rows over the cluster when the scan yields fewer
-    partitions than there are cores (e.g. one large unsplittable row group).
-    A scan that is already wide is left alone: no extra shuffle at scale."""
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - sessions without RDD access: leave the scan as is
-        return df
-    return df.repartition(target) if current < target else df
-
-
-def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = True) -> DataFrame:
-    """Parquet tables carry their schema, so nothing is inferred here."""
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Parquet tables carry their schema, so nothing is inferred here.  How many
+    tasks a scan has is Spark's choice (``spark.sql.files.maxPartitionBytes``
+    and ``spark.sql.files.minPartitionNum``); nothing is dealt out again."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if spread_rows and name in WIDE_ROW_TABLES else df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

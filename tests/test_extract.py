@@ -77,3 +77,13 @@ def test_keyword_detected_form(spark):
     df = spark.createDataFrame([("We live at 5 St. Main road",)], "t string")
     r = df.select(*KW.extract_fields_from_text("t", table)).first()
     assert r.custom == "st. main (detected)"
+
+
+def test_names_keep_letters_of_any_script(spark):
+    rows = spark.createDataFrame([("Bill to: José García",), ("From: Müller Söhne GmbH",), ("x" * 5000 + " \nÉcole Supérieure SA.",)], "t string")
+    got = rows.select(X.extract_field("t", "recipient_name").alias("to"), X.extract_field("t", "issuer_name").alias("by"),
+                      X.org_fallback("t").alias("org")).collect()
+    assert got[0].to == "José García" and got[1].by == "Müller Söhne GmbH"
+    assert got[2].org == "École Supérieure SA."
+    kept = spark.createDataFrame([("société\u00a0 générale§ (ok)?",)], "t string")
+    assert kept.select(TX.classifier_normalize("t")).first()[0] == "société générale (ok)?"

@@ -102,7 +102,7 @@ def test_to_wide_last_nonempty_wins_and_value_fallback(spark):
         (0, 0, 4, "First", None), (1, 0, 4, "Second", None), (2, 0, 1, None, " V-9 "),
         (3, 0, 2, "x", None), (4, 0, 2, "   ", None)],
         "id long, image_id long, category_id int, text string, value string")
-    docs = spark.createDataFrame([("d1", "body", 3)], "id string, text string, label int")
+    docs = spark.createDataFrame([("d1", "body", 3, 1)], "id string, text string, label int, pos int")
     w = A.to_wide(images, anns, A.categories(spark), docs).first()
     assert w.issuer_name == "Second"
     assert w.invoice_number == "V-9"
@@ -213,13 +213,64 @@ def test_staged_forms_equal_column_forms(spark, sf001):
     assert k1.exceptAll(k2).count() == 0 and k2.exceptAll(k1).count() == 0
 
 
-def test_single_document_round_trip(spark):
+def test_written_set_round_trip(spark, tmp_path):
     docs = spark.createDataFrame([("d1", "INV-1", "", "", "Acme", "", "")],
                                  "id string, invoice_number string, invoice_date string, due_date string, "
                                  "issuer_name string, recipient_name string, total_amount string")
     images, anns = A.build(docs, "id")
-    doc = A.coco_document(spark, images, anns)
-    imgs, back, cats = A.explode_document(doc)
+    A.write_set(spark, images, anns, str(tmp_path / "set"))
+    imgs, back, cats = A.read_set(spark, str(tmp_path / "set"))
     assert imgs.count() == 1 and back.count() == 2 and cats.count() == 6
-    with pytest.raises(ValueError):
-        A.coco_document(spark, images, anns, max_images=0)
+    assert imgs.columns == [f.name for f in A.IMAGE_TYPE]
+
+
+def test_first_stored_row_wins(spark):
+    docs = spark.createDataFrame([("d1", "aaa second", 1, 2), ("d1", "zzz first", 3, 1)], "id string, text string, label int, pos int")
+    images = spark.createDataFrame([(0, "d1")], "id long, file_name string")
+    anns = spark.createDataFrame([], "id long, image_id long, category_id int, text string, value string")
+    w = A.to_wide(images, anns, A.categories(spark), docs).first()
+    assert (w.text, w.label) == ("zzz first", 3)
+    req = spark.createDataFrame([("d1",), ("d2",)], "k string")
+    got = {r.k: r.text for r in C.lookup_text(req, docs, "k", "id", "pos").collect()}
+    assert got == {"d1": "zzz first", "d2": ""}
+
+
+def test_null_labels_split_like_a_class(spark):
+    rows = [(str(i), None if i < 40 else "a") for i in range(200)]
+    s = SP.stratified_split(spark.createDataFrame(rows, "id string, label string"), "label", "id", 0.8, 0.1, 0.1, 42)
+    got = {(r.label, r.split): r.n for r in s.groupBy("label", "split").agg(F.count("*").alias("n")).collect()}
+    assert got == {(None, "train"): 32, (None, "validation"): 4, (None, "test"): 4,
+                   ("a", "train"): 128, ("a", "validation"): 16, ("a", "test"): 16}
+
+
+def test_page_without_words_gets_no_table(spark):
+    words = spark.createDataFrame([("a", 1, 5, 0, 90, "x"), ("b", 1, 5, 0, -1, "y")],
+                                  "doc string, line_num int, left int, pos int, conf int, text string")
+    pages = spark.createDataFrame([("a", "A"), ("b", "B"), ("c", "C")], "doc string, text string")
+    got = {r.doc: r.text for r in OC.append_table_text(pages, OC.table_text(words, "doc"), "doc").collect()}
+    assert got == {"a": "A\n" + OC.TABLE_START + "x\n" + OC.TABLE_END, "b": "B\n" + OC.TABLE_START + OC.TABLE_END, "c": "C"}
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_quantiles_of_a_hot_value(spark):
+    import numpy as np
+    values = [5.0] * 900 + [float(i) for i in range(100)]
+    df = spark.createDataFrame([("a", v) for v in values], "g string, v double")
+    q = R.exact_quantiles(df, "v", [0.25, 0.5, 0.95], "g").first()
+    assert [q.q25, q.q50, q.q95] == list(np.quantile(values, [0.25, 0.5, 0.95]))
+    # copies of a value are summed before the shuffle: no exchange sees the rows
+    counts = R.value_counts(df, "v", "g")
+    assert counts.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] <= 100
+    assert _plan(R.exact_quantiles(df, "v", [0.5], "g")).count("Scan") <= 2
+
+
+def test_vocabulary_is_a_hash_aggregate(spark):
+    toks = spark.createDataFrame([(1, ["a", "b"])], "d long, w array<string>")
+    e = toks.select(F.col("d").alias("_d"), F.posexplode_outer("w").alias("_p", "word"))
+    place = F.col("_d").cast("decimal(20,0)") * F.lit(2 ** 31).cast("decimal(10,0)") + F.col("_p")
+    plan = _plan(e.groupBy("word").agg(F.count(F.lit(1)), F.min(place)))
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+    assert V.vocabulary_size(toks, "w").first().n_words == 2
