@@ -3,27 +3,34 @@
 The reference trains neural networks on one machine; the contract kept here
 is class-weighted multiclass training on text, validation-based selection,
 scoring with the original labels, evaluation and per-token explanations.
-Training passes run on the executors (tree-aggregated gradients); only model
-parameters - bounded by the vocabulary cap and the number of classes - ever
-live on the driver.
+Training passes run on the executors (tree-aggregated gradients) over at most
+``FIT_ROWS`` labelled rows; only model parameters - bounded by the vocabulary
+cap and the number of classes - ever live on the driver.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import IDF, CountVectorizer, IndexToString, RegexTokenizer, StringIndexer
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quire.operators.reports import class_weights
+from quire.functions.keywords import sentences
+from quire.operators.reports import class_weights, report_of_pairs
+from quire.operators.splits import stratified_holdout
+from quire.session import reliable_checkpoint
 
 VOCAB_SIZE = 20000
 TOKEN_PATTERN = r"[^\p{L}\p{N}]+"
+#: Passes of every fit; it ends before when the objective moves by less than TOL.
+MAX_ITER, TOL = 50, 1e-6
+#: The most labelled rows a fit reads, drawn by a hash of the text.
+FIT_ROWS = 1_000_000
+#: Penalties tried in turn by ``tune``; rounds without gain after which it stops.
+REGS, PATIENCE = (1.0, 0.3, 0.1, 0.03, 0.01, 0.003, 0.001, 0.0), 5
 
 
 def feature_stages(text: str = "text", vocab_size: int = VOCAB_SIZE, min_df: float = 1.0):
@@ -40,57 +47,79 @@ def with_class_weights(df: DataFrame, label: str = "label") -> DataFrame:
     return df.join(w, label, "left")
 
 
-def classifier(label: str = "label", text: str = "text", max_iter: int = 30, reg: float = 0.01,
-               weighted: bool = True) -> Pipeline:
-    """M1: label index -> tokens -> tf -> idf -> weighted logistic regression."""
-    lr = LogisticRegression(featuresCol="features", labelCol="label_idx", maxIter=max_iter, regParam=reg,
-                            family="multinomial", weightCol="weight" if weighted else None)
-    indexer = StringIndexer(inputCol=label, outputCol="label_idx", stringOrderType="alphabetAsc",
-                            handleInvalid="error")
-    return Pipeline(stages=[indexer, *feature_stages(text), lr])
+def fit_sample(df: DataFrame, text: str = "text", rows: int = FIT_ROWS) -> DataFrame:
+    """At most ``rows`` rows, in the order of a hash of the text."""
+    return df.withColumn("_o", F.xxhash64(text)).orderBy("_o").limit(rows).drop("_o")
 
 
-def train(df: DataFrame, label: str = "label", text: str = "text", max_iter: int = 20, reg: float = 0.01,
-          weighted: bool = True) -> PipelineModel:
-    """M1: fit on ``df`` and append the index -> original label stage (M5).
+def log_loss(scored: DataFrame, n_classes: int) -> float:
+    """Mean of -log of the true class's probability (labels unseen in training left out)."""
+    p = F.element_at(vector_to_array("probability"), F.col("label_idx").cast("int") + 1)
+    known = scored.filter(F.col("label_idx") < n_classes)
+    return known.agg(F.avg(-F.log(F.greatest(p, F.lit(1e-15)))).alias("x")).first()["x"]
+
 
-    Stages are fitted one by one over a persisted, tokenised copy of the
-    training rows (dropped again once the fit is done), so the split lineage
-    and the tokeniser run once instead of once per stage."""
+def tune(df: DataFrame, label: str = "label", text: str = "text", validation: DataFrame | None = None,
+         regs=REGS, patience: int = PATIENCE, max_iter: int = MAX_ITER, weighted: bool = True,
+         seed: int = 42) -> tuple[PipelineModel, list[tuple[float, float, bool]]]:
+    """M1-M3: fit on ``df``, choose by ``validation`` (or a stratified 10 % of
+    ``df``): one fit per penalty, strongest first; the best model is kept and
+    the search stops after ``patience`` rounds without gain.  Returns the model
+    and (penalty, validation log loss, kept) per round.
+
+    Tokeniser, vocabulary, inverse document frequencies and label index are
+    fitted once; only the penalties' fits repeat."""
     data = df.withColumn(label, F.col(label).cast("string"))
+    if validation is None and len(regs) > 1:
+        parts = stratified_holdout(data.withColumn("_k", F.sha2(F.concat_ws("|", text, label), 256)), 0.1, label, "_k", seed)
+        parts = parts.drop("_k")
+        data, validation = (parts.filter(F.col("split") == x).drop("split") for x in ("train", "validation"))
+    data = fit_sample(data, text)
     if weighted:
         data = with_class_weights(data, label)
     tok, cv_est, idf_est = feature_stages(text)
-    indexer = StringIndexer(inputCol=label, outputCol="label_idx", stringOrderType="alphabetAsc",
-                            handleInvalid="error")
-    prepared = tok.transform(data).persist(StorageLevel.MEMORY_AND_DISK)
+    indexer = StringIndexer(inputCol=label, outputCol="label_idx", stringOrderType="alphabetAsc", handleInvalid="error")
+    prepared = tok.transform(data).persist(StorageLevel.MEMORY_AND_DISK)  # at most FIT_ROWS rows
+    history: list[tuple[float, float, bool]] = []
+    best, best_loss, since = None, float("inf"), 0
     try:
         indexer_model = indexer.fit(prepared)
         cv = cv_est.fit(prepared)
         tf = cv.transform(indexer_model.transform(prepared))
         idf = idf_est.fit(tf)
-        lr = LogisticRegression(featuresCol="features", labelCol="label_idx", maxIter=max_iter, regParam=reg,
-                                family="multinomial", weightCol="weight" if weighted else None)
-        lr_model = lr.fit(idf.transform(tf))
+        # scoring tables may hold labels unseen in training: index them past the end
+        indexer_model.setHandleInvalid("keep")
+        features = PipelineModel(stages=[indexer_model, tok, cv, idf])
+        held = None
+        if validation is not None:
+            held = features.transform(validation.withColumn(label, F.col(label).cast("string")))
+            held = held.select("label_idx", "features").persist(StorageLevel.MEMORY_AND_DISK)
+        for reg in regs:
+            lr = LogisticRegression(featuresCol="features", labelCol="label_idx", maxIter=max_iter, tol=TOL, regParam=reg,
+                                    family="multinomial", weightCol="weight" if weighted else None)
+            model = lr.fit(idf.transform(tf))
+            loss = log_loss(model.transform(held), len(indexer_model.labels)) if held is not None else 0.0
+            history.append((float(reg), float(loss), False))
+            if best is None or loss < best_loss:
+                best, best_loss, since = model, loss, 0
+                kept = len(history) - 1
+            else:
+                since += 1
+            if since >= patience:
+                break
+        if held is not None:
+            held.unpersist()
     finally:
         prepared.unpersist()
-    # scoring tables may hold labels unseen in training: index them past the end
-    indexer_model.setHandleInvalid("keep")
+    history[kept] = (*history[kept][:2], True)
     back = IndexToString(inputCol="prediction", outputCol="predicted_label", labels=indexer_model.labels)
-    return PipelineModel(stages=[indexer_model, tok, cv, idf, lr_model, back])
+    return PipelineModel(stages=[*features.stages, best, back]), history
 
 
-def tune(df: DataFrame, label: str = "label", text: str = "text", regs=(0.0, 0.01), iters=(50,),
-         train_ratio: float = 0.9, seed: int = 42):
-    """M2 / M3: keep the candidate with the best validation score (log loss)."""
-    data = with_class_weights(df.withColumn(label, F.col(label).cast("string")), label)
-    pipe = classifier(label, text)
-    lr = pipe.getStages()[-1]
-    grid = ParamGridBuilder().addGrid(lr.regParam, list(regs)).addGrid(lr.maxIter, list(iters)).build()
-    ev = MulticlassClassificationEvaluator(labelCol="label_idx", metricName="logLoss")
-    tvs = TrainValidationSplit(estimator=pipe, estimatorParamMaps=grid, evaluator=ev, trainRatio=train_ratio,
-                               seed=seed)
-    return tvs.fit(data), grid
+def train(df: DataFrame, label: str = "label", text: str = "text", max_iter: int = MAX_ITER, reg: float = 0.01,
+          weighted: bool = True) -> PipelineModel:
+    """M1 with a given penalty; the last stage gives back original labels (M5)."""
+    return tune(df, label, text, regs=(reg,), max_iter=max_iter, weighted=weighted)[0]
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -102,87 +131,102 @@ def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 
 def evaluate(model: PipelineModel, df: DataFrame, label: str = "label") -> DataFrame:
-    """M4 + A10: log loss and accuracy; labels unseen in training are reported
-    (count) instead of silently mapped to class 0 (Q14)."""
+    """M4 + A10: the per-class report with accuracy and averages, and rows
+    ``log_loss`` and ``unseen labels`` (their value in ``f1``; their rows in
+    ``support``).  The table is scored once, down to one row per (truth,
+    prediction); rows with a label unseen in training are counted apart (Q14)."""
+    labels = model.stages[0].labels
     scored = model.transform(df.withColumn(label, F.col(label).cast("string")))
-    known = scored.filter(F.col("label_idx") < len(model.stages[0].labels))
-    ll = MulticlassClassificationEvaluator(labelCol="label_idx", metricName="logLoss").evaluate(known)
-    acc = MulticlassClassificationEvaluator(labelCol="label_idx", metricName="accuracy").evaluate(known)
-    f1 = MulticlassClassificationEvaluator(labelCol="label_idx", metricName="f1").evaluate(known)
-    unseen = scored.filter(F.col("label_idx") >= len(model.stages[0].labels)).count()
-    spark = df.sparkSession
-    return spark.createDataFrame([("log_loss", float(ll)), ("accuracy", float(acc)), ("weighted_f1", float(f1)),
-                                  ("unseen_label_rows", float(unseen))], "metric string, value double")
+    p = F.element_at(vector_to_array("probability"), F.least(F.col("label_idx").cast("int") + 1, F.lit(len(labels))))
+    seen = F.col("label_idx") < len(labels)
+    pairs = reliable_checkpoint(scored.groupBy(F.col(label).alias("label"), F.col("predicted_label").alias("prediction")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(seen).alias("n_seen"),
+        F.sum(F.when(seen, -F.log(F.greatest(p, F.lit(1e-15))))).alias("loss")))
+    one = pairs.agg(F.sum("n").alias("n"), F.sum("n_seen").alias("seen"), F.sum("loss").alias("loss"))
+    none = F.lit(None).cast("double")
+    more = one.select(F.explode(F.array(
+        F.struct(F.lit("log_loss").alias("class"), none.alias("precision"), none.alias("recall"),
+                 (F.col("loss") / F.col("seen")).alias("f1"), F.col("seen").cast("long").alias("support")),
+        F.struct(F.lit("unseen labels").alias("class"), none.alias("precision"), none.alias("recall"), none.alias("f1"),
+                 (F.col("n") - F.col("seen")).cast("long").alias("support")))).alias("r")).select("r.*")
+    return report_of_pairs(pairs.filter("n_seen > 0").select("label", "prediction", "n")).unionByName(more)
 
 
 def model_tables(spark: SparkSession, model: PipelineModel) -> tuple[DataFrame, DataFrame]:
-    """Vocabulary with idf, and the coefficient table ``(class, term index,
-    coef)`` - both bounded by the vocabulary cap x number of classes."""
+    """Vocabulary with idf, and the coefficient table ``(class, term,
+    coef)`` - both bounded by the vocabulary cap x number of classes.  The
+    class's intercept is its row for term -1."""
     cv, idf, lr = model.stages[2], model.stages[3], model.stages[4]
     idf_values = idf.idf.toArray()  # one JVM round trip, not one per term
     vocab = spark.createDataFrame([(w, i, float(idf_values[i])) for i, w in enumerate(cv.vocabulary)],
                                   "word string, term int, idf double")
-    coef = lr.coefficientMatrix.toArray()
-    rows = [(k, j, float(coef[k, j])) for k in range(coef.shape[0]) for j in range(coef.shape[1]) if coef[k, j] != 0.0]
+    coef, start = lr.coefficientMatrix.toArray(), lr.interceptVector.toArray()
+    rows = [(k, -1, float(start[k])) for k in range(len(start))]
+    rows += [(k, j, float(coef[k, j])) for k in range(coef.shape[0]) for j in range(coef.shape[1])]
     return vocab, spark.createDataFrame(rows, "class int, term int, coef double")
 
 
-def explain_tokens(spark: SparkSession, model: PipelineModel, df: DataFrame, key: str, text: str = "text",
-                   k: int = 5) -> DataFrame:
-    """M8 (re-aimed): per document the ``k`` tokens that push hardest toward the
-    predicted class: contribution = tf x idf x class coefficient."""
+def explain_tokens(spark: SparkSession, model: PipelineModel, df: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """M8 (re-aimed): every distinct token of every document, ranked by how hard
+    it pushes toward the predicted class: contribution = tf x idf x class
+    coefficient, 0 for a word outside the vocabulary.  ``margin`` is the sum of
+    a document's contributions and the class's intercept."""
     vocab, coef = model_tables(spark, model)
     scored = model.transform(df).select(key, "tokens", F.col("prediction").cast("int").alias("class"))
-    tf = scored.select(key, "class", F.explode_outer("tokens").alias("word")).filter(F.col("word").isNotNull()).groupBy(key, "class", "word") \
-        .agg(F.count(F.lit(1)).alias("tf"))
-    j = tf.join(F.broadcast(vocab), "word").join(F.broadcast(coef), ["class", "term"])
-    j = j.withColumn("contribution", F.col("tf") * F.col("idf") * F.col("coef"))
-    w = Window.partitionBy(key).orderBy(F.desc("contribution"), F.col("word"))
-    return j.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k) \
-        .select(key, "rank", "word", "contribution")
+    tf = scored.select(key, "class", F.explode_outer("tokens").alias("word")).filter(F.col("word").isNotNull()) \
+        .groupBy(key, "class", "word").agg(F.count(F.lit(1)).alias("tf"))
+    j = tf.join(vocab, "word", "left").join(coef, ["class", "term"], "left")
+    j = j.withColumn("contribution", F.coalesce(F.col("tf") * F.col("idf") * F.col("coef"), F.lit(0.0)))
+    start = coef.filter("term = -1").select("class", F.col("coef").alias("intercept"))
+    w = Window.partitionBy(key)
+    j = j.join(start, "class").withColumn("margin", F.sum("contribution").over(w) + F.col("intercept"))
+    rank = F.row_number().over(w.orderBy(F.desc("contribution"), F.col("word")))
+    return j.select(key, rank.alias("rank"), "word", "tf", "contribution", "margin")
+
+
+def explain_sentences(spark: SparkSession, model: PipelineModel, df: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """M8 at sentence level (re-aimed): every sentence, ranked by what its tokens
+    add toward the predicted class (sum of idf x coefficient; 0 without a known
+    word), with the document's ``margin`` as in ``explain_tokens``."""
+    vocab, coef = model_tables(spark, model)
+    scored = model.transform(df).select(key, text, F.col("prediction").cast("int").alias("class"))
+    sents = scored.select(key, "class", F.posexplode_outer(sentences(F.col(text))).alias("sentence_pos", "sentence")) \
+        .filter(F.col("sentence_pos").isNotNull())
+    toks = sents.select(key, "class", "sentence_pos", "sentence",
+                        F.explode_outer(F.split(F.lower("sentence"), TOKEN_PATTERN)).alias("word"))
+    j = toks.join(vocab, "word", "left").join(coef, ["class", "term"], "left")
+    per = j.groupBy(key, "class", "sentence_pos", "sentence").agg(
+        F.sum(F.coalesce(F.col("idf") * F.col("coef"), F.lit(0.0))).alias("contribution"))
+    start = coef.filter("term = -1").select("class", F.col("coef").alias("intercept"))
+    w = Window.partitionBy(key)
+    per = per.join(start, "class").withColumn("margin", F.sum("contribution").over(w) + F.col("intercept"))
+    rank = F.row_number().over(w.orderBy(F.desc("contribution"), F.col("sentence_pos")))
+    return per.select(key, rank.alias("rank"), "sentence_pos", "sentence", "contribution", "margin")
 
 
 # --- field presence (M6, M7, P8) ------------------------------------------------------
 
-def train_presence(df: DataFrame, flags: list[str], text: str = "text", max_iter: int = 30):
-    """M6: one shared feature pipeline, one binary logistic regression per flag."""
-    feats = Pipeline(stages=feature_stages(text)).fit(df)
-    data = feats.transform(df).select("features", *flags).persist()
+def train_presence(df: DataFrame, flags: list[str], text: str = "text", max_iter: int = MAX_ITER):
+    """M6: one shared feature pipeline, one binary logistic regression per flag,
+    over at most ``FIT_ROWS`` rows."""
+    rows = fit_sample(df, text).persist(StorageLevel.MEMORY_AND_DISK)
+    feats = Pipeline(stages=feature_stages(text)).fit(rows)
+    data = feats.transform(rows).select("features", *flags).persist(StorageLevel.MEMORY_AND_DISK)
     models = {}
     for f in flags:
-        lr = LogisticRegression(featuresCol="features", labelCol=f, maxIter=max_iter,
+        lr = LogisticRegression(featuresCol="features", labelCol=f, maxIter=max_iter, tol=TOL,
                                 probabilityCol=f"prob_{f}", rawPredictionCol=f"raw_{f}", predictionCol=f"pred_{f}")
         models[f] = lr.fit(data.withColumn(f, F.col(f).cast("double")))
     data.unpersist()
+    rows.unpersist()
     return feats, models
 
 
 def predict_presence(feats: PipelineModel, models: dict, df: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """M7 + P8: presence flag = probability strictly above the threshold."""
+    """M7 + P8: presence probability, and flag = probability strictly above the threshold."""
     out = feats.transform(df)
     for f, m in models.items():
-        out = m.transform(out)
-        out = out.withColumn(f"predicted_{f}", (vector_to_array(f"prob_{f}")[1] > threshold).cast("int"))
+        out = m.transform(out).withColumn(f"probability_{f}", vector_to_array(f"prob_{f}")[1])
+        out = out.withColumn(f"predicted_{f}", (F.col(f"probability_{f}") > threshold).cast("int"))
         out = out.drop(f"prob_{f}", f"raw_{f}", f"pred_{f}")
     return out.drop("tokens", "tf", "features")
-
-
-def explain_sentences(spark: SparkSession, model: PipelineModel, df: DataFrame, key: str, text: str = "text",
-                      k: int = 3) -> DataFrame:
-    """M8 at sentence level (re-aimed): per document the ``k`` sentences whose
-    tokens add most toward the predicted class (sum of idf x coefficient over
-    the sentence's tokens)."""
-    from quire.functions.keywords import sentences
-    vocab, coef = model_tables(spark, model)
-    scored = model.transform(df).select(key, text, F.col("prediction").cast("int").alias("class"))
-    sents = scored.select(key, "class", F.posexplode_outer(sentences(F.col(text))).alias("sentence_pos", "sentence")) \
-        .filter(F.col("sentence_pos").isNotNull())
-    toks = sents.select(key, "class", "sentence_pos",
-                        F.explode_outer(F.split(F.lower("sentence"), TOKEN_PATTERN)).alias("word")) \
-        .filter(F.col("word").isNotNull() & (F.col("word") != ""))
-    j = toks.join(F.broadcast(vocab), "word").join(F.broadcast(coef), ["class", "term"])
-    per = j.groupBy(key, "sentence_pos").agg(F.sum(F.col("idf") * F.col("coef")).alias("contribution"))
-    text_of = sents.select(key, "sentence_pos", "sentence")
-    w = Window.partitionBy(key).orderBy(F.desc("contribution"), F.col("sentence_pos"))
-    top = per.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-    return top.join(text_of, [key, "sentence_pos"]).select(key, "rank", "sentence_pos", "sentence", "contribution")

@@ -128,7 +128,11 @@ def classification_report(df: DataFrame, label: str, pred: str) -> DataFrame:
     """Precision / recall / f1 / support per class (classes = truth and
     predicted values), accuracy, macro and weighted averages; 0 when a
     denominator is 0."""
-    p = pair_counts(df, label, pred)
+    return report_of_pairs(pair_counts(df, label, pred))
+
+
+def report_of_pairs(p: DataFrame) -> DataFrame:
+    """A9 from the K x K table (label, prediction, n)."""
     truth = p.groupBy("label").agg(F.sum("n").alias("support"))
     predicted = p.groupBy(F.col("prediction").alias("label")).agg(F.sum("n").alias("n_pred"))
     tp = p.filter(F.col("label") == F.col("prediction")).select("label", F.col("n").alias("tp"))

@@ -139,14 +139,14 @@ def route_files(spark, sf_dir):
 def stream_ingest(spark, sf_dir):
     """``documents.parquet`` as a file stream into a corpus that already
     holds the even documents; returns the corpus after the stream drained."""
-    from quire.streaming.ingest import start_ingest, to_corpus_rows
+    from quire.streaming.ingest import read_corpus, start_ingest, to_corpus_rows, write_batch
     corpus_path = FS.staging_dir(spark, "stream-corpus")
     ckpt = FS.staging_dir(spark, "stream-ckpt")
     docs = table(spark, sf_dir, "documents")
-    to_corpus_rows(docs.filter(F.col("doc_id") % 2 == 0)).write.mode("overwrite").parquet(corpus_path)
+    write_batch(to_corpus_rows(docs.filter(F.col("doc_id") % 2 == 0)), corpus_path, "stored")
     q = start_ingest(spark, sf_dir, docs.schema, corpus_path, ckpt, glob="documents.parquet")
     q.awaitTermination()
-    return spark.read.parquet(corpus_path).select("id", "filename", "text", "label_name")
+    return read_corpus(spark, corpus_path).select("id", "filename", "text", "label_name")
 
 
 @register("corpus_write", sql=HASH_CORPUS_SQL)

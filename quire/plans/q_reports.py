@@ -172,24 +172,38 @@ def presence_report(spark, sf_dir):
 
 # --- run results ------------------------------------------------------------------
 
+# the event log stands in for a run log: one upload per event
+UPLOAD_PREFIX, ERROR_PREFIX, GATED_EVENT = "upload_", "Error processing file: ", "purchase"
+
 RUN_SQL = f"""
-WITH e AS (SELECT *, {O.q(RS.UPLOAD_PREFIX)} || CAST(event_id AS VARCHAR) || '.' ||
+WITH e AS (SELECT *, {O.q(UPLOAD_PREFIX)} || CAST(event_id AS VARCHAR) || '.' ||
                   ({"[" + ", ".join(O.q(x) for x in S.ALLOWED_EXTENSIONS) + "]"})[CAST(user_id % {len(S.ALLOWED_EXTENSIONS)} AS INTEGER) + 1] AS filename
            FROM events),
 r AS (SELECT event_id, filename,
              CASE WHEN event_type = 'error' THEN NULL ELSE upper(substring(event_type, 1, 1)) || lower(substring(event_type, 2)) END AS classification,
-             CASE WHEN event_type = 'error' THEN {O.q(RS.ERROR_PREFIX)} || props END AS error,
+             CASE WHEN event_type = 'error' THEN {O.q(ERROR_PREFIX)} || props END AS error,
              upper(regexp_extract(filename, '\\.([^.]*)$', 1)) AS file_type,
              CASE WHEN event_type = 'purchase' THEN 'amount=' || CAST(value AS VARCHAR) || ';user=' || CAST(user_id AS VARCHAR) END AS fields
       FROM e)
 """
 
 
+def run_log(spark, sf_dir):
+    exts = F.array(*[F.lit(x) for x in S.ALLOWED_EXTENSIONS])
+    e = table(spark, sf_dir, "events")
+    runs = e.select(
+        "event_id", F.concat(F.lit(UPLOAD_PREFIX), F.col("event_id").cast("string"), F.lit("."), F.element_at(
+            exts, (F.col("user_id") % len(S.ALLOWED_EXTENSIONS)).cast("int") + 1)).alias("filename"),
+        F.col("event_type").alias("status"), F.concat(F.lit(ERROR_PREFIX), F.col("props")).alias("message"),
+        F.create_map(F.lit("amount"), F.col("value").cast("string"), F.lit("user"), F.col("user_id").cast("string")).alias("fields"))
+    return RS.result_rows(runs, GATED_EVENT)
+
+
 @register("run_results", sql=RUN_SQL + "SELECT event_id, filename, classification, error, file_type, fields FROM r")
 def run_results(spark, sf_dir):
     """P9 + N6 + P11: one result or error row per uploaded file; the field map
     only for the gated class."""
-    r = RS.run_results(table(spark, sf_dir, "events"))
+    r = run_log(spark, sf_dir)
     return r.select("event_id", "filename", "classification", "error", "file_type",
                     RS.render_fields("fields").alias("fields"))
 
@@ -201,7 +215,7 @@ SELECT classification, n, round(CAST(n AS DOUBLE) * 100.0 / CAST(sum(n) OVER ()
 """)
 def run_stats(spark, sf_dir):
     """A14."""
-    return R.run_stats(RS.run_results(table(spark, sf_dir, "events")))
+    return R.run_stats(run_log(spark, sf_dir))
 
 
 def _prob_sql(i: int) -> str:

@@ -2,12 +2,18 @@
 
 New files -> clean -> content id -> skip ids already stored -> append.  The
 state is the stored corpus itself (its ids), not the streaming state store, so
-it survives restarts and can be rebuilt; a replayed micro-batch finds its rows
-already stored and appends nothing (the anti join makes the sink idempotent).
+it survives restarts and can be rebuilt.
+
+The corpus is partitioned by batch and, below it, by the first digits of the
+id.  A batch overwrites its own partition and looks for stored ids in all
+others, so a batch that stopped half-way and runs again gives the same rows,
+copies included; and the lookup reads ids only, of the id ranges it has.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,22 +33,46 @@ def to_corpus_rows(batch: DataFrame) -> DataFrame:
                           S.format_timestamp(F.current_timestamp()).alias("timestamp"))
 
 
-def append_batch(spark: SparkSession, corpus_path: str, dedupe_in_batch: bool = False):
-    """foreachBatch body: anti join on the stored ids, then append."""
+#: Leading hash digits that name an id range.
+RANGE_DIGITS = 2
+
+
+def write_batch(rows: DataFrame, corpus_path: str, batch: str) -> None:
+    """Write ``rows`` as the batch's own partition, replacing what is there."""
+    (rows.withColumn("id_range", F.substring("id", 1, RANGE_DIGITS)).repartition("id_range")
+     .write.mode("overwrite").partitionBy("id_range").parquet(f"{corpus_path}/batch={batch}"))
+
+
+def stored_ids(spark: SparkSession, corpus_path: str, batch: str) -> DataFrame | None:
+    """Ids and their ranges in all partitions but the batch's own."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in ("id", "batch", "id_range")])
+    root = spark._jvm.org.apache.hadoop.fs.Path(corpus_path)
+    if not root.getFileSystem(spark._jsc.hadoopConfiguration()).exists(root):
+        return None
+    return (spark.read.schema(schema).parquet(corpus_path).filter(F.col("batch") != batch)
+            .select("id", "id_range").distinct())
+
+
+def append_batch(spark: SparkSession, corpus_path: str, stream: str, dedupe_in_batch: bool = False):
+    """foreachBatch body: anti join on the stored ids, then the batch's partition.
+    ``stream`` names the stream's checkpoint, so that batch numbers of another
+    stream into the same corpus are not mistaken for this one's."""
     def run(batch: DataFrame, epoch_id: int) -> None:
-        rows = to_corpus_rows(batch)
+        name = f"{stream}-{epoch_id}"
+        rows = to_corpus_rows(batch).withColumn("id_range", F.substring("id", 1, RANGE_DIGITS))
         if dedupe_in_batch:
             rows = rows.dropDuplicates(["id"])
-        try:
-            stored = spark.read.parquet(corpus_path).select("id")
-            rows = rows.join(stored, "id", "left_anti")
-        except Exception as e:  # noqa: BLE001 - no corpus written yet
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                raise
-        rows.write.mode("append").parquet(corpus_path)
+        stored = stored_ids(spark, corpus_path, name)
+        if stored is not None:
+            rows = rows.join(stored, ["id_range", "id"], "left_anti")
+        write_batch(rows.select(CORPUS_COLUMNS), corpus_path, name)
     return run
 
 
+def read_corpus(spark: SparkSession, corpus_path: str) -> DataFrame:
+    return spark.read.parquet(corpus_path).select(CORPUS_COLUMNS)
+
+
 def start_ingest(spark: SparkSession, source_dir: str, schema: T.StructType, corpus_path: str,
                  checkpoint: str, glob: str = "*.parquet", available_now: bool = True,
                  max_files_per_trigger: int | None = None):
@@ -51,6 +81,7 @@ def start_ingest(spark: SparkSession, source_dir: str, schema: T.StructType, cor
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(source_dir)
-    writer = stream.writeStream.foreachBatch(append_batch(spark, corpus_path)).option("checkpointLocation", checkpoint)
+    name = hashlib.md5(checkpoint.encode()).hexdigest()[:12]
+    writer = stream.writeStream.foreachBatch(append_batch(spark, corpus_path, name)).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
     return writer.start()

@@ -177,8 +177,9 @@ def test_unseen_label_reported(spark):
                                   [(f"gamma delta {i}", "b") for i in range(20)], "text string, label string")
     m = M.train(train, max_iter=10)
     test = spark.createDataFrame([("alpha beta", "a"), ("gamma", "b"), ("new words", "zzz")], "text string, label string")
-    metrics = {r.metric: r.value for r in M.evaluate(m, test).collect()}
-    assert metrics["unseen_label_rows"] == 1.0 and metrics["accuracy"] == 1.0
+    report = {r["class"]: r for r in M.evaluate(m, test).collect()}
+    assert report["unseen labels"].support == 1 and report["accuracy"].f1 == 1.0
+    assert report["a"].support == 1 and report["log_loss"].f1 < 0.7
     p = M.predict(m, test).select("predicted_label", "argmax").collect()
     assert [r.predicted_label for r in p][:2] == ["a", "b"]
 
@@ -274,3 +275,59 @@ def test_vocabulary_is_a_hash_aggregate(spark):
     plan = _plan(e.groupBy("word").agg(F.count(F.lit(1)), F.min(place)))
     assert "HashAggregate" in plan and "SortAggregate" not in plan
     assert V.vocabulary_size(toks, "w").first().n_words == 2
+
+
+def test_tune_keeps_the_best_and_stops(spark):
+    from quire.operators import models as M
+    rows = spark.createDataFrame([(f"alpha beta {i}", "a") for i in range(40)] + [(f"gamma delta {i}", "b") for i in range(40)],
+                                 "text string, label string")
+    model, history = M.tune(rows, regs=(10.0, 0.01, 20.0, 30.0, 40.0), patience=2, max_iter=10)
+    assert [h[0] for h in history] == [10.0, 0.01, 20.0, 30.0] and [h[2] for h in history] == [False, True, False, False]
+    assert M.predict(model, rows).filter("predicted_label <> label").count() == 0
+
+
+def test_explanations_list_everything(spark):
+    from quire.operators import models as M
+    rows = spark.createDataFrame([(i, f"alpha beta word{i}. Second here!", "ab"[i % 2]) for i in range(20)],
+                                 "doc_id long, text string, label string")
+    m = M.train(rows, max_iter=5)
+    odd = spark.createDataFrame([(1, "unknownone alpha. Alpha unknowntwo? zzz")], "doc_id long, text string").withColumn("label", F.lit("a"))
+    tokens = {r.word: r for r in M.explain_tokens(spark, m, odd, "doc_id").collect()}
+    assert set(tokens) == {"unknownone", "alpha", "unknowntwo", "zzz"} and tokens["zzz"].contribution == 0 and tokens["alpha"].tf == 2
+    found = M.explain_sentences(spark, m, odd, "doc_id").collect()
+    assert sorted(r.sentence_pos for r in found) == [0, 1, 2]
+
+
+def test_batch_isolates_bad_files(spark):
+    from quire.operators import batch as B
+    from quire.operators import models as M
+    from quire.operators import reports
+    train = spark.createDataFrame([(f"invoice no {i} total", "invoice") for i in range(20)] + [(f"dear friend {i} hello", "letter") for i in range(20)],
+                                  "text string, label string")
+    files = spark.createDataFrame([
+        ("/x/a.txt", bytearray(b"Invoice No: A-12 total: $5.00")), ("/x/b.txt", bytearray(b"dear friend hello")),
+        ("/x/c.exe", bytearray(b"invoice")), ("/x/d.txt", None), ("/x/e.txt", bytearray(b"\xff \n")), ("/x/f.pdf", bytearray(b"x"))],
+        "path string, content binary")
+    out = {r.filename: r for r in B.process_files(files, M.train(train, max_iter=10)).collect()}
+    assert len(out) == 6 and out["a.txt"].classification == "Invoice" and out["a.txt"].fields["invoice_number"] == "A-12"
+    assert out["b.txt"].classification == "Letter" and out["b.txt"].fields is None
+    assert [out[n].error for n in ("c.exe", "d.txt", "e.txt", "f.pdf")] == [B.UNSUPPORTED, B.UNREADABLE, B.NO_TEXT, B.NEEDS_TEXT]
+    stats = {r.classification: r.n for r in reports.run_stats(B.process_files(files, M.train(train, max_iter=10))).collect()}
+    assert stats == {"Invoice": 1, "Letter": 1, "Error": 4}
+
+
+def test_replayed_batch_keeps_copies(spark, tmp_path):
+    from quire.streaming.ingest import append_batch, read_corpus, to_corpus_rows, write_batch
+    path = str(tmp_path / "corpus")
+    docs = spark.createDataFrame([(1, "s", "old text", "en")], "doc_id long, source string, text string, lang string")
+    write_batch(to_corpus_rows(docs), path, "stored")
+    batch = spark.createDataFrame([(2, "s", "new text", "en"), (3, "s", "new text", "en"), (4, "s", "old text", "en"),
+                                   (5, "s", "other text", "en")], "doc_id long, source string, text string, lang string")
+    # the batch stopped after it had written one of its rows
+    write_batch(to_corpus_rows(batch.filter("doc_id = 2")), path, "st-0")
+    for _ in range(2):
+        append_batch(spark, path, "st")(batch, 0)
+        names = sorted(r.filename for r in read_corpus(spark, path).collect())
+        assert names == ["s/doc_1.txt", "s/doc_2.txt", "s/doc_3.txt", "s/doc_5.txt"]
+    append_batch(spark, path, "st")(batch, 1)
+    assert read_corpus(spark, path).count() == 4
