@@ -8,8 +8,9 @@ organisation name are exempt.
 Candidate generation is a symmetric-delete equi-join: every term and every
 distinct out-of-dictionary token is expanded to the strings reachable by
 deleting up to two characters from its first seven, the two sides are joined
-on those keys, and each candidate pair is verified with Spark's bounded
-``levenshtein`` (plain Levenshtein: a transposition counts 2).  No cross join:
+on those keys, and each candidate pair is verified with
+an exact distance (an exchange of neighbouring characters
+counts 1).  No cross join:
 the work is proportional to the candidate pairs that share a delete key.
 Only distinct tokens take part; occurrences are joined back afterwards.
 """
@@ -44,6 +45,27 @@ def delete_keys(word) -> Column:
     return F.array_distinct(F.concat(F.array(p), d1, d2))
 
 
+def _swaps(s: Column) -> Column:
+    """Every string made by exchanging two neighbouring characters of ``s``."""
+    n = F.length(s)
+    return F.when(n > 1, F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.concat(
+        F.substring(s, 1, i - 1), F.substring(s, i + 1, 1), F.substring(s, i, 1), F.substring(s, i + 2, n)))) \
+        .otherwise(F.array().cast("array<string>"))
+
+
+def edit_distance(token, term) -> Column:
+    """Edits up to ``MAX_EDIT`` (null beyond), an exchange of neighbours being
+    one: plain distance, or one exchange on either side and one more edit, or
+    one exchange on each side."""
+    a, b = col_of(token), col_of(term)
+    plain = F.levenshtein(a, b, MAX_EDIT)
+    near_a = F.exists(_swaps(a), lambda s: F.levenshtein(s, b, 1) >= 0)
+    near_b = F.exists(_swaps(b), lambda s: F.levenshtein(s, a, 1) >= 0)
+    one = F.array_contains(_swaps(a), b)
+    return (F.when((plain >= 0) & (plain < 2), plain).when(one, 1)
+            .when((plain == 2) | near_a | near_b | F.arrays_overlap(_swaps(a), _swaps(b)), 2))
+
+
 def dictionary_from_text(df: DataFrame, text: str = "text", min_count: int = 1) -> DataFrame:
     """A frequency dictionary ``term, cnt``: lower-cased words (``[a-z]+``) of
     the cleaned text."""
@@ -68,7 +90,9 @@ def best_terms(tokens: DataFrame, dictionary: DataFrame, token: str = "token") -
                   F.explode(F.sequence(F.length("term") - MAX_EDIT, F.length("term") + MAX_EDIT)).alias("tlen"))
     cand = tk.join(dk, ["key", "tlen"]).select("token", "term", "cnt").distinct()
     cand = cand.filter(F.abs(F.length("token") - F.length("term")) <= MAX_EDIT)
-    cand = cand.withColumn("distance", F.levenshtein("token", "term", MAX_EDIT)).filter(F.col("distance") >= 0)
+    # two edits, exchanges included, are at most four plain ones
+    cand = cand.filter(F.levenshtein("token", "term", 2 * MAX_EDIT) >= 0)
+    cand = cand.withColumn("distance", edit_distance("token", "term")).filter(F.col("distance").isNotNull())
     best = cand.groupBy("token").agg(
         F.min_by(F.struct("term", "distance"), F.struct("distance", -F.col("cnt"), "term")).alias("b"))
     fuzzy = best.select("token", F.col("b.term").alias("term"), F.col("b.distance").alias("distance"))

@@ -90,8 +90,8 @@ occ AS (SELECT conv_id, turn, org, unnest(string_split_regex(t, '\\s+')) AS tok,
                generate_subscripts(string_split_regex(t, '\\s+'), 1) AS pos FROM e),
 o2 AS (SELECT *, org <> '' AND list_contains(string_split_regex(org, '\\s+'), tok) AS exempt FROM occ WHERE tok <> ''),
 ut AS (SELECT DISTINCT tok FROM o2 WHERE NOT exempt AND tok NOT IN (SELECT term FROM dict)),
-cand AS (SELECT tok, term, cnt, levenshtein(tok, term) AS d FROM ut JOIN dict
-         ON abs(length(tok) - length(term)) <= {SPL.MAX_EDIT} WHERE levenshtein(tok, term) <= {SPL.MAX_EDIT}),
+cand AS (SELECT tok, term, cnt, damerau_levenshtein(tok, term) AS d FROM ut JOIN dict
+         ON abs(length(tok) - length(term)) <= {SPL.MAX_EDIT} WHERE damerau_levenshtein(tok, term) <= {SPL.MAX_EDIT}),
 best AS (SELECT tok, arg_min(term, {{'d': d, 'c': -cnt, 't': term}}) AS term FROM cand GROUP BY tok),
 w AS (SELECT o2.conv_id, o2.turn, o2.pos, CASE WHEN exempt THEN o2.tok ELSE coalesce(best.term, o2.tok) END AS w
       FROM o2 LEFT JOIN best ON o2.tok = best.tok),

@@ -331,3 +331,10 @@ def test_replayed_batch_keeps_copies(spark, tmp_path):
         assert names == ["s/doc_1.txt", "s/doc_2.txt", "s/doc_3.txt", "s/doc_5.txt"]
     append_batch(spark, path, "st")(batch, 1)
     assert read_corpus(spark, path).count() == 4
+
+
+def test_exchange_counts_one_edit(spark):
+    pairs = [("abcd", "abdc", 1), ("abcd", "badc", 2), ("ca", "abc", 2), ("abc", "ca", 2), ("abcd", "abcd", 0), ("abcd", "axyd", 2),
+             ("abcdef", "badcfe", None), ("a", "b", 1), ("abcd", "bacx", 2)]
+    df = spark.createDataFrame(pairs, "a string, b string, d int")
+    assert [r.x for r in df.select(SPL.edit_distance("a", "b").alias("x")).collect()] == [p[2] for p in pairs]
