@@ -11,7 +11,9 @@ fragment by fragment and summed, per text or per pair:
    with nothing.  Memory of a fragment is bounded by their number.
 3. For the rest, document counts give the global order (rare first); n-grams
    that one node has alone cannot overlap and only count for its size.  Two
-   linked nodes share an n-gram among the first ``n - ceil(0.8 n) + 1``.
+   linked nodes share an n-gram among the first ``n - ceil(0.8 n) + 1``; a pair
+   also has to fit by the n-gram's positions and by the parity bitmaps of the
+   two sets, whose differing bits are no more than the sets' differing n-grams.
 4. Pairs are not made within a group that is already connected.  First every
    posting list pairs its members with a pivot (as many pairs as there are
    postings); the links found make components; then members of different
@@ -35,7 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.llm.common import staged
@@ -50,6 +52,8 @@ FRAGMENT_NGRAMS, LEAST_FRAGMENTS = 2_000_000, 4
 PART_OF_EIGHT = 3
 #: Orders of preference among pivots; a text meets about as many pivots.
 PIVOT_ORDERS = 16
+#: Bits of a set's parity bitmap: each is the parity of the n-grams that fall on it.
+BITMAP_BITS = 512
 _STEP = [np.uint64(x) for x in (0x9FB21C651E98DF25, 0xA24BAED4963EE407, 0xD6E8FEB86659FD93,
                                 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
@@ -110,10 +114,10 @@ def _cut(fragments: int, top: int):
             if not seen:
                 continue
             cuts = np.array([[0, *np.searchsorted(g, bounds), len(g)] for _, g in seen.values()])
-            nodes, sizes = list(seen), np.array([n for n, _ in seen.values()], np.int64)
+            nodes, sizes = list(seen), np.array([n for n, _ in seen.values()], np.int32)
             out = []
             for f in range(fragments):
-                counts = cuts[:, f + 1] - cuts[:, f]
+                counts = (cuts[:, f + 1] - cuts[:, f]).astype(np.int32)
                 has = np.flatnonzero(counts)
                 if len(has):
                     out.append((f, b"".join(nodes[i] for i in has), sizes[has].tobytes(), counts[has].tobytes(),
@@ -130,18 +134,17 @@ def _fragment(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     def flat(name, kind):
         return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
 
-    nodes, sizes, counts, grams = flat("nodes", "V16"), flat("sizes", np.int64), flat("counts", np.int64), flat("grams", np.uint64)
-    first = np.unique(nodes.view([("a", "<u8"), ("b", "<u8")]), return_index=True)[1]
+    nodes, grams = flat("nodes", [("a", "<u8"), ("b", "<u8")]), flat("grams", np.uint64)
+    sizes, counts = flat("sizes", np.int32), flat("counts", np.int32)
     chosen = np.zeros(len(nodes), bool)
-    chosen[first] = True
+    chosen[np.unique(nodes, return_index=True)[1]] = True
     grams = grams[np.repeat(chosen, counts)]
     nodes, sizes, counts = nodes[chosen], sizes[chosen], counts[chosen]
-    order = np.argsort(grams, kind="stable")
+    order = np.argsort(grams, kind="stable").astype(np.int32)
     ranked = grams[order]
-    new = np.concatenate([[True], ranked[1:] != ranked[:-1]])
-    run = np.cumsum(new) - 1
-    among = np.empty(len(grams), np.int64)
-    among[order] = np.bincount(run)[run]
+    run = np.cumsum(np.concatenate([[False], ranked[1:] != ranked[:-1]]), dtype=np.int32)
+    among = np.empty(len(grams), np.int32)
+    among[order] = np.bincount(run).astype(np.int32)[run]
     return nodes, sizes, counts, grams, among
 
 
@@ -154,20 +157,25 @@ def _shared_counts(table):
     return pa.table({"node": pa.array([nodes[i].tobytes() for i in has], pa.binary()), "shared": pa.array(shared[has], pa.int64())})
 
 
+def _parities(grams: np.ndarray) -> np.ndarray:
+    odd = np.bincount((grams & np.uint64(BITMAP_BITS - 1)).astype(np.int64), minlength=BITMAP_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _segments(key, table):
-    """Per node: its n-grams of this fragment that other nodes have too."""
+    """Per node: its n-grams of this fragment that other nodes have too, and
+    the parities of all it has here."""
     nodes, sizes, counts, grams, among = _fragment(table)
     ends = np.cumsum(counts)
     rows = []
     for node, n, end, count in zip(nodes, sizes.tolist(), ends.tolist(), counts.tolist(), strict=True):
-        both = among[end - count:end]
+        own, both = grams[end - count:end], among[end - count:end]
         keep = both > 1
-        if keep.any():
-            rows.append((node.tobytes(), n, key[0].as_py(), grams[end - count:end][keep].tobytes(), both[keep].tobytes()))
-    columns = list(zip(*rows, strict=True)) if rows else [()] * 5
-    kinds = (pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+        rows.append((node.tobytes(), n, key[0].as_py(), own[keep].tobytes(), both[keep].tobytes(), _parities(own).tobytes()))
+    columns = list(zip(*rows, strict=True)) if rows else [()] * 6
+    kinds = (pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
     return pa.table({name: pa.array(c, k) for name, c, k in
-                     zip(("node", "n", "fragment", "grams", "among"), columns, kinds, strict=True)})
+                     zip(("node", "n", "fragment", "grams", "among", "bits"), columns, kinds, strict=True)})
 
 
 def required(n: int) -> int:
@@ -175,47 +183,86 @@ def required(n: int) -> int:
     return -(-PERCENT * n // 100)
 
 
+BITS = [f"b{k}" for k in range(BITMAP_BITS // 64)]
+POSTING_SCHEMA = "gram bigint, node binary, n bigint, pos bigint, " + ", ".join(f"{b} bigint" for b in BITS)
+
+
 def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per node: the first n-grams in the global order, rare ones first; those
-    the node has alone come before all and make no posting."""
+    """Per node: the first n-grams in the global order, rare ones first, with
+    their positions; those the node has alone come before all and make no
+    posting."""
     for batch in batches:
-        out = []
+        out, bits = [], []
         for node, n, segments in zip(*(batch.column(c).to_pylist() for c in ("node", "n", "segments")), strict=True):
             grams = np.concatenate([np.frombuffer(s["grams"], np.uint64) for s in segments])
-            among = np.concatenate([np.frombuffer(s["among"], np.int64) for s in segments])
+            among = np.concatenate([np.frombuffer(s["among"], np.int32) for s in segments])
+            parities = np.bitwise_xor.reduce([np.frombuffer(s["bits"], np.int64) for s in segments])
             alone = n - len(grams)
             length = n - required(n) + 1 - alone
             if length > 0:
-                for gram in grams[np.lexsort((grams, among))[:length]].astype(np.int64).tolist():
-                    out.append((gram, node, n, len(grams)))
+                for pos, gram in enumerate(grams[np.lexsort((grams, among))[:length]].astype(np.int64).tolist(), alone):
+                    out.append((gram, node, n, pos))
+                    bits.append(parities)
         columns = list(zip(*out, strict=True)) if out else [()] * 4
+        bits = np.stack(bits) if bits else np.empty((0, len(BITS)), np.int64)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.binary(), pa.int64(), pa.int64()), strict=True)],
-            names=["gram", "node", "n", "shared"])
+            [pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.binary(), pa.int64(), pa.int64()), strict=True)]
+            + [pa.array(np.ascontiguousarray(bits[:, k])) for k in range(len(BITS))],
+            names=["gram", "node", "n", "pos", *BITS])
+
+
+#: Pairs that are unpacked at once.
+PAIRS_AT_ONCE = 256
+
+
+def _overlap(a: list[dict], b: list[dict], total: int) -> int:
+    """Partial overlaps, fragment by fragment, summed; it stops where what is
+    left cannot make a link any more."""
+    other = {s["fragment"]: np.frombuffer(s["grams"], np.uint64) for s in b}
+    left, overlap = sum(len(s["grams"]) // 8 for s in a), 0
+    for s in a:
+        own = np.frombuffer(s["grams"], np.uint64)
+        left -= len(own)
+        if len(own) and s["fragment"] in other:
+            overlap += len(np.intersect1d(own, other[s["fragment"]], assume_unique=True))
+        if (overlap + left) * (100 + PERCENT) < total * PERCENT:
+            break
+    return overlap
 
 
-def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        counts = [len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
-                  for x, y in zip(batch.column("grams_a").to_pylist(), batch.column("grams_b").to_pylist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("a", "b", "total")] + [pa.array(counts, pa.int64())],
-                                         names=["a", "b", "total", "part"])
+        for at in range(0, batch.num_rows, PAIRS_AT_ONCE):
+            part = batch.slice(at, PAIRS_AT_ONCE)
+            total = part.column("total").to_pylist()
+            overlaps = [_overlap(*x) for x in zip(part.column("segments_a").to_pylist(), part.column("segments_b").to_pylist(),
+                                                  total, strict=True)]
+            keep = pa.array([o * (100 + PERCENT) >= t * PERCENT for o, t in zip(overlaps, total, strict=True)])
+            yield part.select(["a", "b"]).filter(keep)
+
 
+def verified(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs (a, b, total: sum of the sizes) that are links."""
+    grams = F.transform("segments", lambda s: F.struct(s["fragment"].alias("fragment"), s["grams"].alias("grams")))
+    left = nodes.select(F.col("node").alias("a"), grams.alias("segments_a"))
+    right = nodes.select(F.col("node").alias("b"), grams.alias("segments_b"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "total", "segments_a", "segments_b").mapInArrow(
+        _links, "a binary, b binary")
 
-def verified(pairs: DataFrame, segments: DataFrame) -> DataFrame:
-    """The pairs (a, b, total: sum of the sizes) that are links: overlaps are
-    counted per fragment and summed per pair."""
-    left = segments.select(F.col("node").alias("a"), "fragment", F.col("grams").alias("grams_a"))
-    right = segments.select(F.col("node").alias("b"), "fragment", F.col("grams").alias("grams_b"))
-    parts = (pairs.join(left, "a").join(right, ["b", "fragment"]).select("a", "b", "total", "grams_a", "grams_b")
-             .mapInArrow(_overlaps, "a binary, b binary, total bigint, part bigint"))
-    whole = parts.groupBy("a", "b", "total").agg(F.sum("part").alias("overlap"))
-    return whole.filter(F.col("overlap") * (100 + PERCENT) >= F.col("total") * PERCENT).select("a", "b")
 
+def _fit(a, b):
+    """Positions and sizes of two postings allow a link: the overlap is at most
+    what either set has from the common n-gram on."""
+    total = a("n") + b("n")
+    return (((a("n") - a("pos")) * (100 + PERCENT) >= total * PERCENT)
+            & ((b("n") - b("pos")) * (100 + PERCENT) >= total * PERCENT))
 
-def _may_link(a, b):
-    """Sizes and shared n-grams of two postings allow a link."""
-    return F.least(a("shared"), b("shared")) * (100 + PERCENT) >= (a("n") + b("n")) * PERCENT
+
+def _alike(a, b):
+    """Parities allow a link: the sets differ in no fewer n-grams than their
+    bitmaps in bits."""
+    differ = sum((F.bit_count(a(k).bitwiseXOR(b(k))) for k in BITS), F.lit(0))
+    return differ * (100 + PERCENT) <= (a("n") + b("n")) * (100 - PERCENT)
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -223,15 +270,18 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     least node.  Alternating large-star and small-star, with the edges written
     to the shared folder after each round, until they no longer change."""
     edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct()
+    around = F.min("v").over(Window.partitionBy("u"))
     before = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u")
-        edges = staged(small.select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v"))
-                       .unionByName(low.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
+        # large-star: the larger neighbours of a node point to the least of all
+        large = (both.withColumn("m", F.least("u", around)).filter("v > u")
+                 .select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v"))
+        # small-star: a node and its smaller neighbours point to the least of these
+        low = large.withColumn("m", around)
+        edges = staged(low.select(F.explode(F.array(
+            F.struct(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v")),
+            F.struct(F.col("u"), F.col("m").alias("v")))).alias("e")).select("e.*").filter("u <> v").distinct())
         now = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         if now == before:
             break
@@ -272,35 +322,38 @@ def linked(docs: DataFrame, members: DataFrame) -> DataFrame:
                                              names=["node", "n", "grams"])
 
     texts = docs.join(chosen.select("id"), "id", "left_semi").select("text")
-    cut = texts.mapInArrow(sets, "node binary, n bigint, grams binary").mapInArrow(_cut(_fragments(total), 8), FRAGMENT_SCHEMA)
-    segments = staged(cut.groupBy("fragment").applyInArrow(
-        _segments, "node binary, n bigint, fragment bigint, grams binary, among binary"))
-    postings = staged(segments.groupBy("node", "n").agg(F.collect_list(F.struct("grams", "among")).alias("segments"))
-                      .mapInArrow(_postings, "gram bigint, node binary, n bigint, shared bigint"))
-
-    # pairs with pivots: as many as there are postings
+    fragments = _cut(_fragments(total), 8)
+    cut = texts.mapInArrow(lambda batches: fragments(sets(batches)), FRAGMENT_SCHEMA)
+    segments = cut.groupBy("fragment").applyInArrow(
+        _segments, "node binary, n bigint, fragment bigint, grams binary, among binary, bits binary")
+    nodes = staged(segments.groupBy("node", "n").agg(
+        F.sort_array(F.collect_list(F.struct("fragment", "grams", "among", "bits"))).alias("segments")))
+    postings = staged(nodes.mapInArrow(_postings, POSTING_SCHEMA))
+
+    # pairs with pivots: at most as many as there are postings
     order = F.pmod(F.col("gram"), F.lit(PIVOT_ORDERS))
-    pivots = postings.groupBy("gram").agg(
-        F.min(F.struct(F.xxhash64("node", order).alias("place"), "node", "n", "shared")).alias("pivot"))
-    p = postings.join(pivots, "gram").filter(
-        (F.col("node") != F.col("pivot.node")) & _may_link(lambda c: F.col(c), lambda c: F.col(f"pivot.{c}")))
+    lists = postings.select("gram", "node", "n", "pos")
+    pivots = lists.groupBy("gram").agg(F.min(F.struct(F.xxhash64("node", order).alias("place"), "node", "n", "pos")).alias("pivot"))
+    p = lists.join(pivots, "gram").filter((F.col("node") != F.col("pivot.node"))
+                                          & _fit(lambda c: F.col(c), lambda c: F.col(f"pivot.{c}")))
     pairs = p.select(F.least("node", "pivot.node").alias("a"), F.greatest("node", "pivot.node").alias("b"),
                      (F.col("n") + F.col("pivot.n")).alias("total")).distinct()
-    first = staged(verified(pairs, segments))
+    first = staged(verified(pairs, nodes))
 
     # members of one posting list that are in different components by now
-    named = postings.join(components(first), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    stars = staged(components(first))
+    named = postings.join(stars, "node", "left").withColumn("component", F.coalesce("component", "node"))
     open_lists = named.groupBy("gram").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("gram")
     named = staged(named.join(open_lists, "gram", "left_semi"))
     x, y = named.alias("x"), named.alias("y")
     crossing = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.node") < F.col("y.node"))
                       & (F.col("x.component") != F.col("y.component"))
-                      & _may_link(lambda c: F.col(f"x.{c}"), lambda c: F.col(f"y.{c}")))
+                      & _fit(lambda c: F.col(f"x.{c}"), lambda c: F.col(f"y.{c}"))
+                      & _alike(lambda c: F.col(f"x.{c}"), lambda c: F.col(f"y.{c}")))
     pairs = crossing.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"),
                             (F.col("x.n") + F.col("y.n")).alias("total")).distinct()
-    tested = p.select(F.least("node", "pivot.node").alias("a"), F.greatest("node", "pivot.node").alias("b")).distinct()
-    second = verified(pairs.join(tested, ["a", "b"], "left_anti"), segments)
-    return components(first.unionByName(second))
+    second = verified(pairs, nodes)
+    return components(stars.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(second))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
