@@ -128,7 +128,7 @@ class WordEncoder:
 
     def __init__(self, fold: MergeFold, chunks: Callable[[str], list[str]], pieces: Callable[[str], list[str] | None],
                  first: Callable[[np.ndarray], np.ndarray], whole: dict[bytes, bytes] | None = None,
-                 odd: Callable[[str], bytes] | None = None, capacity: int = 500_000):
+                 odd: Callable[[str], bytes] | None = None, capacity: int = 200_000):
         self.fold, self.chunks, self.pieces, self.first = fold, chunks, pieces, first
         self.whole, self.odd, self.capacity = whole or {}, odd, capacity
         self.of_chunk: dict[str, bytes] = {}

@@ -42,14 +42,15 @@ MIN_TEXTS, MIN_Z = 3, 5.0
 STEPS, RATE, DECAY = 600, 0.05, 1e-4
 
 
-def buckets(texts: list[str | None], wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(row, bucket) of every distinct bucket of every text, by row; with
-    ``wanted`` (a mask over buckets) of those alone."""
-    found = [np.empty(0, np.int64)]
+def buckets(texts: list[str | None], wanted: np.ndarray | None = None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Portion by portion: first text, number of texts, and (text, bucket) of
+    every distinct bucket of every text, in order, texts counted from the first;
+    with ``wanted`` (a mask over buckets) of those alone."""
     for first, buffer, bounds in portions(texts):
         words = Words(buffer, strip=True)
-        rows = first + np.searchsorted(bounds, words.starts, "right") - 1
+        rows = np.searchsorted(bounds, words.starts, "right") - 1
         size = words.ends - words.starts
+        found = []
         for length in (None, *BEGINNINGS):
             long = slice(None) if length is None else np.flatnonzero(size > length)
             starts = words.starts[long]
@@ -57,9 +58,9 @@ def buckets(texts: list[str | None], wanted: np.ndarray | None = None) -> tuple[
             # a beginning is another feature than the word of the same letters
             column = ((hashes + np.uint64(length or 0)) & np.uint64(FEATURES - 1)).astype(np.int64)
             key = (rows[long] << 32) | column
-            found.append(np.unique(key if wanted is None else key[wanted[column]]))
-    key = np.unique(np.concatenate(found))
-    return key >> 32, key & 0xFFFFFFFF
+            found.append(key if wanted is None else key[wanted[column]])
+        key = np.unique(np.concatenate(found))
+        yield first, len(bounds) - 1, key >> 32, key & 0xFFFFFFFF
 
 
 @dataclass
@@ -68,8 +69,8 @@ class Model:
     bias: float
 
     def score(self, texts: list[str | None]) -> np.ndarray:
-        rows, columns = buckets(texts, self.weight != 0)
-        return sigmoid(np.bincount(rows, self.weight[columns], len(texts)) + self.bias)
+        margins = [np.bincount(rows, self.weight[columns], n) for _, n, rows, columns in buckets(texts, self.weight != 0)]
+        return sigmoid(np.concatenate([np.empty(0), *margins]) + self.bias)
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -106,12 +107,12 @@ def fit(positive: list[list[int]], unlabelled: list[list[int]], prior: float, st
 
 def _buckets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = batch.column("text").to_pylist()
-        rows, columns = buckets(texts)
-        ends = np.cumsum(np.bincount(rows, minlength=len(texts)))
-        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(columns, pa.int32()))
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("place", "positive", "unlabelled")), lists],
-                                         names=["place", "positive", "unlabelled", "buckets"])
+        for first, n, rows, columns in buckets(batch.column("text").to_pylist()):
+            ends = np.cumsum(np.bincount(rows, minlength=n))
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(columns, pa.int32()))
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c).slice(first, n) for c in ("place", "positive", "unlabelled")), lists],
+                names=["place", "positive", "unlabelled", "buckets"])
 
 
 def train(docs: DataFrame, labels: DataFrame, may_learn, id_col: str = "doc_id", text_col: str = "text",
