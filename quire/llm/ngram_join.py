@@ -7,8 +7,8 @@ fragment by fragment and summed, per text or per pair:
 1. Texts with equal sets are one node (a 128-bit digest of the set).
 2. Texts without partners go first.  In a fixed part of the n-gram space, the
    n-grams that another node has too are counted per fragment and summed per
-   node; a node with more than ``n - ceil(0.8 n)`` n-grams of its own links
-   with nothing.  Memory of a fragment is bounded by their number.
+   node (a fragment with few of them counts as if it had a fifth); a node with
+   more than ``n - ceil(0.8 n)`` n-grams of its own links with nothing.  Memory of a fragment is bounded by their number.
 3. For the rest, document counts give the global order (rare first); n-grams
    that one node has alone cannot overlap and only count for its size.  Two
    linked nodes share an n-gram among the first ``n - ceil(0.8 n) + 1``; a pair
@@ -148,13 +148,19 @@ def _fragment(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     return nodes, sizes, counts, grams, among
 
 
+#: A node's fragment is reported when more than one in so many of its n-grams there are shared.
+FEW = 5
+
+
 def _shared_counts(table):
-    """Nodes that share n-grams in this fragment, and how many."""
+    """Nodes of which more than a ``FEW``-th of the n-grams in this fragment are
+    shared: how many, of how many."""
     nodes, _, counts, _, among = _fragment(table)
-    owner = np.repeat(np.arange(len(nodes)), counts)
-    shared = np.bincount(owner, among > 1, len(nodes)).astype(np.int64)
-    has = np.flatnonzero(shared)
-    return pa.table({"node": pa.array([nodes[i].tobytes() for i in has], pa.binary()), "shared": pa.array(shared[has], pa.int64())})
+    owner = np.repeat(np.arange(len(nodes), dtype=np.int32), counts)
+    shared = np.bincount(owner[among > 1], minlength=len(nodes))
+    has = np.flatnonzero(shared * FEW > counts)
+    return pa.table({"node": pa.array([nodes[i].tobytes() for i in has], pa.binary()),
+                     "shared": pa.array(shared[has], pa.int64()), "held": pa.array(counts[has], pa.int64())})
 
 
 def _parities(grams: np.ndarray) -> np.ndarray:
@@ -301,11 +307,13 @@ def candidates(members: DataFrame) -> DataFrame:
     total = nodes.agg(F.coalesce(F.sum("seen"), F.lit(0)).alias("n")).first()["n"]
     cut = (members.filter("n > 0").select("node", "n", F.col("part").alias("grams"))
            .mapInArrow(_cut(_fragments(total), PART_OF_EIGHT), FRAGMENT_SCHEMA))
-    shared = (cut.groupBy("fragment").applyInArrow(_shared_counts, "node binary, shared bigint")
-              .groupBy("node").agg(F.sum("shared").alias("shared")))
-    own = F.col("seen") - F.coalesce("shared", F.lit(0))
+    shared = (cut.groupBy("fragment").applyInArrow(_shared_counts, "node binary, shared bigint, held bigint")
+              .groupBy("node").agg(F.sum("shared").alias("shared"), F.sum("held").alias("held")))
+    shared_n, held = F.coalesce("shared", F.lit(0)), F.coalesce("held", F.lit(0))
+    # n-grams of its own: those known, and at least all but a FEW-th of the fragments not reported
+    own = F.lit(FEW) * (held - shared_n) + F.lit(FEW - 1) * (F.col("seen") - held)
     return (nodes.join(shared, "node", "left")
-            .filter(own <= F.col("n") - F.ceil(F.col("n") * PERCENT / 100)).select("node", "id", "n"))
+            .filter(own <= FEW * (F.col("n") - F.ceil(F.col("n") * PERCENT / 100))).select("node", "id", "n"))
 
 
 def linked(docs: DataFrame, members: DataFrame) -> DataFrame:
