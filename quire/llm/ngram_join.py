@@ -7,7 +7,7 @@ fragment by fragment and summed, per text or per pair:
 1. Texts with equal sets are one node (a 128-bit digest of the set).
 2. Texts without partners go first.  In a fixed part of the n-gram space, the
    n-grams that another node has too are counted per fragment and summed per
-   node (a fragment with few of them counts as if it had a fifth); a node with
+   node (a fragment with few of them counts as if it had a third); a node with
    more than ``n - ceil(0.8 n)`` n-grams of its own links with nothing.  Memory of a fragment is bounded by their number.
 3. For the rest, document counts give the global order (rare first); n-grams
    that one node has alone cannot overlap and only count for its size.  Two
@@ -149,7 +149,7 @@ def _fragment(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
 
 
 #: A node's fragment is reported when more than one in so many of its n-grams there are shared.
-FEW = 5
+FEW = 3
 
 
 def _shared_counts(table):
@@ -310,7 +310,7 @@ def candidates(members: DataFrame) -> DataFrame:
     shared = (cut.groupBy("fragment").applyInArrow(_shared_counts, "node binary, shared bigint, held bigint")
               .groupBy("node").agg(F.sum("shared").alias("shared"), F.sum("held").alias("held")))
     shared_n, held = F.coalesce("shared", F.lit(0)), F.coalesce("held", F.lit(0))
-    # n-grams of its own: those known, and at least all but a FEW-th of the fragments not reported
+    # n-grams of its own: those known, and at least all but a FEW-th of those in fragments not reported
     own = F.lit(FEW) * (held - shared_n) + F.lit(FEW - 1) * (F.col("seen") - held)
     return (nodes.join(shared, "node", "left")
             .filter(own <= FEW * (F.col("n") - F.ceil(F.col("n") * PERCENT / 100))).select("node", "id", "n"))
