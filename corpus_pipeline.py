@@ -2,7 +2,9 @@
 text of each near-duplicate group kept, secrets masked, the rest packed.
 
 Each stage takes (spark, docs, sf_dir) and works on all its predecessor kept.
-Rows with a null identifier go through every filter: no decision names them.
+Decisions name rows by identifier and text digest, never by the identifier
+alone: a repeated identifier with another text is a row of its own, equal rows
+leave one of them, and rows with a null identifier are judged like any others.
 """
 
 from __future__ import annotations
@@ -15,25 +17,39 @@ from quire.llm import exact_dedup, ngram_join, packing, queries, secrets, toxici
 from quire.llm.common import read, staged
 
 
-def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """``docs`` without the identifiers of ``dropped``."""
-    return docs.join(dropped.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+def _keep(docs: DataFrame, judged: DataFrame) -> DataFrame:
+    """``docs`` without the rows that ``judged`` (doc_id, text_sha256, rows, kept;
+    pairs that go or repeat) names, but for one row of each kept pair.  Only rows that repeat a kept pair
+    are dealt out by it, one a partition."""
+    def among(rows: DataFrame, pairs: DataFrame, how: str) -> DataFrame:
+        pairs = pairs.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha256"))
+        return rows.join(pairs, rows["doc_id"].eqNullSafe(pairs["_id"]) & (rows["_digest"] == pairs["_sha256"]), how)
+
+    rows = docs.withColumn("_digest", F.sha2(F.coalesce("text", F.lit("")), 256))
+    once = among(rows, judged, "left_anti")
+    # a file of its own: where few rows repeat, its size tells that the texts need no shuffle
+    repeated = staged(judged.filter("kept AND rows > 1").select("doc_id", "text_sha256"))
+    first = among(rows, repeated, "left_semi").dropDuplicates(["doc_id", "_digest"])
+    return once.unionByName(first).select(docs.columns)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
     model = toxicity.train(docs, read(spark, sf_dir, "labels"), lambda key: toxicity.fold_of(key) != 0)
-    return _without(docs, staged(toxicity.score(docs, model).filter("score >= 0.5")))
+    return toxicity.drop(docs, model, 0.5)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the largest doc_id stays."""
-    return _without(docs, staged(exact_dedup.exact_dedup(docs, keep="largest").filter("NOT kept")))
+    """Of equal texts the largest doc_id stays, in one row."""
+    judged = exact_dedup.exact_dedup(docs, keep="largest").groupBy("doc_id", "text_sha256").agg(
+        F.count(F.lit(1)).alias("rows"), F.max("kept").alias("kept"))
+    return _keep(docs, staged(judged.filter("NOT kept OR rows > 1")))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the smallest doc_id stays."""
-    return _without(docs, staged(ngram_join.near_duplicates(docs).filter("component_id <> doc_id")))
+    """Of each group of near-duplicates the smallest doc_id stays, in one row;
+    texts without words stay all."""
+    return _keep(docs, staged(ngram_join.judged(docs).filter("NOT kept OR rows > 1")))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -93,9 +93,10 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sizes.append(len(grams))
             nodes.append(_node(grams))
             parts.append(_part(grams).tobytes())
+        others = [c for c in batch.schema.names if c not in ("id", "text")]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("id"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()), pa.array(parts, pa.binary())],
-            names=["id", "n", "node", "part"])
+            [batch.column("id"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()), pa.array(parts, pa.binary()),
+             *(batch.column(c) for c in others)], names=["id", "n", "node", "part", *others])
 
 
 FRAGMENT_SCHEMA = "fragment long, nodes binary, sizes binary, counts binary, grams binary"
@@ -364,15 +365,39 @@ def linked(docs: DataFrame, members: DataFrame) -> DataFrame:
     return components(stars.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(second))
 
 
+def _labelled(rows: DataFrame, *others: str) -> DataFrame:
+    """``id``, ``n``, ``component`` (a node) and ``others`` of every row of
+    ``rows`` (id, text and others)."""
+    kinds = dict(rows.dtypes)
+    schema = [f"id {kinds['id']}, n bigint, node binary, part binary", *(f"{c} {kinds[c]}" for c in others)]
+    members = staged(rows.mapInArrow(_members, ", ".join(schema)))
+    return (members.select("id", "n", "node", *others).join(linked(rows, members), "node", "left")
+            .select("id", "n", F.coalesce("component", "node").alias("component"), *others))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``<id_col>``, ``n_shingles`` and
     ``component_id``, the least identifier reachable by links."""
-    kind = dict(docs.dtypes)[id_col]
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    members = staged(rows.mapInArrow(_members, f"id {kind}, n bigint, node binary, part binary"))
-    labelled = (members.select("id", "n", "node").join(linked(rows, members), "node", "left")
-                .select("id", "n", F.coalesce("component", "node").alias("component")))
+    labelled = _labelled(rows)
     names = labelled.groupBy("component").agg(F.min("id").alias("least"))
     return (labelled.join(names, "component", "left")
             .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("id")).alias("component_id")))
+
+
+def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per identifier and text with words: ``<id_col>``, ``text_sha256``,
+    ``rows`` that have both, and ``kept``, true for one pair of each component:
+    that of the least identifier (null is last), then the least digest."""
+    text = F.col(text_col)
+    rows = docs.select(F.col(id_col).alias("id"), text.alias("text"),
+                       F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256)).alias("digest"))
+    labelled = staged(_labelled(rows, "digest").filter("n > 0").drop("n"))
+    best = labelled.groupBy("component").agg(
+        F.min(F.struct(F.col("id").isNull().alias("last"), "id", "digest")).alias("best")).select("best.id", "best.digest")
+    pairs = labelled.groupBy("id", "digest").agg(F.count(F.lit(1)).alias("rows"))
+    kept = pairs.alias("p").join(best.select("id", "digest", F.lit(True).alias("kept")).alias("b"),
+                                 F.col("p.id").eqNullSafe(F.col("b.id")) & (F.col("p.digest") == F.col("b.digest")), "left")
+    return kept.select(F.col("p.id").alias(id_col), F.lower(F.hex("p.digest")).alias("text_sha256"), "rows",
+                       F.coalesce("kept", F.lit(False)).alias("kept"))

@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quire.llm.common import staged
 from quire.llm.words import Words, portions
@@ -167,6 +168,19 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             .mapInArrow(run, f"id {kind}, score double").withColumnRenamed("id", id_col))
 
 
+def drop(docs: DataFrame, model: Model, least: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all columns, that score below ``least``."""
+    shared = docs.sparkSession.sparkContext.broadcast((model.weight, model.bias))  # a fixed number of weights
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fitted = Model(*shared.value)
+        for batch in batches:
+            yield batch.filter(pa.array(fitted.score(batch.column(at).to_pylist()) < least, pa.bool_()))
+
+    return docs.mapInArrow(run, T.StructType([T.StructField(f.name, f.dataType, True) for f in docs.schema.fields]))
+
+
 def fold_of(key: Column) -> Column:
     """crc32(the identifier as text) mod 5; fold 0 is held out."""
     return F.pmod(F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")), F.lit(5))

@@ -212,3 +212,46 @@ def test_pipeline_stages(spark, sf001, tmp_path):
     packed = stages["packing"](spark, at, sf001)
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == set(after)
     assert packed.groupBy("sequence_id").sum("length").selectExpr("max(`sum(length)`)").first()[0] <= 2048
+
+
+def test_pipeline_stages_judge_rows_not_identifiers(spark, tmp_path):
+    rng = random.Random(8)
+    stems = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(400)]
+    stages = dict(corpus_pipeline.STAGES)
+    kind = "doc_id bigint, text string, n_chars bigint, source string"
+
+    def after(name, rows):
+        data = spark.createDataFrame([(k, t, None, "s") for k, t in rows], kind)
+        return sorted(((r.doc_id, r.text) for r in stages[name](spark, data, str(tmp_path)).collect()), key=str)
+
+    def words(bad=()):
+        text = [rng.choice(stems) for _ in range(60)]
+        for w in bad:
+            text[rng.randrange(60)] = w
+        return " ".join(text)
+
+    # toxicity: a clean text stays beside a toxic one of its identifier, toxic ones go whatever their identifier
+    labelled = [(k, words(("vilest", "rotten", "vilest") if k % 6 == 0 else ())) for k in range(600)]
+    spark.createDataFrame([(k, int(k % 6 == 0)) for k in range(0, 600, 2)], "doc_id bigint, toxic int").write.parquet(
+        str(tmp_path / "labels.parquet"))
+    good, bad = words(), words(("vilest", "rotten", "vilest", "rotten"))
+    mine = [(9001, good), (9001, bad), (9002, good), (9002, good), (9003, bad), (9003, bad), (None, bad), (None, good), (None, None)]
+    got = [r for r in after("toxicity", labelled + mine) if r[0] is None or r[0] > 9000]
+    assert got == sorted(((k, t) for k, t in mine if t != bad), key=str)
+
+    # exact dedup: one row of each text
+    rows = [(11, "twice"), (11, "twice"), (1, "copy"), (2, "copy"), (1, "other of 1"), (None, "copy"), (None, "null only"),
+            (None, "null only"), (None, "null other"), (3, None), (4, ""), (4, None)]
+    assert after("exact dedup", rows) in [
+        sorted([(11, "twice"), (2, "copy"), (1, "other of 1"), (None, "null only"), (None, "null other"), (4, empty)], key=str)
+        for empty in ("", None)]
+
+    # n-gram join: one row of each component, texts without words stay
+    text = [f"w{i}" for i in range(100)]
+    a, near, nearer = (" ".join([*text[:k], "x", *text[k + 1:]]) for k in (0, 99, 50))
+    lone = [" ".join(f"{p}{i}" for i in range(30)) for p in "pqr"]
+    rows = [(7, a), (8, near), (8, lone[0]), (7, lone[0]), (7, nearer), (None, near), (9, lone[1]), (9, lone[1]),
+            (None, lone[2]), (None, lone[2]), (5, ""), (5, ""), (None, " ")]
+    got = after("n-gram Jaccard join", rows)
+    least = min((a, nearer), key=lambda t: hashlib.sha256(t.encode()).hexdigest())
+    assert got == sorted([(7, least), (7, lone[0]), (9, lone[1]), (None, lone[2]), (5, ""), (5, ""), (None, " ")], key=str)
