@@ -4,9 +4,11 @@ Known forms are an assignment to a password-like name, an access key and a
 long hex run.  Beyond them, candidate strings (long runs of token characters)
 are cut into runs of one character class; a window slides over each run, its
 Shannon entropy kept by incremental counts, and windows above the class's
-threshold merge into spans.  Harmless forms (words, numbers, dates, UUIDs,
-sequences, placeholders) are suppressed by an allow-list.  Offsets count code
-points, ends are exclusive.  One pass, no shuffle, whole texts.
+threshold merge into spans.  Harmless forms (words, numbers, dates, UUIDs) are
+suppressed by an allow-list that has to match from end to end; sequences and
+placeholders are left out of a candidate before the rest of it is judged.  Of
+a span that meets a known form, what lies outside is reported.  Offsets count
+code points, ends are exclusive.  One pass, no shuffle, whole texts.
 
 Edge cases: a null text counts as empty and has no spans; any length of text
 or run is scanned in linear time; repeated rows are scanned each; an empty
@@ -38,6 +40,7 @@ CLASSES = (
     ("entropy_hex", re.compile(r"[0-9A-Fa-f]{20,}"), 20, 3.0),
     ("entropy_base64", re.compile(r"[A-Za-z0-9+/_=-]{20,}"), 20, 3.85),
 )
+SEPARATORS = "+/_=-"
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 #: A span that one of these matches from end to end is harmless.
 ALLOWED = (
@@ -45,7 +48,8 @@ ALLOWED = (
     re.compile(r"[+/_=-]*(?:[A-Z]?[a-z]+|[A-Z]+)(?:[+/_=-]+(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]{1,4}))*[+/_=-]*"),  # words, paths
     re.compile(r"[0-9A-Fa-f]{8}-(?:[0-9A-Fa-f]{4}-){3}[0-9A-Fa-f]{12}"),  # UUIDs
 )
-ALLOWED_PARTS = ("abcdefgh", "ABCDEFGH", "01234567", "12345678", "EXAMPLE", "example", "placeholder", "xxxxxxxx")
+#: Stretches that are not judged: sequences, as far as they go on, and placeholders.
+ALLOWED_PART = re.compile("(?P<sequence>abcdefgh|ABCDEFGH|01234567|12345678|xxxxxxxx)|EXAMPLE|example|placeholder")
 MARK = "[SECRET]"
 
 
@@ -78,9 +82,30 @@ def windows(run: str, width: int, bits: float) -> Iterator[tuple[int, int]]:
         yield start, end
 
 
+def allowed(run: str) -> bool:
+    return any(p.fullmatch(run) for p in ALLOWED)
+
+
 def harmless(run: str) -> bool:
-    return (any(p.fullmatch(run) for p in ALLOWED) or any(x in run for x in ALLOWED_PARTS)
-            or not (re.search("[0-9]", run) and re.search("[A-Za-z]", run)))
+    return allowed(run) or not (re.search("[0-9]", run) and re.search("[A-Za-z]", run))
+
+
+def judged_places(candidate: str) -> list[int]:
+    """Places of ``candidate`` outside placeholders and whole sequences."""
+    places, at = [], 0
+    for m in ALLOWED_PART.finditer(candidate):
+        if m.start() < at:
+            continue
+        start, end = m.span()
+        step = ord(candidate[start + 1]) - ord(candidate[start])
+        if m.lastgroup == "sequence":
+            while end < len(candidate) and ord(candidate[end]) - ord(candidate[end - 1]) == step:
+                end += 1
+            while start > at and ord(candidate[start]) - ord(candidate[start - 1]) == step:
+                start -= 1
+        places += range(at, start)
+        at = end
+    return [*places, *range(at, len(candidate))]
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -92,22 +117,48 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def entropy_spans(text: str, known: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """(start, kind, end) of high-entropy spans outside the known ones; the
-    kinds follow those of BASE_KINDS in the order of CLASSES."""
+    """(start, kind, end) of high-entropy spans, as far as they lie outside the
+    known ones and each other; the kinds follow those of BASE_KINDS in the order
+    of CLASSES."""
     found: list[tuple[int, int, int]] = []
-    for candidate in CANDIDATE.finditer(text):
-        if harmless(candidate.group()):
+    taken = None  # of every character: is it in a span
+    for match in CANDIDATE.finditer(text):
+        candidate, at = match.group(), match.start()
+        places = judged_places(candidate)
+        rest = candidate if len(places) == len(candidate) else "".join(candidate[i] for i in places)
+        if harmless(rest):
             continue
         for k, (_, runs, width, bits) in enumerate(CLASSES, len(BASE_KINDS)):
-            for run in runs.finditer(candidate.group()):
-                at = candidate.start() + run.start()
+            for run in runs.finditer(rest):
                 for a, b in windows(run.group(), width, bits):
-                    a, b = at + a, at + b
-                    if not harmless(text[a:b]) and not any(s < b and a < e for s, _, e in known + found):
-                        found.append((a, k, b))
+                    if harmless(run.group()[a:b]):
+                        continue
+                    if taken is None:
+                        taken = bytearray(len(text))
+                        for s, _, e in known:
+                            taken[s:e] = b"\1" * (e - s)
+                    start, end = at + places[run.start() + a], at + places[run.start() + b - 1] + 1
+                    for s, e in free(text, taken, start, end):
+                        taken[s:e] = b"\1" * (e - s)
+                        found.append((s, k, e))
     return found
 
 
+def free(text: str, taken: bytearray, start: int, end: int) -> list[tuple[int, int]]:
+    """What of ``start`` to ``end`` is not taken.  A word or number that a
+    separator parts from a taken stretch is no remainder of a secret."""
+    out = []
+    while 0 <= (s := taken.find(0, start, end)):
+        e = taken.find(1, s, end)
+        e = end if e < 0 else e
+        cut_left, cut_right = s > 0 and taken[s - 1], e < len(taken) and taken[e]
+        apart = (not cut_left or text[s] in SEPARATORS) and (not cut_right or text[e - 1] in SEPARATORS)
+        if any(c not in SEPARATORS for c in text[s:e]) and not ((cut_left or cut_right) and apart and allowed(text[s:e])):
+            out.append((s, e))
+        start = e
+    return out
+
+
 def find(text: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """Base spans, and all spans."""
     text = text or ""
