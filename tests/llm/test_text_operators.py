@@ -101,6 +101,22 @@ def test_entropy_spans_beside_known_and_allowed_parts():
     assert secrets.masked("access_token=" + secret) == "access_[SECRET]"
 
 
+@pytest.mark.parametrize(("symbols", "shortest", "longer"), [
+    ("abcdefghijklmnopqrstuvwxyz0123456789", 0.96, 0.99), ("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", 0.96, 0.99),
+    ("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 0.94, 0.99), ("abcdefghijklmnopqrstuvwxyz234567", 0.94, 0.99)])
+def test_random_tokens_are_masked_whole(symbols, shortest, longer):
+    rng = random.Random(5)
+    for width, least in ((20, shortest), (32, longer), (40, longer)):
+        tokens = ["".join(rng.choice(symbols) for _ in range(width)) for _ in range(600)]
+        assert sum(secrets.masked(f"key {t} end") == "key [SECRET] end" for t in tokens) >= least * len(tokens), width
+
+
+def test_clean_words_with_numbers_and_long_runs():
+    for clean in ("internationalization2", "donaudampfschifffahrtsgesellschaft1871", "INTERNATIONALIZATION18",
+                  "some-very-long-slug-with-words-and-12-numbers-2024", "schachverlichheitverungeinkeitenschaft", "z" * 50 + "1"):
+        assert secrets.find(clean)[1] == [], clean
+
+
 def test_redact_keeps_clean_rows_and_columns(spark):
     rows = spark.createDataFrame([(1, "clean", 5), (2, "a password=abcdefghijklmnop b", 29), (None, None, None)],
                                  "doc_id bigint, text string, n_chars bigint")
