@@ -338,3 +338,15 @@ def test_exchange_counts_one_edit(spark):
              ("abcdef", "badcfe", None), ("a", "b", 1), ("abcd", "bacx", 2)]
     df = spark.createDataFrame(pairs, "a string, b string, d int")
     assert [r.x for r in df.select(SPL.edit_distance("a", "b").alias("x")).collect()] == [p[2] for p in pairs]
+
+
+def test_fit_sample_gathers_no_texts(spark):
+    from quire.operators import models as M
+    data = spark.range(0, 5000, 1, 4).select(F.concat(F.lit("text "), F.col("id")).alias("text"), F.lit("a").alias("label"))
+    plan = M.fit_sample(data, rows=1000)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrdered" not in plan and "Exchange" not in plan
+    got = {r.text for r in M.fit_sample(data, rows=1000).collect()}
+    assert got == {r.text for r in data.orderBy(F.xxhash64("text")).limit(1000).collect()}
+    assert M.fit_sample(data, rows=5000).count() == 5000 and M.fit_sample(data, rows=1000).rdd.getNumPartitions() == 4
+    hot = data.withColumn("text", F.lit("same"))
+    assert 0 < M.fit_sample(hot, rows=1000).count() <= 1000
