@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from quire.llm import chat, decontaminate, exact_dedup, ngram_join, packing, secrets, sharding, tokenize, topk, toxicity, url_filter
+from quire.llm import (chat, conversation_repair, decontaminate, exact_dedup, ngram_join, packing, ranked_search, secrets, sharding,
+                       tokenize, topk, toxicity, url_filter)
 from quire.llm.common import read
 
 WORD_FILE, RANK_FILE = "word_bpe_49k.json", "byte_bpe_multi_50k.tiktoken"
@@ -57,18 +58,30 @@ def op10_top_k(spark, sf_dir):
     return topk.top_k(read(spark, sf_dir, "embeddings"), lambda key: key % 20 == 0, 20)
 
 
+def op11_conversation_repair(spark, sf_dir):
+    damaged = conversation_repair.damaged(read(spark, sf_dir, "conversations"))
+    return conversation_repair.repair_report(damaged, present_col="present")
+
+
+def op12_ranked_search(spark, sf_dir):
+    return ranked_search.rank(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op13_decontaminate(spark, sf_dir):
     return decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_url_filter, op3_ngram_jaccard_join, op4_exact_dedup, op5_chat_formatting, op6_packing,
-    op7_byte_bpe, op8_toxicity, op9_sharding, op10_top_k, op13_decontaminate)}
+    op7_byte_bpe, op8_toxicity, op9_sharding, op10_top_k, op11_conversation_repair,
+    op12_ranked_search, op13_decontaminate)}
 
 ORACLES = {
     "op2_url_filter": url_filter.oracle(),
     "op4_exact_dedup": exact_dedup.OP4_SQL,
     "op5_chat_formatting": chat.OP5_SQL,
     "op10_top_k": topk.OP10_SQL,
+    "op11_conversation_repair": conversation_repair.oracle(),
+    "op12_ranked_search": ranked_search.OP12_SQL,
     "op13_decontaminate": decontaminate.OP13_SQL,
 }

@@ -1,12 +1,14 @@
 """Decontamination and ranked search: brute force and edge cases."""
 
 import hashlib
+import math
 import random
 import re
+from collections import Counter
 
 import pytest
 
-from quire.llm import decontaminate
+from quire.llm import decontaminate, ranked_search
 
 DOCS = "doc_id bigint, text string, id string, words int, hash int, item string"
 ITEMS = "item_id bigint, text string, window int"
@@ -82,3 +84,46 @@ def test_contamination_of_a_very_long_text_and_of_empty_tables(spark):
 def test_occurrences_are_spans(spark):
     found = decontaminate.occurrences(docs(spark, [(1, "x a b c. A, b; c")]), items(spark, [(5, "a b c")])).collect()
     assert sorted((r.doc, r.start, r.length, r.item) for r in found) == [(1, 1, 3, "5"), (1, 4, 3, "5")]
+
+
+# --- ranked search
+
+
+def brute_ranks(doc_rows, item_rows, k=20):
+    counted = [(key, Counter(words(text))) for key, text in doc_rows]
+    documents = sum(1 for _, c in counted if c)
+    total = sum(sum(c.values()) for _, c in counted)
+    frequency = Counter(t for _, c in counted for t in c)
+    out = []
+    for item, text in dict.fromkeys(item_rows):
+        scored = []
+        for key, c in counted:
+            m = 75 + 25 * sum(c.values()) * documents // total
+            score = sum(math.floor(1000 * math.log((2 * documents + 2) / (2 * frequency[t] + 1))) * (10 ** 9 * c[t] // (1000 * c[t] + 12 * m))
+                        for t in words(text) if c[t])
+            if score > 0:
+                scored.append((-score, key is None, key or 0, key))
+        out += [(item, n + 1, s[3], -s[0]) for n, s in enumerate(sorted(scored, key=lambda s: s[:3])[:k])]
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("options", [{}, {"block_items": 2, "tile_terms": 2}, {"exact": 3 * 10 ** 9}, {"k": 3, "exact": 1}])
+def test_ranked_search_equals_brute_force(spark, options):
+    doc_rows, item_rows = planted(3)
+    doc_rows += [(400, "é " * 3000 + "zz"), (401, "zz É"), (401, "zz É"), (None, "zz É")]
+    item_rows += [(50, "zz zz qq zz é"), (50, "zz zz qq zz é"), (51, "zz " * 400), (52, "qq unknown")]
+    out = ranked_search.rank(docs(spark, doc_rows), items(spark, item_rows), **options).collect()
+    assert sorted(map(tuple, out), key=repr) == brute_ranks(doc_rows, item_rows, options.get("k", 20))
+
+
+def test_ranked_search_of_empty_tables(spark):
+    some, known = docs(spark, [(1, "a b"), (2, None)]), items(spark, [(1, "a")])
+    assert ranked_search.rank(some.limit(0), known).collect() == []
+    assert ranked_search.rank(some, known.limit(0)).collect() == []
+    assert ranked_search.rank(some.filter("doc_id = 2"), known).collect() == []
+
+
+def test_a_factor_beyond_64_bits():
+    import numpy as np
+    n = np.array([10 ** 8, 1])
+    assert ranked_search.lengths_factor(n, 10 ** 13, 10 ** 15).tolist() == [75 + 25 * 10 ** 8 // 100, 75]
