@@ -30,7 +30,7 @@ def _load_all():
     # Importing the modules registers their queries.
     from quire.plans import (  # noqa: F401
         q_extract, q_text, q_corpus, q_splits, q_annotations, q_features,
-        q_ocr, q_reports, q_models, q_files,
+        q_ocr, q_reports, q_models, q_files, q_stream,
     )
 
 

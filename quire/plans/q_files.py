@@ -138,7 +138,8 @@ def route_files(spark, sf_dir):
 @register("stream_ingest", sql=HASH_CORPUS_SQL)
 def stream_ingest(spark, sf_dir):
     """``documents.parquet`` as a file stream into a corpus that already
-    holds the even documents; returns the corpus after the stream drained."""
+    holds the even documents (the first batch's initial state); returns the
+    corpus after the stream drained."""
     from quire.streaming.ingest import read_corpus, start_ingest, to_corpus_rows, write_batch
     corpus_path = FS.staging_dir(spark, "stream-corpus")
     ckpt = FS.staging_dir(spark, "stream-ckpt")

@@ -1,87 +1,171 @@
 """Document arrival as a file stream.
 
-New files -> clean -> content id -> skip ids already stored -> append.  The
-state is the stored corpus itself (its ids), not the streaming state store, so
-it survives restarts and can be rebuilt.
-
-The corpus is partitioned by batch and, below it, by the first digits of the
-id.  A batch overwrites its own partition and looks for stored ids in all
-others, so a batch that stopped half-way and runs again gives the same rows,
-copies included; and the lookup reads ids only, of the id ranges it has.
+New files -> clean -> content id -> skip ids already stored -> classify, fields
+of the gated class -> append.
+
+Which ids are stored is the query's state: one flag per content id in Spark's
+state store (RocksDB, change logs in the checkpoint), so a batch looks up its own ids
+and the work follows the batch, not the corpus.  A corpus that was there
+before the stream is read once, as the first batch's initial state.  Copies
+inside one batch are all kept, as in the batch append; rows with one id that
+meet in an Arrow batch travel as one row with one text and the list of their
+names, so a hot text is not shuffled once per copy.
+
+A batch overwrites its own partition of the corpus, and a batch that stopped
+half-way runs again on the state before it: the rows are the same.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable, Iterator
 
+import pandas as pd
+import pyarrow as pa
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from quire.functions import scalars as S
 from quire.functions import text as TX
 
 CORPUS_COLUMNS = ["id", "filename", "text", "label_name", "timestamp"]
+SCORE_COLUMNS = ["classification", "fields"]
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def to_corpus_rows(batch: DataFrame) -> DataFrame:
-    """Arriving ``documents`` rows -> corpus rows with content-hash ids."""
+    """Arriving ``documents`` rows -> corpus rows with content-hash ids; a null
+    text counts as empty."""
     cleaned = batch.select(
         F.concat(F.col("source"), F.lit("/doc_"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("filename"),
-        TX.clean_text("text").alias("text"), F.lower("lang").alias("label_name"))
+        F.coalesce(TX.clean_text("text"), F.lit("")).alias("text"), F.lower("lang").alias("label_name"))
     return cleaned.select(S.content_hash("text").alias("id"), "filename", "text", "label_name",
                           S.format_timestamp(F.current_timestamp()).alias("timestamp"))
 
 
-#: Leading hash digits that name an id range.
-RANGE_DIGITS = 2
+_GROUPED = "id string, text string, filenames array<string>, labels array<string>"
+
+
+def _one_text_per_id(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        members: dict[str, list[int]] = {}
+        for n, content_id in enumerate(batch.column("id").to_pylist()):
+            members.setdefault(content_id, []).append(n)
+        first = pa.array([rows[0] for rows in members.values()], pa.int64())
+        names, labels = (batch.column(c).to_pylist() for c in ("filename", "label_name"))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("id").take(first), batch.column("text").take(first),
+             *(pa.array([[column[n] for n in rows] for rows in members.values()], pa.list_(pa.string())) for column in (names, labels))],
+            names=["id", "text", "filenames", "labels"])
+
+
+class Unseen(StatefulProcessor):
+    """Passes the rows of ids that no earlier batch has stored."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.stored = handle.getValueState("stored", "stored boolean")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        if self.stored.exists():
+            return
+        self.stored.update((True,))
+        yield from rows
+
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        self.stored.update((True,))
+
+    def close(self) -> None:
+        pass
+
+
+def unseen(rows: DataFrame, stored: DataFrame) -> DataFrame:
+    """Rows (``id``, ``filename``, ``text``, ``label_name``) of a stream whose
+    id neither ``stored`` nor an earlier batch has; ``stored`` is read with the
+    first batch only."""
+    grouped = rows.select("id", "filename", "text", "label_name").mapInArrow(_one_text_per_id, _GROUPED)
+    passed = grouped.groupBy("id").transformWithStateInPandas(
+        statefulProcessor=Unseen(), outputStructType=_GROUPED, outputMode="Append", timeMode="None",
+        initialState=stored.select("id").dropDuplicates().groupBy("id"))
+    both = F.arrays_zip("filenames", "labels")
+    return (passed.select("id", "text", F.explode_outer(both).alias("m"))
+            .select("id", F.col("m.filenames").alias("filename"), "text", F.col("m.labels").alias("label_name")))
+
+
+def score_rows(model: PipelineModel, gate: str = "invoice", presence=None) -> Callable[[DataFrame], DataFrame]:
+    """Adds ``classification`` (display form) and, for the gated class, the
+    ``fields`` of the cleaned text; with ``presence`` a field is its status
+    text (X13).  Works on a stream as on a table."""
+    from quire.functions import extract as X
+    from quire.operators import models as M
+    from quire.operators.results import field_value
+
+    def run(rows: DataFrame) -> DataFrame:
+        scored = M.predict(model, rows).select(*rows.columns, "predicted_label")
+        if presence is not None:
+            scored = M.predict_presence(*presence, scored)
+        values = [X.extract_field(F.col("text"), f) for f in X.FIELD_KEYS]
+        if presence is not None:
+            values = [field_value(v, F.col(f"probability_has_{f}")) for f, v in zip(X.FIELD_KEYS, values, strict=True)]
+        fields = F.map_from_arrays(F.array(*[F.lit(f) for f in X.FIELD_KEYS]), F.array(*values))
+        return scored.select(*rows.columns, S.display_class(F.col("predicted_label")).alias("classification"),
+                             F.when(F.lower("predicted_label") == gate, fields).alias("fields"))
+    return run
 
 
 def write_batch(rows: DataFrame, corpus_path: str, batch: str) -> None:
-    """Write ``rows`` as the batch's own partition, replacing what is there."""
-    (rows.withColumn("id_range", F.substring("id", 1, RANGE_DIGITS)).repartition("id_range")
-     .write.mode("overwrite").partitionBy("id_range").parquet(f"{corpus_path}/batch={batch}"))
+    """Write ``rows`` as the batch's own partition, replacing what is there, in
+    files of about the session's advisory partition size."""
+    rows.hint("rebalance").write.mode("overwrite").parquet(f"{corpus_path}/batch={batch}")
 
 
-def stored_ids(spark: SparkSession, corpus_path: str, batch: str) -> DataFrame | None:
-    """Ids and their ranges in all partitions but the batch's own."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in ("id", "batch", "id_range")])
+def stored_ids(spark: SparkSession, corpus_path: str, stream: str) -> DataFrame:
+    """The ids of a corpus, which may not exist yet; not those that ``stream``
+    itself has written, so that its first batch can run again."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in ("id", "batch")])
     root = spark._jvm.org.apache.hadoop.fs.Path(corpus_path)
     if not root.getFileSystem(spark._jsc.hadoopConfiguration()).exists(root):
-        return None
-    return (spark.read.schema(schema).parquet(corpus_path).filter(F.col("batch") != batch)
-            .select("id", "id_range").distinct())
-
-
-def append_batch(spark: SparkSession, corpus_path: str, stream: str, dedupe_in_batch: bool = False):
-    """foreachBatch body: anti join on the stored ids, then the batch's partition.
-    ``stream`` names the stream's checkpoint, so that batch numbers of another
-    stream into the same corpus are not mistaken for this one's."""
-    def run(batch: DataFrame, epoch_id: int) -> None:
-        name = f"{stream}-{epoch_id}"
-        rows = to_corpus_rows(batch).withColumn("id_range", F.substring("id", 1, RANGE_DIGITS))
-        if dedupe_in_batch:
-            rows = rows.dropDuplicates(["id"])
-        stored = stored_ids(spark, corpus_path, name)
-        if stored is not None:
-            rows = rows.join(stored, ["id_range", "id"], "left_anti")
-        write_batch(rows.select(CORPUS_COLUMNS), corpus_path, name)
-    return run
+        return spark.createDataFrame([], "id string")
+    return spark.read.schema(schema).parquet(corpus_path).filter(~F.col("batch").startswith(f"{stream}-")).select("id")
 
 
-def read_corpus(spark: SparkSession, corpus_path: str) -> DataFrame:
-    return spark.read.parquet(corpus_path).select(CORPUS_COLUMNS)
+def read_corpus(spark: SparkSession, corpus_path: str, scored: bool = False) -> DataFrame:
+    rows = spark.read.option("mergeSchema", scored).parquet(corpus_path)
+    return rows.select(CORPUS_COLUMNS + (SCORE_COLUMNS if scored else []))
 
 
 def start_ingest(spark: SparkSession, source_dir: str, schema: T.StructType, corpus_path: str,
                  checkpoint: str, glob: str = "*.parquet", available_now: bool = True,
-                 max_files_per_trigger: int | None = None):
-    """Start the file stream; returns the ``StreamingQuery``."""
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
+                 max_files_per_trigger: int | None = None, rows_of: Callable[[DataFrame], DataFrame] = to_corpus_rows,
+                 score: Callable[[DataFrame], DataFrame] | None = None):
+    """Start the file stream; returns the ``StreamingQuery``.  ``rows_of`` makes
+    corpus rows of arriving ones; ``score`` (``score_rows``) sees new rows only.  The number of state
+    partitions is the session's ``spark.sql.shuffle.partitions`` at the first start."""
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.parquet(source_dir)
-    name = hashlib.md5(checkpoint.encode()).hexdigest()[:12]
-    writer = stream.writeStream.foreachBatch(append_batch(spark, corpus_path, name)).option("checkpointLocation", checkpoint)
+    # batch numbers of another stream into the same corpus are not mistaken for this one's
+    stream = hashlib.md5(checkpoint.encode()).hexdigest()[:12]
+    new = unseen(rows_of(reader.parquet(source_dir)), stored_ids(spark, corpus_path, stream))
+    if score is not None:
+        new = score(new)
+    new = new.withColumn("timestamp", S.format_timestamp(F.current_timestamp()))
+    columns = CORPUS_COLUMNS + (SCORE_COLUMNS if score is not None else [])
+
+    def sink(batch: DataFrame, epoch_id: int) -> None:
+        write_batch(batch.select(columns), corpus_path, f"{stream}-{epoch_id}")
+
+    writer = new.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
-    return writer.start()
+    before = spark.conf.get(_PROVIDER, None)
+    spark.conf.set(_PROVIDER, _ROCKS)  # the query takes its own copy of the settings when it starts
+    try:
+        return writer.start()
+    finally:
+        if before is None:
+            spark.conf.unset(_PROVIDER)
+        else:
+            spark.conf.set(_PROVIDER, before)

@@ -1,6 +1,8 @@
 """Invariants and hand-written cases for the corpus, split, annotation,
 vocabulary, OCR and spelling operators."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -316,21 +318,67 @@ def test_batch_isolates_bad_files(spark):
     assert stats == {"Invoice": 1, "Letter": 1, "Error": 4}
 
 
-def test_replayed_batch_keeps_copies(spark, tmp_path):
-    from quire.streaming.ingest import append_batch, read_corpus, to_corpus_rows, write_batch
-    path = str(tmp_path / "corpus")
-    docs = spark.createDataFrame([(1, "s", "old text", "en")], "doc_id long, source string, text string, lang string")
-    write_batch(to_corpus_rows(docs), path, "stored")
-    batch = spark.createDataFrame([(2, "s", "new text", "en"), (3, "s", "new text", "en"), (4, "s", "old text", "en"),
-                                   (5, "s", "other text", "en")], "doc_id long, source string, text string, lang string")
-    # the batch stopped after it had written one of its rows
-    write_batch(to_corpus_rows(batch.filter("doc_id = 2")), path, "st-0")
-    for _ in range(2):
-        append_batch(spark, path, "st")(batch, 0)
-        names = sorted(r.filename for r in read_corpus(spark, path).collect())
-        assert names == ["s/doc_1.txt", "s/doc_2.txt", "s/doc_3.txt", "s/doc_5.txt"]
-    append_batch(spark, path, "st")(batch, 1)
-    assert read_corpus(spark, path).count() == 4
+DOC = "doc_id long, source string, text string, lang string"
+
+
+def _arrive(spark, folder, name, rows, **options):
+    """Rows arrive as a file; the stream runs until it is drained."""
+    spark.createDataFrame([(k, "s", t, "en") for k, t in rows], DOC).coalesce(1).write.parquet(f"{folder}/in/{name}")
+    return _drain(spark, folder, **options)
+
+
+def _drain(spark, folder, **options):
+    from quire.streaming import ingest
+    schema = spark.createDataFrame([], DOC).schema
+    q = ingest.start_ingest(spark, f"{folder}/in", schema, f"{folder}/corpus", f"{folder}/checkpoint", **options)
+    q.awaitTermination()
+    return sorted(r.filename for r in ingest.read_corpus(spark, f"{folder}/corpus").collect())
+
+
+def test_stream_of_several_batches_and_a_replayed_one(spark, tmp_path):
+    from quire.streaming.ingest import to_corpus_rows, write_batch
+    folder = str(tmp_path)
+    write_batch(to_corpus_rows(spark.createDataFrame([(1, "s", "old text", "en")], DOC)), f"{folder}/corpus", "stored")
+    first = [(2, "new text"), (3, "new text"), (4, "old text"), (5, "other text"), (6, None), (7, "")]
+    known = [f"s/doc_{k}.txt" for k in (1, 2, 3, 5, 6, 7)]  # copies in one batch stay, and a null text is an empty one
+    assert _arrive(spark, folder, "a", first) == known
+
+    def forget(batch):  # the run stopped before it had noted the batch as done
+        for name in (f"{batch}", f".{batch}.crc"):
+            os.remove(f"{folder}/checkpoint/commits/{name}")
+
+    forget(0)
+    assert _drain(spark, folder) == known
+    assert _arrive(spark, folder, "b", [(8, "new text"), (9, "old text"), (10, "newest"), (11, "newest")]) == sorted([*known, "s/doc_10.txt", "s/doc_11.txt"])
+    forget(1)
+    # what the half-way batch has written is written anew
+    files = [f for f in os.listdir(f"{folder}/corpus") if f.endswith("-1")]
+    assert len(files) == 1
+    assert _drain(spark, folder) == sorted([*known, "s/doc_10.txt", "s/doc_11.txt"])
+    assert _drain(spark, folder) == sorted([*known, "s/doc_10.txt", "s/doc_11.txt"])
+
+
+def test_stream_sends_a_hot_text_once_per_arrow_batch(spark):
+    from quire.streaming.ingest import _GROUPED, _one_text_per_id
+    rows = spark.range(3000).selectExpr("if(id % 3 = 0, 'hot', cast(id as string)) AS id", "'t' AS text", "cast(id as string) AS filename",
+                                        "'en' AS label_name").coalesce(1)
+    out = rows.mapInArrow(_one_text_per_id, _GROUPED).collect()
+    assert sorted(len(r.filenames) for r in out)[-2:] == [1, 1000] and sum(len(r.filenames) for r in out) == 3000
+
+
+def test_stream_scores_new_rows(spark, tmp_path):
+    from quire.operators import models as M
+    from quire.streaming import ingest
+    train = spark.createDataFrame([(f"invoice no {i} total", "invoice") for i in range(20)] + [(f"dear friend {i} hello", "letter") for i in range(20)],
+                                  "text string, label string")
+    score = ingest.score_rows(M.train(train, max_iter=10))
+    folder = str(tmp_path)
+    _arrive(spark, folder, "a", [(1, "Invoice No: A-12 total: $5.00"), (2, "dear friend hello")], score=score)
+    _arrive(spark, folder, "b", [(3, "dear friend hello"), (4, "Invoice No: B-7 total: $6.00")], score=score)
+    out = {r.filename: r for r in ingest.read_corpus(spark, f"{folder}/corpus", scored=True).collect()}
+    assert sorted(out) == ["s/doc_1.txt", "s/doc_2.txt", "s/doc_4.txt"]
+    assert [out[f"s/doc_{k}.txt"].classification for k in (1, 2, 4)] == ["Invoice", "Letter", "Invoice"]
+    assert out["s/doc_4.txt"].fields["invoice_number"] == "B-7" and out["s/doc_2.txt"].fields is None
 
 
 def test_exchange_counts_one_edit(spark):
