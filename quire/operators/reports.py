@@ -2,14 +2,20 @@
 
 Aggregates are partial + final hash aggregates.  Exact quartiles avoid the
 ``percentile`` aggregate (which buffers every value of a group in one task):
-rows are counted per (class, value) first, so copies of a value cost nothing
-after the map side, and ranks are running sums over distinct values.
+for columns of few values, such as lengths, rows are counted per (class, value)
+and ranks are running sums over distinct values; for continuous columns
+``radix_quantiles`` counts digits of the values.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from quire.session import reliable_checkpoint
 
 
 def _one(df: DataFrame) -> DataFrame:
@@ -77,11 +83,95 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], group: str |
     return out.withColumnRenamed("_g", group) if group else out.drop("_g")
 
 
+#: Bits of a digit of the radix selection; 64 are a whole number of them.
+DIGIT = 16
+
+
+@F.pandas_udf(T.LongType())
+def _to_key(v: pd.Series) -> pd.Series:
+    """The bits of a double, in an order of signed integers that is the order of
+    the values; -0.0 is 0.0, and NaN comes last."""
+    bits = (v.to_numpy(np.float64, na_value=np.nan) + 0.0).view(np.int64)
+    bits = np.where(np.isnan(v.to_numpy(np.float64, na_value=np.nan)), np.int64(0x7FF8 << 48), bits)
+    return pd.Series(bits ^ ((bits >> 63) & np.int64(2 ** 63 - 1)))
+
+
+@F.pandas_udf(T.DoubleType())
+def _to_value(key: pd.Series) -> pd.Series:
+    bits = key.to_numpy(np.int64)
+    return pd.Series((bits ^ ((bits >> 63) & np.int64(2 ** 63 - 1))).view(np.float64))
+
+
+def _prefix(key, digits: int):
+    """The first ``digits`` digits; 0 for none (a shift by 64 would be one by none)."""
+    return F.shiftright(key, 64 - DIGIT * digits) if digits else F.lit(0).cast("long")
+
+
+def radix_quantiles(df: DataFrame, value: str, probs: list[float], group: str | None = None) -> DataFrame:
+    """Linear-interpolation quantiles (numpy / pandas default), exact, of a
+    continuous column: one row per group with ``q<p>`` columns.
+
+    Radix selection over the order-preserving bits of the doubles: a round
+    counts the next digit of the rows whose digits so far are those of a wanted
+    rank, and keeps of each such bucket the one digit that holds the rank.  A
+    bucket has at most 65,536 digits, however many values there are, and a hot
+    value is one count.  No value is sorted, and none is in a window."""
+    base = df.select((F.col(group) if group else F.lit(0)).alias("_g"), F.col(value).cast("double").alias("_v"))
+    keys = base.filter(F.col("_v").isNotNull()).select("_g", _to_key("_v").alias("_k"))
+    sizes = keys.groupBy("_g").agg(F.count(F.lit(1)).alias("_t"))
+    ranks = F.array_distinct(F.array(*[f(F.lit(p) * (F.col("_t") - 1)).cast("long") for p in probs for f in (F.floor, F.ceil)]))
+    wanted = sizes.select("_g", "_t", F.explode(ranks).alias("_rank")).withColumns(
+        {"_left": F.col("_rank"), "_found": F.lit(0).cast("long")})
+    for digits in range(64 // DIGIT):
+        wanted = reliable_checkpoint(wanted)  # one row per group and rank
+        buckets = wanted.select(F.col("_g").alias("_bg"), "_found").distinct()
+        inside = keys.withColumn("_found", _prefix("_k", digits))
+        inside = inside.join(buckets.withColumnRenamed("_found", "_bf"), F.col("_g").eqNullSafe(F.col("_bg")) & (F.col("_found") == F.col("_bf")),
+                             "left_semi")
+        counts = inside.groupBy("_g", "_found", _prefix("_k", digits + 1).alias("_next")).agg(F.count(F.lit(1)).alias("_n"))
+        # within a bucket the next prefix ascends with the digit; of the first digit all groups' values may be negative
+        before = F.coalesce(F.sum("_n").over(Window.partitionBy("_g", "_found").orderBy("_next")
+                                             .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        counts = counts.select(F.col("_g").alias("_cg"), F.col("_found").alias("_cf"), "_next", "_n", before.alias("_before"))
+        held = (F.col("_before") <= F.col("_left")) & (F.col("_left") < F.col("_before") + F.col("_n"))
+        wanted = (wanted.join(counts, F.col("_g").eqNullSafe(F.col("_cg")) & (F.col("_found") == F.col("_cf")) & held)
+                  .select("_g", "_t", "_rank", (F.col("_left") - F.col("_before")).alias("_left"), F.col("_next").alias("_found")))
+    values = wanted.select("_g", "_t", "_rank", _to_value("_found").alias("_v"))
+    picked = []
+    for p in probs:
+        pos = F.lit(p) * (F.col("_t") - 1)
+        picked += [F.max(F.when(F.col("_rank") == f(pos), F.col("_v"))).alias(f"_{n}{p}") for n, f in (("lo", F.floor), ("hi", F.ceil))]
+        picked.append(F.max(pos - F.floor(pos)).alias(f"_f{p}"))
+    q = values.groupBy("_g").agg(*picked)
+    lo, hi, part = ((lambda p, n=n: F.col(f"`_{n}{p}`")) for n in ("lo", "hi", "f"))
+    # equal neighbours need no arithmetic, which infinite ones would not survive
+    out = q.select("_g", *[F.when(lo(p) == hi(p), lo(p)).otherwise(lo(p) + (hi(p) - lo(p)) * part(p)).alias(f"q{round(p * 100):d}") for p in probs])
+    return out.withColumnRenamed("_g", group) if group else out.drop("_g")
+
+
+def describe_amount(df: DataFrame, value: str) -> DataFrame:
+    """A4 for a continuous column: as ``describe_length``, by radix selection."""
+    return _described(df, value, radix_quantiles(df, value, [0.25, 0.5, 0.75]))
+
+
+def amounts_by_class(df: DataFrame, value: str, label: str = "label") -> DataFrame:
+    """A5 for a continuous column: as ``five_numbers_by_class``, by radix
+    selection and one more pass for what lies inside the fences."""
+    q = radix_quantiles(df, value, [0.25, 0.5, 0.75], label)
+    rows = df.select(F.col(label).alias("_g"), F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    fences = _fences(q.withColumnRenamed(label, "_bg"))
+    j = rows.join(fences, F.col("_g").eqNullSafe(F.col("_bg"))).withColumn("_n", F.lit(1))
+    return _five_numbers(j, label)
+
+
 def describe_length(df: DataFrame, value: str) -> DataFrame:
-    """A4: count, mean, sample std, min, quartiles, max."""
+    """A4: count, mean, sample std, min, quartiles, max of a column of few values."""
+    return _described(df, value, exact_quantiles(df, value, [0.25, 0.5, 0.75]))
+
+
+def _described(df: DataFrame, value: str, q: DataFrame) -> DataFrame:
     stats = df.agg(F.count(value).alias("count"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"),
                    F.min(value).cast("double").alias("min"), F.max(value).cast("double").alias("max"))
-    q = exact_quantiles(df, value, [0.25, 0.5, 0.75])
     return _one(stats).join(F.broadcast(_one(q)), "_one").select(
         "count", "mean", "std", "min", F.col("q25").alias("p25"), F.col("q50").alias("p50"),
         F.col("q75").alias("p75"), "max")
@@ -91,14 +181,21 @@ def five_numbers_by_class(df: DataFrame, value: str, label: str = "label") -> Da
     """A5: per class min, quartiles, max and the 1.5 IQR whisker ends (the data
     behind a box plot): whiskers reach the furthest value inside the fences."""
     v = value_counts(df, value, label)
-    j = v.join(_quantiles(v, [0.25, 0.5, 0.75]), "_g")
+    return _five_numbers(v.join(_fences(_quantiles(v, [0.25, 0.5, 0.75])), "_g"), label)
+
+
+def _fences(q: DataFrame) -> DataFrame:
     iqr = F.col("q75") - F.col("q25")
-    lo_f, hi_f = F.col("q25") - 1.5 * iqr, F.col("q75") + 1.5 * iqr
-    out = (F.col("_v") < lo_f) | (F.col("_v") > hi_f)
+    return q.withColumns({"_low": F.col("q25") - 1.5 * iqr, "_high": F.col("q75") + 1.5 * iqr})
+
+
+def _five_numbers(j: DataFrame, label: str) -> DataFrame:
+    """From ``_g``, ``_v``, ``_n`` (rows of this value), the quartiles and the fences."""
+    out = (F.col("_v") < F.col("_low")) | (F.col("_v") > F.col("_high"))
     agg = j.groupBy("_g", "q25", "q50", "q75").agg(
         F.min("_v").alias("min"), F.max("_v").alias("max"),
-        F.min(F.when(F.col("_v") >= lo_f, F.col("_v"))).alias("whisker_lo"),
-        F.max(F.when(F.col("_v") <= hi_f, F.col("_v"))).alias("whisker_hi"),
+        F.min(F.when(F.col("_v") >= F.col("_low"), F.col("_v"))).alias("whisker_lo"),
+        F.max(F.when(F.col("_v") <= F.col("_high"), F.col("_v"))).alias("whisker_hi"),
         F.sum(F.when(out, F.col("_n")).otherwise(0)).alias("n_outliers"))
     return agg.select(F.col("_g").alias(label), "min", "q25", "q50", "q75", "max", "whisker_lo", "whisker_hi", "n_outliers")
 

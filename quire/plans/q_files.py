@@ -17,7 +17,9 @@ from quire.plans.q_annotations import BUILD_SQL
 from quire.plans.q_corpus import CLASS_INDEX_SQL, HASH_CORPUS_SQL, LABELLED_SQL, _size_sql, labelled_corpus
 from quire.plans.fixtures import corpus
 from quire.plans.q_annotations import built
+from quire.session import reliable_checkpoint, settings
 from quire.sources import files as FS
+from quire.sources import scans as SC
 from quire.sources.tables import table
 
 
@@ -100,6 +102,41 @@ def csv_roundtrip(spark, sf_dir):
     return FS.read_csv(spark, path, FS.CORPUS_SCHEMA)
 
 
+#: Splits of the staged single files, so that several tasks read them at every scale.
+SPLITS = {"spark.sql.files.maxPartitionBytes": "256k", "spark.sql.files.openCostInBytes": "256k"}
+
+
+@register("csv_large", sql=f"""
+SELECT id, filename, text, label, '2024-01-01 00:00:00' AS timestamp FROM ({LABELLED_SQL})
+""")
+def csv_large(spark, sf_dir):
+    """The corpus as one CSV file, its multi-line texts quoted, read by as
+    many tasks as it has splits."""
+    path = FS.staging_dir(spark, "csv-large")
+    d = labelled_corpus(spark, sf_dir).select("id", "filename", "text", F.col("label").cast("int"),
+                                              F.lit("2024-01-01 00:00:00").alias("timestamp"))
+    FS.write_csv(d.coalesce(1), path)
+    with settings(spark, SPLITS):
+        return reliable_checkpoint(SC.read_large_csv(spark, path, FS.CORPUS_SCHEMA))
+
+
+@register("coco_document", sql=BUILD_SQL + """
+SELECT ann.image_id, img.file_name, CAST(row_number() OVER (ORDER BY ann.id) - 1 AS INTEGER) AS ann_pos,
+       ann.id, ann.category_id, ann.text
+FROM ann JOIN img ON ann.image_id = img.image_id
+""")
+def coco_document(spark, sf_dir):
+    """S8 + S6: the annotation set as one JSON document in one file, read back
+    by as many tasks as the file has splits; list positions are the document's."""
+    path = FS.staging_dir(spark, "coco-document")
+    images, anns = built(spark, sf_dir)
+    A.write_document(spark, images, anns.drop("is_placeholder"), path)
+    with settings(spark, SPLITS):
+        images, anns, _ = A.read_document(spark, path)
+        j = anns.join(images.select(F.col("id").alias("image_id"), "file_name"), "image_id")
+        return reliable_checkpoint(j.select("image_id", "file_name", "ann_pos", "id", "category_id", "text"))
+
+
 @register("class_index_file", sql=CLASS_INDEX_SQL)
 def class_index_file(spark, sf_dir):
     """S9 + S10: class index written as text lines and parsed back."""

@@ -81,6 +81,38 @@ def length_by_class(spark, sf_dir):
                       "whisker_lo", "whisker_hi", F.col("n_outliers").cast("bigint").alias("n_outliers"))
 
 
+@register("amount_describe", sql="""
+SELECT count(l_extendedprice) AS count, round(avg(l_extendedprice), 4) AS mean, round(stddev_samp(l_extendedprice), 4) AS std,
+       CAST(min(l_extendedprice) AS DOUBLE) AS min, round(quantile_cont(CAST(l_extendedprice AS DOUBLE), 0.25), 6) AS p25,
+       round(quantile_cont(CAST(l_extendedprice AS DOUBLE), 0.5), 6) AS p50,
+       round(quantile_cont(CAST(l_extendedprice AS DOUBLE), 0.75), 6) AS p75, CAST(max(l_extendedprice) AS DOUBLE) AS max
+FROM lineitem
+""")
+def amount_describe(spark, sf_dir):
+    """A4 on a money column: describe() of the line items' prices."""
+    out = R.describe_amount(table(spark, sf_dir, "lineitem"), "l_extendedprice")
+    return out.select("count", *[F.round(c, 4).alias(c) for c in ("mean", "std")], "min",
+                      *[F.round(c, 6).alias(c) for c in ("p25", "p50", "p75")], "max")
+
+
+@register("amount_by_class", sql="""
+WITH v AS (SELECT l_returnflag AS label, CAST(l_extendedprice AS DOUBLE) AS v FROM lineitem),
+q AS (SELECT label, quantile_cont(v, 0.25) AS q25, quantile_cont(v, 0.5) AS q50, quantile_cont(v, 0.75) AS q75
+      FROM v GROUP BY label)
+SELECT v.label, min(v) AS min, round(q25, 6) AS q25, round(q50, 6) AS q50, round(q75, 6) AS q75, max(v) AS max,
+       min(v) FILTER (WHERE v >= q25 - 1.5 * (q75 - q25)) AS whisker_lo,
+       max(v) FILTER (WHERE v <= q75 + 1.5 * (q75 - q25)) AS whisker_hi,
+       CAST(count(*) FILTER (WHERE v < q25 - 1.5 * (q75 - q25) OR v > q75 + 1.5 * (q75 - q25)) AS BIGINT) AS n_outliers
+FROM v JOIN q ON v.label = q.label GROUP BY v.label, q25, q50, q75
+""")
+def amount_by_class(spark, sf_dir):
+    """A5 on a money column: five numbers and whiskers of the line items' prices
+    per return flag."""
+    out = R.amounts_by_class(table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("label"), "l_extendedprice"), "l_extendedprice")
+    return out.select("label", "min", *[F.round(c, 6).alias(c) for c in ("q25", "q50", "q75")], "max",
+                      "whisker_lo", "whisker_hi", F.col("n_outliers").cast("bigint").alias("n_outliers"))
+
+
 @register("null_counts", sql="""
 SELECT count(*) FILTER (WHERE d.doc_id IS NULL) AS doc_id, count(*) FILTER (WHERE text IS NULL) AS text,
        count(*) FILTER (WHERE lang IS NULL) AS lang, count(*) FILTER (WHERE quality IS NULL) AS quality,

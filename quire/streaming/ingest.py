@@ -30,6 +30,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from quire.functions import scalars as S
 from quire.functions import text as TX
+from quire.session import settings
 
 CORPUS_COLUMNS = ["id", "filename", "text", "label_name", "timestamp"]
 SCORE_COLUMNS = ["classification", "fields"]
@@ -160,12 +161,5 @@ def start_ingest(spark: SparkSession, source_dir: str, schema: T.StructType, cor
 
     writer = new.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, _ROCKS)  # the query takes its own copy of the settings when it starts
-    try:
+    with settings(spark, {_PROVIDER: _ROCKS}):  # the query takes its own copy of the settings when it starts
         return writer.start()
-    finally:
-        if before is None:
-            spark.conf.unset(_PROVIDER)
-        else:
-            spark.conf.set(_PROVIDER, before)

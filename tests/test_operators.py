@@ -270,6 +270,33 @@ def test_quantiles_of_a_hot_value(spark):
     assert _plan(R.exact_quantiles(df, "v", [0.5], "g")).count("Scan") <= 2
 
 
+def test_radix_quantiles_equal_numpy(spark):
+    import numpy as np
+    rng = np.random.default_rng(3)
+    groups = {"spread": rng.normal(0, 1e5, 501), "tiny": rng.normal(0, 1e-300, 40), "hot": np.array([7.25] * 4000 + [-1.0, 8.5]),
+              "zeros": np.array([0.0, -0.0, 0.0]), "one": np.array([-3.5]), "signs": np.array([-1e308, 1e308, -1.0, 1.0]),
+              "infinite": np.array([float("inf")] * 3 + [1.0]), None: rng.uniform(-5, 5, 30)}
+    rows = [(g, float(v)) for g, vs in groups.items() for v in vs] + [("spread", None), ("only null", None)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(5)
+    probs = [0.0, 0.25, 0.5, 0.9, 1.0]
+    out = {r[0]: r[1:] for r in R.radix_quantiles(df, "v", probs, "g").collect()}
+    assert set(out) == set(groups)
+    for g, vs in groups.items():
+        if g != "infinite":
+            assert np.allclose(out[g], np.quantile(vs, probs), rtol=1e-14, atol=0), g
+    assert out["infinite"][2:] == (float("inf"),) * 3 and out["infinite"][0] == 1.0
+    whole = R.radix_quantiles(df.filter("g = 'hot'"), "v", [0.5]).collect()
+    assert [tuple(r) for r in whole] == [(7.25,)]
+    assert R.radix_quantiles(df.limit(0), "v", probs, "g").count() == 0
+
+
+def test_radix_selection_has_no_window_over_values(spark):
+    df = spark.range(100_000).selectExpr("'a' AS g", "id * 1.5 AS v")
+    five = R.amounts_by_class(df, "v", "g").first()
+    assert (five["min"], five.q25, five.q50, five.q75, five["max"], five.n_outliers) == (0.0, 37499.625, 74999.25, 112498.875, 149998.5, 0)
+    assert five.asDict() == R.five_numbers_by_class(df, "v", "g").first().asDict()
+
+
 def test_vocabulary_is_a_hash_aggregate(spark):
     toks = spark.createDataFrame([(1, ["a", "b"])], "d long, w array<string>")
     e = toks.select(F.col("d").alias("_d"), F.posexplode_outer("w").alias("_p", "word"))
