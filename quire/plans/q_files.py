@@ -6,6 +6,7 @@ back the way a user's folders would be read.
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from quire.functions import scalars as S
@@ -20,6 +21,7 @@ from quire.plans.q_annotations import built
 from quire.session import reliable_checkpoint, settings
 from quire.sources import files as FS
 from quire.sources import scans as SC
+from quire.sources import versions as V
 from quire.sources.tables import table
 
 
@@ -198,3 +200,24 @@ def corpus_write(spark, sf_dir):
     FS.write_corpus(spark, hash_ids(d.filter(F.col("filename").rlike(r"_[0-9]*[02468]\.txt$"))), path, "overwrite")
     FS.write_corpus(spark, hash_ids(d), path, "append")
     return spark.read.parquet(path).select("id", "filename", "text", "label_name")
+
+
+@register("corpus_versions", sql=HASH_CORPUS_SQL)
+def corpus_versions(spark, sf_dir):
+    """S11 as whole versions: the even documents, then the whole batch in
+    content-hash mode by a job that fails half-way, runs again and is repeated;
+    the newest version holds every row once."""
+    from quire.operators.corpus import hash_ids
+    path = FS.staging_dir(spark, "corpus-versions")
+    d = corpus(spark, sf_dir).select("doc_id", "filename", "text", F.lower("lang").alias("label_name"))
+    V.append(hash_ids(d.filter("doc_id % 2 = 0").drop("doc_id")), path, "even", "id")
+    batch = hash_ids(d.drop("doc_id"))
+    last = batch.agg(F.max("filename")).first()[0]
+    failing = batch.withColumn("label_name", F.when(F.col("filename") == last, F.raise_error(F.lit("stopped"))).otherwise(F.col("label_name")))
+    try:
+        V.append(failing, path, "batch", "id")
+    except PySparkException:
+        pass  # the stand-in for a lost job: what it wrote is in no version
+    for _ in range(2):
+        V.append(batch, path, "batch", "id")
+    return V.read(spark, path).select("id", "filename", "text", "label_name")
