@@ -76,6 +76,18 @@ def one_hot(df: DataFrame, label_col: str = "label", n_classes: DataFrame | None
     return joined.withColumn("one_hot", F.when(F.col("_k") > 0, vec).otherwise(F.array())).drop("_one", "_k")
 
 
+def whole_labels(df: DataFrame, label_col: str = "label") -> tuple[DataFrame, DataFrame]:
+    """P5: labels as integers.  Returns the rows whose label is one (blanks around it
+    and a zero fraction allowed, null stays null) and the rejected rows, as they came,
+    with a ``reason``; a bad label ends no job."""
+    number = F.trim(F.col(label_col).cast("string")).try_cast("decimal(38,6)")
+    whole = F.when(number == F.floor(number), number).try_cast("int")
+    good = F.col(label_col).isNull() | whole.isNotNull()
+    reason = F.when(number.isNull(), "not a number").when(number != F.floor(number), "not whole").otherwise("out of range")
+    return (df.filter(good).withColumn(label_col, whole),
+            df.filter(~good).withColumn("reason", reason))
+
+
 def deterministic_sample(df: DataFrame, n: int, key: str = "id", seed: int = 42) -> DataFrame:
     """P10 deterministic form: the first ``n`` rows by ``md5(seed|key)`` (a
     distributed top-n, no full sort)."""

@@ -195,6 +195,25 @@ def filter_class(spark, sf_dir):
     return l.filter(F.col("label").isin(3)).select("doc_id", "label")
 
 
+# labels as a file gives them: numbers as text, some of them none
+_TEXT_LABEL_SQL = """CASE doc_id % 25 WHEN 3 THEN NULL WHEN 5 THEN 'n/a' WHEN 7 THEN ' ' || CAST(label AS STRING) || ' ' WHEN 9 THEN CAST(label AS STRING) || '.0'
+  WHEN 11 THEN CAST(label AS STRING) || '.5' WHEN 13 THEN '99999999999' WHEN 15 THEN '' ELSE CAST(label AS STRING) END"""
+
+
+@register("label_cast", sql=f"""
+WITH l AS ({LABELLED_SQL})
+SELECT doc_id, CASE WHEN doc_id % 25 NOT IN (3, 5, 11, 13, 15) THEN CAST(label AS VARCHAR) END AS label,
+       CASE doc_id % 25 WHEN 5 THEN 'not a number' WHEN 15 THEN 'not a number' WHEN 11 THEN 'not whole' WHEN 13 THEN 'out of range' END AS reason
+FROM l
+""")
+def label_cast(spark, sf_dir):
+    """P5: text labels to integers; those that are none are rejected with a reason."""
+    rows, rejects = C.whole_labels(labelled_corpus(spark, sf_dir).select("doc_id", F.expr(_TEXT_LABEL_SQL).alias("label")))
+    none = F.lit(None).cast("string")
+    return rows.select("doc_id", F.col("label").cast("string").alias("label"), none.alias("reason")).unionByName(
+        rejects.select("doc_id", none.alias("label"), "reason"))
+
+
 @register("drop_class0", sql=f"""
 WITH l AS ({LABELLED_SQL}) SELECT doc_id, label FROM l WHERE label <> 0
 """)

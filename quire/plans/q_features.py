@@ -6,15 +6,21 @@ from pyspark.sql import functions as F
 
 from quire.functions import keywords as KW
 from quire.functions import segment as SG
+from quire.operators import abbreviations as AB
 from quire.operators import vocab as V
 from quire.plans import oracle as O
 from quire.plans.catalog import register
 from quire.plans.fixtures import corpus
 from quire.session import reliable_checkpoint
+from quire.sources.tables import table
 
 SEP = " || "
 
 
+def _num(x: float) -> str:
+    return f"CAST({x!r} AS DOUBLE)"
+
+
 def _sql_sentences(e: str) -> str:
     return (f"string_split(regexp_replace({e}, {O.q(KW.SENTENCE_BOUNDARY)}, {O.q(chr(92) + '1' + KW.SENT_MARK)}, 'g'), "
             f"{O.q(KW.SENT_MARK)})")
@@ -179,3 +185,72 @@ def pad_sequences(spark, sf_dir):
     toks = flat_tokens(spark, sf_dir)
     enc = V.encode_flat(toks, "doc_id", "toks", flat_vocab(spark, sf_dir))
     return enc.select("doc_id", F.array_join("ids", ",").alias("ids"))
+
+
+# --- sentence borders with learned abbreviations --------------------------------------
+
+LETTERS_SQL = """
+SELECT 'order:' || CAST(o_orderkey AS VARCHAR) AS key,
+       'Dear customer No. ' || CAST(o_custkey AS VARCHAR) || ', we write about order no. ' || CAST(o_orderkey AS VARCHAR)
+       || ' of Acme Ltd. Bill and goods. The goods (approx. ' || CAST(o_orderkey % 90 + 5 AS VARCHAR) || ' pcs. in all) were sent by Mr. Smith of Foo Inc. on '
+       || CAST(o_custkey % 28 + 1 AS VARCHAR) || '.5. Smith will call about the order at 9 a.m. or later. We write later about the bill.'
+       || chr(10) || 'Customer and bill: ' || CAST(o_custkey AS VARCHAR) || '. All were sent!' AS text
+FROM orders
+UNION ALL SELECT 'doc:' || CAST(doc_id AS VARCHAR), text FROM documents
+"""
+
+
+def letters(spark, sf_dir):
+    """A letter for each order, and the documents."""
+    k, c = F.col("o_orderkey"), F.col("o_custkey").cast("string")
+    text = F.concat(F.lit("Dear customer No. "), c, F.lit(", we write about order no. "), k.cast("string"),
+                    F.lit(" of Acme Ltd. Bill and goods. The goods (approx. "), (k % 90 + 5).cast("string"),
+                    F.lit(" pcs. in all) were sent by Mr. Smith of Foo Inc. on "), (F.col("o_custkey") % 28 + 1).cast("string"),
+                    F.lit(".5. Smith will call about the order at 9 a.m. or later. We write later about the bill.\nCustomer and bill: "), c,
+                    F.lit(". All were sent!"))
+    orders = table(spark, sf_dir, "orders").select(F.concat(F.lit("order:"), k.cast("string")).alias("key"), text.alias("text"))
+    return orders.unionByName(corpus(spark, sf_dir).select(F.concat(F.lit("doc:"), F.col("id")).alias("key"), "text"))
+
+
+SCORES_SQL = f"""
+WITH l AS ({LETTERS_SQL}),
+tok AS (SELECT lower(regexp_replace(regexp_replace(raw, {O.q(AB._LEADING)}, ''), {O.q(AB._TRAILING)}, '')) AS t
+        FROM (SELECT unnest(string_split_regex(coalesce(text, ''), '\\s+')) AS raw FROM l)),
+cnt AS (SELECT regexp_replace(t, '\\.$', '') AS word, count(*) FILTER (t LIKE '%.') AS a, count(*) FILTER (t NOT LIKE '%.') AS b
+        FROM tok WHERE t <> '' GROUP BY 1),
+p AS (SELECT sum(a) / sum(a + b) AS p FROM cnt),
+sh AS (SELECT word, a, b, p, length(word) - length(replace(word, '.', '')) AS inner_stops FROM cnt, p
+       WHERE a > 0 AND regexp_matches(word, {O.q(AB._WORD)})),
+sc AS (SELECT word, a AS with_stop, b AS without_stop,
+              2 * (a * ln({_num(0.99)}) + b * ln({_num(0.01)}) - a * ln(p) - b * ln(greatest(1 - p, {_num(1e-300)})))
+              * exp(-CAST(length(word) - inner_stops AS DOUBLE)) * (inner_stops + 1) * pow(CAST(length(word) - inner_stops AS DOUBLE), -CAST(b AS DOUBLE)) AS score
+       FROM sh)
+"""
+
+
+@register("abbreviation_scores", sql=SCORES_SQL + f"""
+SELECT word, with_stop, without_stop, CASE WHEN round(score, 6) = 0 THEN 0.0 ELSE round(score, 6) END AS score, score >= {_num(AB.THRESHOLD)} AS is_abbreviation FROM sc
+""")
+def abbreviation_scores(spark, sf_dir):
+    """K1: how far every word's full stop belongs to the word, over letters and documents."""
+    s = AB.abbreviation_scores(letters(spark, sf_dir))
+    return s.select("word", "with_stop", "without_stop", F.round("score", 6).alias("score"), (F.col("score") >= AB.THRESHOLD).alias("is_abbreviation"))
+
+
+_LAST_SQL = f"lower(regexp_replace(regexp_replace(regexp_extract(x, '(\\S+)\\s*$', 1), {O.q(AB._LEADING)}, ''), {O.q(AB._TRAILING)}, ''))"
+
+
+@register("sentences_learned", sql=SCORES_SQL + f""",
+ab AS (SELECT coalesce(list(word || '.'), []) AS known FROM sc WHERE score >= {_num(AB.THRESHOLD)}),
+pc AS (SELECT key, list_transform({_sql_sentences("coalesce(text, '')")}, lambda x: x || CASE WHEN list_contains(known, {_LAST_SQL}) THEN ' ' ELSE chr(1) END) AS pieces
+       FROM l, ab),
+j AS (SELECT key, string_split(regexp_replace(array_to_string(pieces, ''), '[ \x01]$', ''), chr(1)) AS s FROM pc)
+SELECT key, CAST(len(s) AS INTEGER) AS n_sentences, array_to_string(s, {O.q(SEP)}) AS sentences FROM j
+""")
+def sentences_learned(spark, sf_dir):
+    """K1: sentences of letters and documents; a full stop that belongs to a
+    learned abbreviation ends none (``No. 5``, ``Ltd. Bill``)."""
+    l = letters(spark, sf_dir)
+    known = reliable_checkpoint(AB.abbreviations(l))
+    out = AB.with_sentences(l, "text", known, "s")
+    return out.select("key", F.size("s").alias("n_sentences"), F.array_join("s", SEP).alias("sentences"))

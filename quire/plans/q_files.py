@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from quire.functions import scalars as S
 from quire.operators import annotations as A
+from quire.operators import batch as BT
 from quire.operators import corpus as C
 from quire.plans import oracle as O
 from quire.plans.catalog import register
@@ -221,3 +222,36 @@ def corpus_versions(spark, sf_dir):
     for _ in range(2):
         V.append(batch, path, "batch", "id")
     return V.read(spark, path).select("id", "filename", "text", "label_name")
+
+
+def _damage(spark, paths: tuple[str, str]) -> None:
+    """The first file goes; of the second only the first bytes are left (behind
+    the back of a file system that keeps checksums; elsewhere it goes as well)."""
+    gone, cut = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in paths)
+    fs = cut.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.delete(gone, False)
+    if hasattr(fs, "getRaw") and fs.getScheme() == "file":
+        out = fs.getRaw().create(cut, True)
+        out.write(bytearray(b"cut off"))
+        out.close()
+    else:
+        fs.delete(cut, False)
+
+
+@register("unreadable_files", sql=f"""
+WITH f AS (SELECT lang, CAST(floor(doc_id / {FILE_DOCS}) AS BIGINT) AS run, string_agg(text || chr(10), '' ORDER BY doc_id) AS content
+           FROM documents GROUP BY lang, floor(doc_id / {FILE_DOCS})),
+r AS (SELECT *, row_number() OVER (ORDER BY lang, run) AS first, row_number() OVER (ORDER BY lang DESC, run DESC) AS last FROM f)
+SELECT lang, run, 'TXT' AS file_type, CASE WHEN first = 1 OR last = 1 THEN {O.q(BT.LOST)} END AS error,
+       CASE WHEN first > 1 AND last > 1 THEN {O.clean_text('content')} END AS text
+FROM r
+""")
+def unreadable_files(spark, sf_dir):
+    """P9 + S1: the corpus staged as text files; after the listing one file goes
+    and one is cut off.  Both are rows with an error, all others are read."""
+    root = _stage_documents(spark, sf_dir)
+    place = (F.regexp_extract("path", "lang=([^/]*)/", 1).alias("lang"), F.regexp_extract("path", "run=([0-9]+)/", 1).cast("long").alias("run"))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path", *place)
+    ends = files.agg(F.min_by("path", F.struct("lang", "run")).alias("gone"), F.max_by("path", F.struct("lang", "run")).alias("cut")).first()
+    out = BT.read_folder(spark, root, between=lambda: _damage(spark, (ends.gone, ends.cut)))
+    return out.select(*place, "file_type", "error", "text")

@@ -246,6 +246,32 @@ def _batch(spark, sf_dir):
     return B.process_files(files, M.train(s.filter(F.col("split") == "train")))
 
 
+@register("batch_presence", sql=BATCH_SQL + f"""
+SELECT filename, error, CASE WHEN error IS NULL AND is_invoice THEN
+         {" || ';' || ".join(f"'{f}=' || " + O.extract_field('text', f) for f in sorted(X.FIELD_KEYS))} END AS invoice_fields,
+       true AS as_predicted
+FROM r
+""")
+def batch_presence(spark, sf_dir):
+    """M9 + X13: the batch job with the presence model in it, fitted on a training
+    split's own extractions (P7).  A field's value is the cascade's where the model says it is
+    there, else a status text; each agrees with the probability predicted apart."""
+    files = batch_files(spark, sf_dir)
+    good = B.readable(files).filter("error IS NULL").select("path", "text", "raw", "label")
+    s = SP.stratified_split(good, "label", "path", train=0.8, test=0.1, validation=0.1, seed=SEED)
+    train = s.filter(F.col("split") == "train")
+    flags = reliable_checkpoint(train.select("text", *[(X.extract_field(F.col("raw"), f) != "").cast("int").alias(f"has_{f}") for f in X.FIELD_KEYS]))
+    presence = M.train_presence(flags, FLAGS)
+    r = B.process_files(files, M.train(train), presence=presence)
+    alone = M.predict_presence(*presence, B.readable(files).select("filename", "raw", "text"))
+    wanted = F.map_from_arrays(F.array(*[F.lit(f) for f in X.FIELD_KEYS]), F.array(*[
+        RS.field_value(X.extract_field(F.col("raw"), f), F.col(f"probability_has_{f}")) for f in X.FIELD_KEYS]))
+    j = r.join(alone.select("filename", RS.render_fields(wanted).alias("wanted")), "filename")
+    given = RS.render_fields("fields")
+    return j.select("filename", "error", F.when(F.col("filename").startswith("inv_"), given).alias("invoice_fields"),
+                    (F.col("fields").isNull() | (given == F.col("wanted"))).alias("as_predicted"))
+
+
 @register("batch_stats", sql=BATCH_SQL + """,
 c AS (SELECT CASE WHEN error IS NOT NULL THEN 'Error' ELSE 'Classified' END AS outcome, count(*) AS n FROM r GROUP BY 1)
 SELECT outcome, n, true AS mostly_right FROM c

@@ -425,3 +425,42 @@ def test_fit_sample_gathers_no_texts(spark):
     assert M.fit_sample(data, rows=5000).count() == 5000 and M.fit_sample(data, rows=1000).rdd.getNumPartitions() == 4
     hot = data.withColumn("text", F.lit("same"))
     assert 0 < M.fit_sample(hot, rows=1000).count() <= 1000
+
+
+def test_fractions_must_sum_to_one(spark):
+    SP.check_fractions(0.7, 0.2, 0.1)
+    SP.check_fractions(0.1 + 0.2, 0.7)  # as close as floats come
+    df = spark.createDataFrame([("a", 1)], "id string, label int")
+    for parts in ((0.7, 0.2, 0.2), (0.5, 0.2, 0.2)):
+        with pytest.raises(ValueError, match="must sum to 1.0"):
+            SP.check_fractions(*parts)
+        with pytest.raises(ValueError, match="must sum to 1.0"):
+            SP.stratified_split(df, train=parts[0], test=parts[1], validation=parts[2])
+
+
+def test_whole_labels(spark):
+    values = ["3", " 4 ", "5.0", "-2", None, "", "x", "1.5", "99999999999", "nan", "1e3"]
+    rows, rejects = C.whole_labels(spark.createDataFrame([(v, v) for v in values], "came string, label string"))
+    assert {r.came: r.label for r in rows.collect()} == {"3": 3, " 4 ": 4, "5.0": 5, "-2": -2, None: None, "1e3": 1000}
+    assert {r.label: r.reason for r in rejects.collect()} == {"": "not a number", "x": "not a number", "1.5": "not whole",
+                                                              "99999999999": "out of range", "nan": "not a number"}
+    rows, rejects = C.whole_labels(spark.createDataFrame([(1.0,), (2.5,)], "label double"))
+    assert [r.label for r in rows.collect()] == [1] and rejects.first().reason == "not whole"
+
+
+def test_files_that_cannot_be_read_are_error_rows(spark, tmp_path):
+    from quire.operators import batch as B
+    from quire.operators import models as M
+    spark.createDataFrame([(k, f"dear friend {k} hello") for k in range(4)], "k int, value string").repartition("k") \
+        .write.partitionBy("k").text(str(tmp_path / "in"))
+    (tmp_path / "in" / "odd.exe").write_bytes(b"x")
+    files = {k: next((tmp_path / "in" / f"k={k}").glob("part-*.txt")) for k in range(4)}
+    with open(files[1], "r+b") as file:  # its checksum is now another file's
+        file.truncate(3)
+    out = {r.path.split("in/")[1].split("/")[0]: r for r in B.read_folder(spark, str(tmp_path / "in"), between=files[2].unlink).collect()}
+    assert {k: r.error for k, r in out.items()} == {"k=0": None, "k=1": B.LOST, "k=2": B.LOST, "k=3": None, "odd.exe": B.UNSUPPORTED}
+    assert out["k=1"].file_type == "TXT" and out["k=1"].filename == files[1].name and out["k=0"].text == "dear friend o hello"
+    train = spark.createDataFrame([(f"invoice no {i} total", "invoice") for i in range(20)] + [(f"dear friend {i} hello", "letter") for i in range(20)],
+                                  "text string, label string")
+    rows = B.process_folder(spark, str(tmp_path / "in"), M.train(train, max_iter=10)).collect()  # the file that has gone is not listed any more
+    assert sorted((r.classification or "", r.error or "") for r in rows) == [("", B.LOST), ("", B.UNSUPPORTED), ("Letter", ""), ("Letter", "")]

@@ -1,6 +1,8 @@
 """Cleaning rules on hand-written strings (expected values worked out by hand
 from the rule tables)."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -61,3 +63,29 @@ def test_accent_fold_and_lengths(spark):
                   TX.alnum_count("t").alias("a")).collect()
     assert r[0].f == "Creme brulee Ca" and r[0].n == 15 and r[0].a == 13
     assert r[1].f is None and r[1].n == 0
+
+
+def test_learned_abbreviations(spark):
+    import math
+    from collections import Counter
+
+    from quire.operators import abbreviations as AB
+    letters = [(k, f"See No. {k} of Acme Ltd. Bill. We saw it at 9 a.m. today. Bill, today we (see \"approx. {k}\") it. We see") for k in range(300)]
+    df = spark.createDataFrame([*letters, (99, None), (98, "")], "k int, text string")
+    tokens = [re.sub(r"^[(\[{\"'«“‘]+", "", re.sub(r"[)\]}\"'»”’,;:!?]+$", "", t)).lower() for _, x in letters for t in x.split()]
+    stops, plain = Counter(t[:-1] for t in tokens if t.endswith(".")), Counter(t for t in tokens if not t.endswith("."))
+    chance = sum(stops.values()) / len(tokens)
+    out = {r.word: r for r in AB.abbreviation_scores(df).collect()}
+    assert set(out) == {w for w in stops if re.fullmatch(r"[^\W\d_](\.?[^\W\d_])*", w)}
+    for w, r in out.items():
+        a, b, inner = stops[w], plain[w], w.count(".")
+        ratio = 2 * (a * math.log(0.99) + b * math.log(0.01) - a * math.log(chance) - b * math.log(1 - chance))
+        assert math.isclose(r.score, ratio * math.exp(inner - len(w)) * (inner + 1) * float(len(w) - inner) ** -b, rel_tol=1e-9)
+    known = AB.abbreviations(df)
+    assert {r.word for r in known.collect()} == {"no", "ltd", "a.m", "approx"}
+    texts = [(1, "No. 5 of Acme Ltd. Bill. Then it ended. At 9 a.m. Bill came!  He (see \"No.\" approx. 3) left"), (2, None), (3, "no. "), (4, "One. Two.")]
+    texts = spark.createDataFrame(texts, "k int, text string")
+    for held in (AB.HELD, 1):
+        out = {r.k: r.s for r in AB.with_sentences(texts, "text", known, "s", held).collect()}
+        assert out[1] == ["No. 5 of Acme Ltd. Bill.", "Then it ended.", "At 9 a.m. Bill came!", "He (see \"No.\" approx. 3) left"]
+        assert out[2] == [""] and out[4] == ["One.", "Two."] and [x.strip() for x in out[3]] == ["no."]
