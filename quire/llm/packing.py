@@ -12,7 +12,8 @@ end is dealt the same way, its odd rest cut into windows of powers of two,
 which need no padding.
 
 Sequence ids hold the input partition's number, so a task that runs again
-gives the same rows.
+gives the same rows.  That holds for inputs read from files; write the output
+of a shuffle first (the order of its rows may change when a task runs again).
 
 Edge cases: a null or empty text is its end token; texts of any length are cut;
 null identifiers and repeated rows are packed each; an empty table gives an
@@ -22,8 +23,6 @@ empty result; extra columns are ignored.
 from __future__ import annotations
 
 import heapq
-import json
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -33,8 +32,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.bpe import MergeFold, WordEncoder, in_portions
-from quire.llm.tokenize import SPACE
+from quire.llm.bpe import in_portions
+from quire.llm.word_ids import WordIds
 
 CAPACITY = 2048
 #: Windows that one differencing fills.
@@ -77,61 +76,13 @@ def near_equal_windows(sizes: list[int], capacity: int) -> list[list[int]]:
     return []
 
 
-class WordVocabulary:
-    """The ids of a word-level BPE file of the ``tokenizers`` library.
+_VOCABULARIES: dict[str, WordIds] = {}
 
-    Words of ASCII and Latin letters go through the ranked merges here; any
-    other string goes to the library itself."""
 
-    plain = re.compile("[!-~À-ÖØ-öø-įı-ſ]+")
-    words = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ſ]+|[0-9]|[^a-z0-9ß-öø-ſ]+")
-    spaces = re.compile(f"[^{SPACE}]+")
-    control = re.compile("[\x1c-\x1f]")
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
-        with open(path, encoding="utf-8") as file:
-            model = json.load(file)["model"]
-        vocab = model["vocab"]
-        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]  # the byte alphabet of byte-level BPE
-        shown = {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in printable)}
-        self.inner = np.array([vocab[shown[b]] for b in range(256)], np.int32)
-        self.last = np.array([vocab[shown[b] + model["end_of_word_suffix"]] for b in range(256)], np.int32)
-        pairs = (tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"])
-        fold = MergeFold((vocab[a], vocab[b], vocab[a + b]) for a, b in pairs)
-        self.encoder = WordEncoder(fold, self.split, self.pieces, self.symbols, odd=self.by_library)
-
-    def split(self, text: str) -> list[str]:
-        return self.spaces.findall(text) if self.control.search(text) else text.split()
-
-    def pieces(self, chunk: str) -> list[str] | None:
-        if chunk.isascii() and chunk.isalpha():
-            return [chunk.lower()]
-        if not self.plain.fullmatch(chunk):
-            return None
-        return self.words.findall(chunk.lower())
-
-    def symbols(self, raw: np.ndarray) -> np.ndarray:
-        ids = self.inner[raw]
-        ids[:, -1] = self.last[raw[:, -1]]
-        return ids
-
-    def by_library(self, chunk: str) -> bytes:
-        return np.array(self.library.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        return self.encoder.encode(texts)
-
-
-_VOCABULARIES: dict[str, WordVocabulary] = {}
-
-
-def _vocabulary(path: str) -> WordVocabulary:
+def _vocabulary(path: str) -> WordIds:
+    """One per worker and file."""
     if path not in _VOCABULARIES:
-        _VOCABULARIES[path] = WordVocabulary(path)
+        _VOCABULARIES[path] = WordIds(path)
     return _VOCABULARIES[path]
 
 
@@ -244,7 +195,7 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
         for batch in batches:
             id_type = batch.column("id").type
             keys = iter(batch.column("id").to_pylist())
-            for texts in in_portions(batch.column("text").to_pylist()):
+            for texts in in_portions(batch.column("text").to_pylist(), 4_000_000):
                 for ids in vocabulary.encode(texts):
                     packer.add(next(keys), ids + end)
                 if packer.rows:

@@ -16,6 +16,7 @@ from tokenizers import Tokenizer
 
 from quire.llm import chat, packing, secrets, tokenize, toxicity, url_filter
 from quire.llm.bpe import MergeFold
+from quire.llm.word_ids import WordIds
 
 DOCS = "doc_id bigint, text string, spans string, id int, host string"
 RANKS = P.path("byte_bpe_multi_50k.tiktoken")
@@ -229,7 +230,6 @@ def test_long_words_fold_alike():
 
 def check_packing(spark, texts, **options):
     library = Tokenizer.from_file(WORDS)
-    library.encode_special_tokens = True
     rows = packing.pack(docs(spark, texts), WORDS, **options).collect()
     pieces, sequences = defaultdict(list), defaultdict(list)
     for r in rows:
@@ -253,6 +253,25 @@ def check_packing(spark, texts, **options):
     return lengths
 
 
+def test_word_ids_equal_the_untouched_library():
+    library, ids = Tokenizer.from_file(WORDS), WordIds(WORDS, capacity=300)
+    rng = random.Random(11)
+    signs = ["a", "Word", "É", "ß", "Ÿ", "ÿ", "×", "÷", "é", "e\u0301", "'s", "'", "'Re", "12", "\u00a0", "\u2028", "\x1c", "\x85", "\x00", "\x7f", "中", "🙂",
+             "“", "-", "!?", " ", "  ", "\n", "\t", "İ", "Σ", "ſ", "Œ", "<|endoftext|>", "<|startoftext|>", "<|", "|>", "<|EndOfText|>", "don't", "x" * 60]
+    texts = [None, "", " ", "a <|endoftext|> b", "<|endoftext|>", "a<|endoftext|><|startoftext|>b", "ß" * 3000, "9" * 500, *odd_texts()]
+    texts += ["".join(rng.choices(signs, k=rng.randint(1, 40))) for _ in range(1500)]
+    got = ids.encode(texts)
+    for text, packed in zip(texts, got, strict=True):
+        assert np.frombuffer(packed, "<u4").tolist() == library.encode(text or "", add_special_tokens=False).ids, repr(text)[:100]
+    assert [ids.encode([t])[0] for t in texts[:50]] == got[:50] and ids.encode([]) == []
+
+
+def test_packing_of_null_and_repeated_ids(spark):
+    rows = spark.createDataFrame([(None, "one two"), (None, "three <|endoftext|>"), (5, "four"), (5, "four"), (5, "five")], "doc_id bigint, text string")
+    out = packing.pack(rows, WORDS).collect()
+    assert sorted((r.doc_id is None, r.doc_tokens) for r in out if r.start == 0) == [(False, 2), (False, 2), (False, 2), (True, 3), (True, 3)]
+
+
 def test_packing_holds_every_token_once(spark):
     lengths = check_packing(spark, odd_texts())
     assert max(lengths) <= 2048 and all(n & (n - 1) == 0 for n in lengths)
