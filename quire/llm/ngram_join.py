@@ -37,7 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.common import staged
@@ -93,7 +93,7 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sizes.append(len(grams))
             nodes.append(_node(grams))
             parts.append(_part(grams).tobytes())
-        others = [c for c in batch.schema.names if c not in ("id", "text")]
+        others = [c for c in batch.schema.names if c not in ("id", "text")]  # row among them
         yield pa.RecordBatch.from_arrays(
             [batch.column("id"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()), pa.array(parts, pa.binary()),
              *(batch.column(c) for c in others)], names=["id", "n", "node", "part", *others])
@@ -277,15 +277,19 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     least node.  Alternating large-star and small-star, with the edges written
     to the shared folder after each round, until they no longer change."""
     edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct()
-    around = F.min("v").over(Window.partitionBy("u"))
+
+    def around(pairs: DataFrame) -> DataFrame:
+        """With the least neighbour ``w`` of each u; a join, which may split a hot u."""
+        return pairs.join(pairs.groupBy("u").agg(F.min("v").alias("w")), "u")
+
     before = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # large-star: the larger neighbours of a node point to the least of all
-        large = (both.withColumn("m", F.least("u", around)).filter("v > u")
+        large = (around(both).withColumn("m", F.least("u", "w")).filter("v > u")
                  .select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v"))
         # small-star: a node and its smaller neighbours point to the least of these
-        low = large.withColumn("m", around)
+        low = around(large).withColumnRenamed("w", "m")
         edges = staged(low.select(F.explode(F.array(
             F.struct(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v")),
             F.struct(F.col("u"), F.col("m").alias("v")))).alias("e")).select("e.*").filter("u <> v").distinct())
@@ -302,9 +306,9 @@ def _fragments(ngrams: int) -> int:
 
 
 def candidates(members: DataFrame) -> DataFrame:
-    """The nodes (and one identifier each) that may have partners."""
+    """The nodes that may have partners, each with the ``row`` of one text."""
     nodes = (members.filter("n > 0").groupBy("node").agg(
-        F.min("id").alias("id"), F.max("n").alias("n"), F.max(F.octet_length("part") / 8).cast("long").alias("seen")))
+        F.min("row").alias("row"), F.max("n").alias("n"), F.max(F.octet_length("part") / 8).cast("long").alias("seen")))
     total = nodes.agg(F.coalesce(F.sum("seen"), F.lit(0)).alias("n")).first()["n"]
     cut = (members.filter("n > 0").select("node", "n", F.col("part").alias("grams"))
            .mapInArrow(_cut(_fragments(total), PART_OF_EIGHT), FRAGMENT_SCHEMA))
@@ -314,7 +318,7 @@ def candidates(members: DataFrame) -> DataFrame:
     # n-grams of its own: those known, and at least all but a FEW-th of those in fragments not reported
     own = F.lit(FEW) * (held - shared_n) + F.lit(FEW - 1) * (F.col("seen") - held)
     return (nodes.join(shared, "node", "left")
-            .filter(own <= FEW * (F.col("n") - F.ceil(F.col("n") * PERCENT / 100))).select("node", "id", "n"))
+            .filter(own <= FEW * (F.col("n") - F.ceil(F.col("n") * PERCENT / 100))).select("node", "row", "n"))
 
 
 def linked(docs: DataFrame, members: DataFrame) -> DataFrame:
@@ -330,7 +334,7 @@ def linked(docs: DataFrame, members: DataFrame) -> DataFrame:
                                               zip(columns, (pa.binary(), pa.int64(), pa.binary()), strict=True)],
                                              names=["node", "n", "grams"])
 
-    texts = docs.join(chosen.select("id"), "id", "left_semi").select("text")
+    texts = docs.select("row", "text").join(chosen.select("row"), "row", "left_semi").select("text")
     fragments = _cut(_fragments(total), 8)
     cut = texts.mapInArrow(lambda batches: fragments(sets(batches)), FRAGMENT_SCHEMA)
     segments = cut.groupBy("fragment").applyInArrow(
@@ -369,8 +373,10 @@ def _labelled(rows: DataFrame, *others: str) -> DataFrame:
     """``id``, ``n``, ``component`` (a node) and ``others`` of every row of
     ``rows`` (id, text and others)."""
     kinds = dict(rows.dtypes)
-    schema = [f"id {kinds['id']}, n bigint, node binary, part binary", *(f"{c} {kinds[c]}" for c in others)]
-    members = staged(rows.mapInArrow(_members, ", ".join(schema)))
+    # a text is fetched again by this name of its row, which null identifiers have too
+    rows = rows.withColumn("row", F.xxhash64("id", "text"))
+    schema = [f"id {kinds['id']}, n bigint, node binary, part binary", *(f"{c} {kinds[c]}" for c in others), "row bigint"]
+    members = staged(rows.select("id", "text", *others, "row").mapInArrow(_members, ", ".join(schema)))
     return (members.select("id", "n", "node", *others).join(linked(rows, members), "node", "left")
             .select("id", "n", F.coalesce("component", "node").alias("component"), *others))
 
@@ -386,18 +392,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("id")).alias("component_id")))
 
 
-def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per identifier and text with words: ``<id_col>``, ``text_sha256``,
-    ``rows`` that have both, and ``kept``, true for one pair of each component:
-    that of the least identifier (null is last), then the least digest."""
+def dropped(docs: DataFrame, key_col: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``<key_col>`` of the rows that go when one row of each component stays:
+    that of the least identifier (null is last), then of the least SHA-256 of the text, then of
+    the least key.  Texts without words stay.  Keys name rows, so repeated rows are told apart."""
     text = F.col(text_col)
-    rows = docs.select(F.col(id_col).alias("id"), text.alias("text"),
+    rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.col(key_col).alias("key"),
                        F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256)).alias("digest"))
-    labelled = staged(_labelled(rows, "digest").filter("n > 0").drop("n"))
-    best = labelled.groupBy("component").agg(
-        F.min(F.struct(F.col("id").isNull().alias("last"), "id", "digest")).alias("best")).select("best.id", "best.digest")
-    pairs = labelled.groupBy("id", "digest").agg(F.count(F.lit(1)).alias("rows"))
-    kept = pairs.alias("p").join(best.select("id", "digest", F.lit(True).alias("kept")).alias("b"),
-                                 F.col("p.id").eqNullSafe(F.col("b.id")) & (F.col("p.digest") == F.col("b.digest")), "left")
-    return kept.select(F.col("p.id").alias(id_col), F.lower(F.hex("p.digest")).alias("text_sha256"), "rows",
-                       F.coalesce("kept", F.lit(False)).alias("kept"))
+    labelled = staged(_labelled(rows, "key", "digest").filter("n > 0").drop("n"))
+    first = F.struct(F.col("id").isNull().alias("last"), "id", "digest", "key")
+    best = labelled.groupBy("component").agg(F.min(first).alias("best")).select("component", F.col("best.key").alias("kept"))
+    return labelled.join(best, "component").filter(F.col("key") != F.col("kept")).select(F.col("key").alias(key_col))
