@@ -2,9 +2,14 @@
 text of each near-duplicate group kept, secrets masked, the rest packed.
 
 Each stage takes (spark, docs, sf_dir) and works on all its predecessor kept.
-Decisions name rows by identifier and text digest, never by the identifier
-alone: a repeated identifier with another text is a row of its own, equal rows
-leave one of them, and rows with a null identifier are judged like any others.
+Decisions name rows by where they stand in their files, never by the
+identifier: rows that repeat an identifier, or repeat altogether, are told
+apart, and rows with a null identifier are judged like any others.  The rows
+that go are marked in bit words, so texts that stay are not shuffled.
+
+Edge cases: a null text counts as empty and stays unless it is a copy; texts
+of any length are judged whole; an empty table gives an empty result; extra
+columns pass through the filtering stages whatever their names.
 """
 
 from __future__ import annotations
@@ -14,23 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm import exact_dedup, ngram_join, packing, queries, secrets, toxicity
-from quire.llm.common import read, staged
-
-
-def _keep(docs: DataFrame, judged: DataFrame) -> DataFrame:
-    """``docs`` without the rows that ``judged`` (doc_id, text_sha256, rows, kept;
-    pairs that go or repeat) names, but for one row of each kept pair.  Only rows that repeat a kept pair
-    are dealt out by it, one a partition."""
-    def among(rows: DataFrame, pairs: DataFrame, how: str) -> DataFrame:
-        pairs = pairs.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha256"))
-        return rows.join(pairs, rows["doc_id"].eqNullSafe(pairs["_id"]) & (rows["_digest"] == pairs["_sha256"]), how)
-
-    rows = docs.withColumn("_digest", F.sha2(F.coalesce("text", F.lit("")), 256))
-    once = among(rows, judged, "left_anti")
-    # a file of its own: where few rows repeat, its size tells that the texts need no shuffle
-    repeated = staged(judged.filter("kept AND rows > 1").select("doc_id", "text_sha256"))
-    first = among(rows, repeated, "left_semi").dropDuplicates(["doc_id", "_digest"])
-    return once.unionByName(first).select(docs.columns)
+from quire.llm.common import free_name, placed, read, release, staged, staged_count, without
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,15 +30,17 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the largest doc_id stays, in one row."""
-    judged = exact_dedup.exact_dedup(docs, keep="largest").groupBy("doc_id", "text_sha256").agg(
-        F.count(F.lit(1)).alias("rows"), F.max("kept").alias("kept"))
-    return _keep(docs, staged(judged.filter("NOT kept OR rows > 1")))
+    docs, rows, place, seed = placed(docs)
+    key = free_name(rows, "key")  # ordered by doc_id, then place; a null doc_id is the least
+    judged = exact_dedup.exact_dedup(rows.withColumn(key, F.struct("doc_id", place)), id_col=key, keep="largest")
+    return without(docs, judged.filter("NOT kept").select(F.col(key)[place].alias(place)), place, seed)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the smallest doc_id stays, in one row;
     texts without words stay all."""
-    return _keep(docs, staged(ngram_join.judged(docs).filter("NOT kept OR rows > 1")))
+    docs, rows, place, seed = placed(docs)
+    return without(docs, ngram_join.dropped(rows, place), place, seed)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -72,6 +63,10 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written and read again."""
     docs = read(spark, sf_dir, "documents")
+    first = staged_count()
     for _, stage in STAGES[:-1]:
         docs = staged(stage(spark, docs, sf_dir))
+        last = staged_count() - 1
+        release(spark, first, last)  # all that this stage read or wrote on its way
+        first = last
     return STAGES[-1][1](spark, docs, sf_dir)

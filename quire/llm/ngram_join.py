@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import staged
+from quire.llm.common import give_back, staged, tidy
 from quire.llm.words import Words, mix, portions
 
 N_WORDS = 5
@@ -52,6 +52,8 @@ FRAGMENT_NGRAMS, LEAST_FRAGMENTS = 2_000_000, 4
 PART_OF_EIGHT = 3
 #: Orders of preference among pivots; a text meets about as many pivots.
 PIVOT_ORDERS = 16
+#: Bytes of the batches in which texts come to a worker.
+BATCH_BYTES = 8 << 20
 #: Bits of a set's parity bitmap: each is the parity of the n-grams that fall on it.
 BITMAP_BITS = 512
 _STEP = [np.uint64(x) for x in (0x9FB21C651E98DF25, 0xA24BAED4963EE407, 0xD6E8FEB86659FD93,
@@ -160,6 +162,8 @@ def _shared_counts(table):
     owner = np.repeat(np.arange(len(nodes), dtype=np.int32), counts)
     shared = np.bincount(owner[among > 1], minlength=len(nodes))
     has = np.flatnonzero(shared * FEW > counts)
+    del owner
+    give_back()
     return pa.table({"node": pa.array([nodes[i].tobytes() for i in has], pa.binary()),
                      "shared": pa.array(shared[has], pa.int64()), "held": pa.array(counts[has], pa.int64())})
 
@@ -179,6 +183,8 @@ def _segments(key, table):
         own, both = grams[end - count:end], among[end - count:end]
         keep = both > 1
         rows.append((node.tobytes(), n, key[0].as_py(), own[keep].tobytes(), both[keep].tobytes(), _parities(own).tobytes()))
+    del grams, among
+    give_back()
     columns = list(zip(*rows, strict=True)) if rows else [()] * 6
     kinds = (pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
     return pa.table({name: pa.array(c, k) for name, c, k in
@@ -254,7 +260,7 @@ def verified(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     left = nodes.select(F.col("node").alias("a"), grams.alias("segments_a"))
     right = nodes.select(F.col("node").alias("b"), grams.alias("segments_b"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "total", "segments_a", "segments_b").mapInArrow(
-        _links, "a binary, b binary")
+        tidy(_links), "a binary, b binary")
 
 
 def _fit(a, b):
@@ -311,7 +317,7 @@ def candidates(members: DataFrame) -> DataFrame:
         F.min("row").alias("row"), F.max("n").alias("n"), F.max(F.octet_length("part") / 8).cast("long").alias("seen")))
     total = nodes.agg(F.coalesce(F.sum("seen"), F.lit(0)).alias("n")).first()["n"]
     cut = (members.filter("n > 0").select("node", "n", F.col("part").alias("grams"))
-           .mapInArrow(_cut(_fragments(total), PART_OF_EIGHT), FRAGMENT_SCHEMA))
+           .mapInArrow(tidy(_cut(_fragments(total), PART_OF_EIGHT)), FRAGMENT_SCHEMA))
     shared = (cut.groupBy("fragment").applyInArrow(_shared_counts, "node binary, shared bigint, held bigint")
               .groupBy("node").agg(F.sum("shared").alias("shared"), F.sum("held").alias("held")))
     shared_n, held = F.coalesce("shared", F.lit(0)), F.coalesce("held", F.lit(0))
@@ -323,7 +329,7 @@ def candidates(members: DataFrame) -> DataFrame:
 
 def linked(docs: DataFrame, members: DataFrame) -> DataFrame:
     """(node, component) of the nodes that link with another."""
-    chosen = staged(candidates(members))
+    chosen = staged(candidates(members), BATCH_BYTES)
     total = chosen.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -336,12 +342,12 @@ def linked(docs: DataFrame, members: DataFrame) -> DataFrame:
 
     texts = docs.select("row", "text").join(chosen.select("row"), "row", "left_semi").select("text")
     fragments = _cut(_fragments(total), 8)
-    cut = texts.mapInArrow(lambda batches: fragments(sets(batches)), FRAGMENT_SCHEMA)
+    cut = texts.mapInArrow(tidy(lambda batches: fragments(sets(batches))), FRAGMENT_SCHEMA)
     segments = cut.groupBy("fragment").applyInArrow(
         _segments, "node binary, n bigint, fragment bigint, grams binary, among binary, bits binary")
     nodes = staged(segments.groupBy("node", "n").agg(
-        F.sort_array(F.collect_list(F.struct("fragment", "grams", "among", "bits"))).alias("segments")))
-    postings = staged(nodes.mapInArrow(_postings, POSTING_SCHEMA))
+        F.sort_array(F.collect_list(F.struct("fragment", "grams", "among", "bits"))).alias("segments")), BATCH_BYTES)
+    postings = staged(nodes.mapInArrow(tidy(_postings), POSTING_SCHEMA), BATCH_BYTES)
 
     # pairs with pivots: at most as many as there are postings
     order = F.pmod(F.col("gram"), F.lit(PIVOT_ORDERS))
@@ -351,7 +357,7 @@ def linked(docs: DataFrame, members: DataFrame) -> DataFrame:
                                           & _fit(lambda c: F.col(c), lambda c: F.col(f"pivot.{c}")))
     pairs = p.select(F.least("node", "pivot.node").alias("a"), F.greatest("node", "pivot.node").alias("b"),
                      (F.col("n") + F.col("pivot.n")).alias("total")).distinct()
-    first = staged(verified(pairs, nodes))
+    first = staged(verified(pairs, nodes), BATCH_BYTES)
 
     # members of one posting list that are in different components by now
     stars = staged(components(first))
@@ -376,7 +382,7 @@ def _labelled(rows: DataFrame, *others: str) -> DataFrame:
     # a text is fetched again by this name of its row, which null identifiers have too
     rows = rows.withColumn("row", F.xxhash64("id", "text"))
     schema = [f"id {kinds['id']}, n bigint, node binary, part binary", *(f"{c} {kinds[c]}" for c in others), "row bigint"]
-    members = staged(rows.select("id", "text", *others, "row").mapInArrow(_members, ", ".join(schema)))
+    members = staged(rows.select("id", "text", *others, "row").mapInArrow(tidy(_members), ", ".join(schema)), BATCH_BYTES)
     return (members.select("id", "n", "node", *others).join(linked(rows, members), "node", "left")
             .select("id", "n", F.coalesce("component", "node").alias("component"), *others))
 

@@ -255,3 +255,50 @@ def test_pipeline_stages_judge_rows_not_identifiers(spark, tmp_path):
     got = after("n-gram Jaccard join", rows)
     least = min((a, nearer), key=lambda t: hashlib.sha256(t.encode()).hexdigest())
     assert got == sorted([(7, least), (7, lone[0]), (9, lone[1]), (None, lone[2]), (5, ""), (5, ""), (None, " ")], key=str)
+
+
+def test_places_drop_exactly_the_named_rows(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from quire.llm.common import placed, without
+    data = spark.range(1000).selectExpr("id", "id * 2 AS place", "'x' AS bits", "0 AS file_hash", "id AS of_file", "id AS w", "1 AS row_number")
+    data.repartition(7).write.parquet(str(tmp_path / "in"))
+    for source in (spark.read.parquet(str(tmp_path / "in")), data):
+        docs, rows, name, seed = placed(source)
+        assert name not in source.columns
+        gone = rows.filter("id % 3 = 0 OR id < 200").select(name)
+        for words in (10 ** 6, 5):
+            out = without(docs, gone.unionByName(gone), name, seed, words)
+            assert out.columns == source.columns
+            assert sorted(tuple(r) for r in out.collect()) == [(k, 2 * k, "x", 0, k, k, 1) for k in range(200, 1000) if k % 3]
+        assert without(docs, gone.limit(0), name, seed).count() == 1000
+        assert "BroadcastHashJoin" in without(docs, gone, name, seed)._jdf.queryExecution().executedPlan().toString()
+        assert without(docs, rows.select(F.col(name)), name, seed).count() == 0
+
+
+def test_pipeline_edge_cases(spark, sf001):
+    """Clashing extra columns, very long and repeated texts, null identifiers, an empty table."""
+    stages = dict(corpus_pipeline.STAGES)
+    near = [f"w{k}" for k in range(60)]
+    other = [*near[:57], "x", "y", "z"]
+    third = [*other[3:], "u", "v", "t"]
+    rows = [(1, " ".join(near)), (None, " ".join(other)), (3, " ".join(third)), (4, "same"), (4, "same"), (None, "same"), (5, None), (6, ""),
+            (7, "long words " * 60_000), (8, "long words " * 60_000), (9, "a b c d e f g h")]
+    schema = "doc_id bigint, text string, place int, key string, _digest string, bits long, id string, row int, file_hash string"
+    docs = spark.createDataFrame([(*r, 1, "k", "d", 2, "i", 3, "h") for r in rows], schema)
+    kept = stages["exact dedup"](spark, docs, sf001)
+    assert sorted(((r.doc_id, r.text[:8] if r.text else r.text) for r in kept.collect()), key=repr) == sorted(
+        [(1, "w0 w1 w2"), (None, "w0 w1 w2"), (3, "w3 w4 w5"), (4, "same"), (6, ""), (8, "long wor"), (9, "a b c d ")], key=repr)
+    assert kept.columns == docs.columns and {tuple(r)[2:] for r in kept.collect()} == {(1, "k", "d", 2, "i", 3, "h")}
+    # 1 and 3 are linked by the text without an identifier alone
+    out = stages["n-gram Jaccard join"](spark, kept, sf001).collect()
+    assert sorted(r.doc_id for r in out) == [1, 4, 6, 8, 9] and {tuple(r)[2:] for r in out} == {(1, "k", "d", 2, "i", 3, "h")}
+    for name in ("exact dedup", "n-gram Jaccard join", "secret scans", "packing"):
+        assert stages[name](spark, docs.limit(0), sf001).count() == 0
+
+
+def test_links_through_a_null_identifier(spark):
+    near = [f"w{k}" for k in range(60)]
+    other = [*near[:57], "x", "y", "z"]
+    rows = [(1, " ".join(near)), (None, " ".join(other)), (3, " ".join([*other[3:], "u", "v", "t"]))]
+    out = ngram_join.near_duplicates(docs(spark, rows)).collect()
+    assert {r.doc_id: r.component_id for r in out} == {1: 1, None: 1, 3: 1}
