@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 from quire.functions import extract as X
 from quire.functions import keywords as KW
 from quire.functions import text as TX
+from quire.operators import tagger as TG
 from quire.plans import oracle as O
 from quire.plans.catalog import register
 from quire.plans.fixtures import corpus, invoice_text
+from quire.session import reliable_checkpoint
+from quire.sources.tables import table
 
 _FIELDS_SQL = ", ".join(f"{O.extract_field('text', f)} AS {f}" for f in X.FIELD_KEYS)
 
@@ -94,3 +97,48 @@ def keyword_sentence_docs(spark, sf_dir):
     """X12 over the multilingual corpus (whole texts)."""
     d = corpus(spark, sf_dir)
     return KW.keyword_fields(d, "text", ["doc_id"])
+
+
+# --- names of organisations by the trained tagger -----------------------------------------
+
+#: Letters about orders: every fifth one is held out, and of the others two in three have a company suffix.
+_HELD, _BARE = "o_orderkey % 5 = 0", "o_orderkey % 3 = 0"
+_LETTER = {  # by o_orderkey % 4
+    0: ("Invoice of ", " for goods worth {p}. Please pay by the due date."),
+    1: ("We, ", ", bill you {p} for your order of last week."),
+    2: ("Payable to ", " is the sum of {p}. Thank you for your order."),
+    3: ("The goods were sold by ", " at a price of {p}. Return them within a week."),
+}
+
+def name_letters(spark, sf_dir):
+    """``o_orderkey``, ``name``, ``held`` and the ``text`` of a letter that names the customer's
+    firm: a word for its nation and one for its number, with a company suffix or without."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    j = o.join(c, F.col("o_custkey") == F.col("c_custkey")).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+    # letters for the digits of the number, so that firms have names of their own
+    word = F.initcap(F.translate(F.substring("c_name", -5, 5), "0123456789", "aeioulmnrs"))
+    name = F.concat(F.initcap(F.translate("n_name", "_0123456789", "xaeioulmnrs")), F.lit(" "), word)
+    suffix = F.when(F.expr(f"{_HELD} OR {_BARE}"), F.lit("")).otherwise(F.concat(F.lit(" "), F.element_at(
+        F.array(*[F.lit(x) for x in ("Ltd", "GmbH", "Inc", "AG")]), (F.col("o_orderkey") % 4 + 1).cast("int"))))
+    price = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
+    text = F.coalesce(*[F.when(F.col("o_orderkey") % 4 == k, F.concat(F.lit(a), name, suffix, F.lit(b.split("{p}")[0]), price, F.lit(b.split("{p}")[1])))
+                        for k, (a, b) in _LETTER.items()])
+    return j.select("o_orderkey", name.alias("name"), F.expr(_HELD).alias("held"), text.alias("text"))
+
+
+@register("org_tagger", sql=f"""
+SELECT o_orderkey, true AS mostly_found, true AS rule_misses FROM orders
+JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE {_HELD}
+""")
+def org_tagger(spark, sf_dir):
+    """A tagger learns from the names that a company suffix gives away; in held-out letters
+    whose names have none, and which the suffix rule therefore misses, it finds at least 95 %, each as a whole."""
+    letters = reliable_checkpoint(name_letters(spark, sf_dir))
+    tagger = TG.train(letters.filter(~F.col("held")), "text")
+    out = letters.filter("held").select("o_orderkey", (TG.first_name("text", tagger) == F.col("name")).alias("hit"),
+                                        X.org_fallback("text").isNull().alias("rule_misses"), F.lit(1).alias("_one"))
+    out = reliable_checkpoint(out)
+    rate = out.agg((F.avg(F.coalesce(F.col("hit"), F.lit(False)).cast("double")) >= 0.95).alias("mostly_found"), F.lit(1).alias("_one"))
+    return out.join(F.broadcast(rate), "_one").select("o_orderkey", "mostly_found", "rule_misses")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from quire.functions import keywords as KW
 from quire.functions import segment as SG
 from quire.operators import abbreviations as AB
+from quire.operators import lemmas as LM
 from quire.operators import vocab as V
 from quire.plans import oracle as O
 from quire.plans.catalog import register
@@ -254,3 +255,50 @@ def sentences_learned(spark, sf_dir):
     known = reliable_checkpoint(AB.abbreviations(l))
     out = AB.with_sentences(l, "text", known, "s")
     return out.select("key", F.size("s").alias("n_sentences"), F.array_join("s", SEP).alias("sentences"))
+
+
+# --- lemmas ------------------------------------------------------------------------------
+
+LEMMA_SQL = f"""
+WITH seg AS (SELECT doc_id, {_sql_segment('text')} AS segs FROM documents),
+sw AS (SELECT doc_id, unnest(segs) AS s, generate_subscripts(segs, 1) AS si FROM seg),
+ww AS (SELECT doc_id, si, unnest(s) AS word, generate_subscripts(s, 1) AS wi FROM sw),
+v AS (SELECT word, count(*) AS n FROM ww GROUP BY word),
+cuts AS (SELECT word, n, left(word, length(word) - cut) AS stem, right(word, cut) AS suffix
+         FROM v, (SELECT unnest(range({LM.MAX_SUFFIX + 1})) AS cut)
+         WHERE regexp_matches(word, '^\\p{{L}}+$') AND length(word) - cut >= {LM.MIN_STEM}),
+base AS (SELECT stem, arg_min(suffix, {{'a': -n, 'b': length(word), 'c': word}}) AS becomes, max(n) AS base_n FROM cuts GROUP BY stem),
+pr AS (SELECT word, n, suffix, becomes FROM cuts JOIN base USING (stem)
+       WHERE suffix <> becomes AND base_n > n AND (suffix = '' OR becomes = '' OR left(suffix, 1) <> left(becomes, 1))),
+counted AS (SELECT suffix, becomes, count(*) AS words, CAST(sum(n) AS BIGINT) AS weight FROM pr GROUP BY suffix, becomes HAVING count(*) >= {LM.MIN_WORDS}),
+rules AS (SELECT * FROM counted WHERE suffix <> ''
+          QUALIFY row_number() OVER (PARTITION BY suffix ORDER BY weight DESC, words DESC, length(becomes), becomes) = 1),
+made AS (SELECT cuts.word, length(cuts.suffix) AS len, cuts.stem || rules.becomes AS candidate, cuts.n FROM cuts JOIN rules USING (suffix)),
+best AS (SELECT made.word, arg_max(candidate, len) AS lemma FROM made JOIN v ON v.word = made.candidate WHERE v.n > made.n GROUP BY made.word)
+"""
+
+
+def _segments(spark, sf_dir):
+    return reliable_checkpoint(SG.with_segments(corpus(spark, sf_dir), "text", ["doc_id"]))
+
+
+def _counted(segs):
+    return segs.select(F.explode_outer(F.flatten("segs")).alias("word")).filter(F.col("word").isNotNull()).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("lemma_rules", sql=LEMMA_SQL + "SELECT suffix, becomes, words, weight FROM rules")
+def lemma_rules(spark, sf_dir):
+    """K2: the suffix rules that the vocabulary of all segmented documents teaches."""
+    return LM.suffix_rules(_counted(_segments(spark, sf_dir)))
+
+
+@register("lemma_segments", sql=LEMMA_SQL + f""",
+l AS (SELECT doc_id, si, string_agg(coalesce(lemma, word), ' ' ORDER BY wi) AS sentence FROM ww LEFT JOIN best USING (word) GROUP BY doc_id, si)
+SELECT doc_id, string_agg(sentence, {O.q(SEP)} ORDER BY si) AS segments FROM l GROUP BY doc_id
+""")
+def lemma_segments(spark, sf_dir):
+    """K2 + K1, K3, K4: the segmented documents with every word's lemma."""
+    segs = _segments(spark, sf_dir)
+    words = reliable_checkpoint(_counted(segs))
+    out = LM.lemmatise(segs, "doc_id", "segs", LM.lemmas(words, LM.suffix_rules(words)))
+    return out.select("doc_id", _render(F.col("segs")).alias("segments"))

@@ -15,17 +15,19 @@ from pyspark.sql import functions as F
 from quire.functions import extract as X
 from quire.functions import keywords as KW
 from quire.operators import annotations as A
+from quire.operators import attention as AT
 from quire.operators import batch as B
 from quire.operators import models as M
 from quire.operators import reports as R
 from quire.operators import results as RS
 from quire.operators import splits as SP
+from quire.operators import vocab as V
 from quire.plans import oracle as O
 from quire.plans.catalog import register
 from quire.plans.fixtures import corpus, invoice_text
 from quire.plans.q_annotations import WIDE_SQL, wide
 from quire.plans.q_corpus import LABELLED_SQL
-from quire.plans.q_features import _sql_sentences
+from quire.plans.q_features import HAN_SQL, _sql_sentences, lowered_segments
 from quire.plans.q_splits import stratified_sql
 from quire.session import reliable_checkpoint
 from quire.sources import files as FS
@@ -297,3 +299,79 @@ def explain_sentences(spark, sf_dir):
     model, test = _fit(spark, sf_dir)
     e = M.explain_sentences(spark, model, test, "doc_id").join(_margins(model, test), "doc_id")
     return e.select("doc_id", "sentence_pos", "sentence", (F.abs(F.col("margin") - F.col("raw")) < 1e-6).alias("adds_up"))
+
+
+# --- the two-level attention model on the sentence grid --------------------------------
+
+#: Passes of the fit that is broken off and taken up again, and where it breaks.
+SHORT_PASSES, BREAK_AT = 8, 3
+
+
+def _grids(spark, sf_dir):
+    """Sentence grids of all documents, one more than the largest id, and the language's split."""
+    segs = lowered_segments(spark, sf_dir)
+    vocab = V.rank_vocabulary(segs.select("doc_id", F.flatten("segs").alias("w")), "doc_id", "w", 1)
+    grid = V.encode_hierarchical(segs, "doc_id", "segs", vocab)
+    words = min(V.NUM_WORDS, vocab.agg(F.coalesce(F.max("idx"), F.lit(0)) + 1).first()[0])
+    split = _split_corpus(spark, sf_dir).select("doc_id", "label", "split")
+    rows = reliable_checkpoint(grid.join(split, "doc_id"))
+    return {name: rows.filter(F.col("split") == name) for name in SP.SPLITS}, int(words)
+
+
+@register("tune_passes", sql="SELECT true AS one_kept, true AS kept_is_best, true AS stops_in_time, true AS resumed_equals_unbroken "
+                             "FROM (SELECT count(*) FROM documents)")
+def tune_passes(spark, sf_dir):
+    """M2: passes over the training split with the validation loss after each; the
+    best one is kept.  A fit that breaks off goes on from its state and ends like an unbroken one."""
+    parts, words = _grids(spark, sf_dir)
+
+    def fit(**options):
+        return AT.fit(parts["train"], parts["validation"], words, key="doc_id", max_passes=SHORT_PASSES, **options)
+
+    class Broken(Exception):
+        pass
+
+    def break_off(number):
+        if number == BREAK_AT:
+            raise Broken
+
+    state = FS.staging_dir(spark, "attention-state")
+    unbroken = fit()
+    try:
+        fit(state=state, after_pass=break_off)
+    except Broken:
+        pass  # the stand-in for a lost driver
+    resumed = fit(state=state)
+    same = resumed.history == unbroken.history and bool((resumed.flat == unbroken.flat).all())
+    rounds = spark.createDataFrame([(i, *h) for i, h in enumerate(resumed.history)], "k int, loss double, held double, kept boolean")
+    return rounds.agg((F.count_if("kept") == 1).alias("one_kept"), (F.min(F.when(F.col("kept"), F.col("held"))) == F.min("held")).alias("kept_is_best"),
+                      (F.max("k") - F.max(F.when(F.col("kept"), F.col("k"))) <= AT.PATIENCE).alias("stops_in_time"),
+                      F.lit(same).alias("resumed_equals_unbroken"))
+
+
+@register("attention_weights", sql=f"""
+WITH g AS ({HAN_SQL}), t AS ({TEST_SQL})
+SELECT t.doc_id, CAST(len(list_filter(string_split(g.grid, '|'), lambda r: regexp_matches(r, '[1-9]'))) AS INTEGER) AS n_sentences,
+       true AS sum_to_one, true AS adds_up, true AS accurate
+FROM t JOIN g ON t.doc_id = g.doc_id
+""")
+def attention_weights(spark, sf_dir):
+    """M8: the weight of every sentence (and word) of the test documents in a fitted
+    two-level model; a document's weights sum to 1, its margin is the model's, and at
+    least 96 % of the predictions are right."""
+    parts, words = _grids(spark, sf_dir)
+    model = AT.fit(parts["train"], parts["validation"], words, key="doc_id")
+    scored = reliable_checkpoint(AT.score(model, parts["test"]))
+    has = F.filter(F.arrays_zip(F.col("grid").alias("g"), F.col("sentence_weights").alias("w"), F.col("word_weights").alias("ws")),
+                   lambda r: F.exists(r["g"], lambda i: i > 0))
+
+    def total(array):
+        return F.aggregate(array, F.lit(0.0), lambda a, x: a + x)
+
+    ones = (F.abs(total("sentence_weights") - 1) < 1e-9) & F.forall(has, lambda r: F.abs(total(r["ws"]) - 1) < 1e-9)
+    # the margin is the predicted class's: its log probability, and no other class has more
+    adds = F.element_at("probabilities", F.array_position(F.array(*[F.lit(x) for x in model.labels]), F.col("predicted_label")).cast("int")) == F.array_max("probabilities")
+    right = scored.agg((F.avg((F.col("predicted_label") == F.col("label")).cast("double")) >= ACCURATE).alias("accurate"), F.lit(1).alias("_one"))
+    out = scored.select("doc_id", F.size(has).alias("n_sentences"), F.when(F.size(has) > 0, ones).otherwise(True).alias("sum_to_one"),
+                        (adds & F.col("margin").isNotNull()).alias("adds_up"), F.lit(1).alias("_one"))
+    return out.join(F.broadcast(right), "_one").drop("_one")
