@@ -89,3 +89,13 @@ def test_learned_abbreviations(spark):
         out = {r.k: r.s for r in AB.with_sentences(texts, "text", known, "s", held).collect()}
         assert out[1] == ["No. 5 of Acme Ltd. Bill.", "Then it ended.", "At 9 a.m. Bill came!", "He (see \"No.\" approx. 3) left"]
         assert out[2] == [""] and out[4] == ["One.", "Two."] and [x.strip() for x in out[3]] == ["no."]
+
+
+def test_the_chain_equals_its_rules_one_after_the_other(spark):
+    import random
+    rng = random.Random(3)
+    signs = [chr(c) for c in range(1, 128)] + list("aabBcCzZ0195") * 4 + ["of", "at", "the", "and", "to", "in", "é", "–", "—", "中", "¢", "“", "\u00a0", " ", "  "]
+    rows = [(k, "".join(rng.choices(signs, k=rng.randrange(60)))) for k in range(3000)]
+    df = spark.createDataFrame(rows, "k int, text string")
+    steps = TX.squash_ws(TX.fix_spacing(TX.noise_strip(TX.ocr_substitute(TX.nfkc("text")))))
+    assert df.filter(~steps.eqNullSafe(TX.clean_text("text"))).collect() == []
