@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.bpe import in_portions
+from quire.llm.common import tidy
 from quire.llm.word_ids import WordIds
 
 CAPACITY = 2048
@@ -195,7 +196,7 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
         for batch in batches:
             id_type = batch.column("id").type
             keys = iter(batch.column("id").to_pylist())
-            for texts in in_portions(batch.column("text").to_pylist(), 4_000_000):
+            for texts in in_portions(batch.column("text").to_pylist()):
                 for ids in vocabulary.encode(texts):
                     packer.add(next(keys), ids + end)
                 if packer.rows:
@@ -205,4 +206,4 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
             yield out()
 
     return (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-            .mapInArrow(run, f"id {kind}, " + ", ".join(f"{n} bigint" for n in names[1:])).withColumnRenamed("id", id_col))
+            .mapInArrow(tidy(run), f"id {kind}, " + ", ".join(f"{n} bigint" for n in names[1:])).withColumnRenamed("id", id_col))

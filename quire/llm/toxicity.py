@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.llm.common import staged
+from quire.llm.common import staged, tidy
 from quire.llm.words import Words, portions
 
 FEATURES = 1 << 20
@@ -178,7 +178,7 @@ def drop(docs: DataFrame, model: Model, least: float, text_col: str = "text") ->
         for batch in batches:
             yield batch.filter(pa.array(fitted.score(batch.column(at).to_pylist()) < least, pa.bool_()))
 
-    return docs.mapInArrow(run, T.StructType([T.StructField(f.name, f.dataType, True) for f in docs.schema.fields]))
+    return docs.mapInArrow(tidy(run), T.StructType([T.StructField(f.name, f.dataType, True) for f in docs.schema.fields]))
 
 
 def fold_of(key: Column) -> Column:

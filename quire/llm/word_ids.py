@@ -24,9 +24,9 @@ import pyarrow as pa
 from quire.llm.bpe import MergeFold
 
 #: Words that are remembered; the store starts anew beyond.
-CAPACITY = 600_000
+CAPACITY = 300_000
 #: Bytes of a portion.
-PORTION = 4 << 20
+PORTION = 2 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
