@@ -13,9 +13,11 @@ and each block answers with its own k best; a last window keeps k per query.
 
 Edge cases: null vectors and vectors with null or non-finite components take
 no part; vectors of different lengths are not compared; vectors without
-components score 0; values outside +-2**31 after scaling take no part; null
-identifiers take no part; a query's own row is no candidate; of rows
-that repeat an identifier one takes part; an empty table gives an empty result; extra columns are ignored.
+components score 0; values beyond +-2**62 after scaling count as that, and a
+score beyond 64 bits is returned as the nearest that has them (its rank is
+exact); null identifiers take no part; rows of the query's own identifier are
+no candidates of it, and all rows that repeat an identifier are candidates of
+others; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,7 +29,8 @@ from pyspark.sql import functions as F
 
 #: Candidates in a block and queries in a chunk.
 BLOCK_ROWS, CHUNK_ROWS = 65_536, 512
-LIMIT = 2 ** 31
+LIMIT = 2 ** 62
+_LONG = 2 ** 63
 
 
 class BitSlicedBlock:
@@ -36,7 +39,7 @@ class BitSlicedBlock:
     def __init__(self, values: np.ndarray):
         self.rows, dims = values.shape
         self.low = int(values.min()) if values.size else 0
-        shifted = (values - self.low).astype(np.uint64)
+        shifted = values.astype(np.uint64) - np.array(self.low, np.int64).astype(np.uint64)  # modulo 2**64, so no overflow
         self.bits = int(shifted.max()).bit_length() if values.size else 0
         words = -(-self.rows // 64) * 64
         padded = np.zeros((dims, words), np.uint64)
@@ -85,13 +88,13 @@ class BitSlicedBlock:
             k += 1
         return out, offset
 
-    def top(self, query: np.ndarray, k: int, without: int = -1) -> list[tuple[int, int]]:
-        """(row, score) of the k best rows, the row ``without`` left out; ties
+    def top(self, query: np.ndarray, k: int, without: range = range(0)) -> list[tuple[int, int]]:
+        """(row, score) of the k best rows, the rows ``without`` left out; ties
         go to the lower row.  Not in order."""
         slices, offset = self.scores(query)
         ties = self.every.copy()
-        if without >= 0:
-            ties[without // 64] &= ~np.uint64(1 << (without % 64))
+        for row in without:
+            ties[row // 64] &= ~np.uint64(1 << (row % 64))
         sure = np.zeros_like(ties)
         n_sure = 0
         for bitmap in reversed(slices):
@@ -109,9 +112,10 @@ class BitSlicedBlock:
         if len(rows) < k:
             rows = np.concatenate([rows, _rows(ties)[:k - len(rows)]])
         words, shifts = rows // 64, (rows % 64).astype(np.uint64)
-        score = np.zeros(len(rows), np.int64)
+        kind = np.int64 if len(slices) < 62 and abs(offset) < 2 ** 62 else object  # Python's integers have no bound
+        score = np.zeros(len(rows), kind)
         for b, bitmap in enumerate(slices):
-            score += ((bitmap[words] >> shifts) & np.uint64(1)).astype(np.int64) << b
+            score += ((bitmap[words] >> shifts) & np.uint64(1)).astype(np.int64).astype(kind) * (1 << b)
         return list(zip(rows.tolist(), (score + offset).tolist(), strict=True))
 
 
@@ -126,35 +130,35 @@ def _rows(bitmap: np.ndarray) -> np.ndarray:
 
 def _search(k: int):
     def run(key, candidates, queries):
-        out = {"query_id": [], "vec_id": [], "score": []}
+        # a score's upper and lower 64 bits, both as signed numbers that keep its order
+        out = {"query_id": [], "vec_id": [], "score": [], "top": [], "rest": []}
         if candidates.num_rows and queries.num_rows:
             dims = candidates.column("dims")[0].as_py()
             ids, vectors = _rows_by_id(candidates, dims)
             block = BitSlicedBlock(vectors)
             for query_id, query in zip(*_rows_by_id(queries, dims), strict=True):
-                own = int(np.searchsorted(ids, query_id))
-                own = own if own < len(ids) and ids[own] == query_id else -1
+                own = range(int(np.searchsorted(ids, query_id)), int(np.searchsorted(ids, query_id, "right")))
                 best = block.top(query, k, own)
                 out["query_id"] += [int(query_id)] * len(best)
                 out["vec_id"] += [int(ids[row]) for row, _ in best]
-                out["score"] += [score for _, score in best]
+                out["score"] += [min(max(score, -_LONG), _LONG - 1) for _, score in best]
+                out["top"] += [min(max(score >> 64, -_LONG), _LONG - 1) for _, score in best]
+                out["rest"] += [(score & (2 ** 64 - 1)) - _LONG for _, score in best]
         return pa.table({name: pa.array(x, pa.int64()) for name, x in out.items()})
     return run
 
 
 def _rows_by_id(table: pa.Table, dims: int) -> tuple[np.ndarray, np.ndarray]:
-    """Identifiers in order and their vectors; of a repeated identifier, which
-    is always dealt to one block, the vector whose bytes come first."""
-    rows = dict(sorted(zip(table.column("id").to_pylist(), table.column("packed").to_pylist(), strict=True), reverse=True))
-    ids = np.array(sorted(rows), np.int64)
-    packed = b"".join(rows[i] for i in ids.tolist())
-    return ids, np.frombuffer(packed, "<i4").astype(np.int64).reshape(len(ids), dims)
+    """Identifiers in order and their vectors, rows that repeat one in the order of their bytes."""
+    rows = sorted(zip(table.column("id").to_pylist(), table.column("packed").to_pylist(), strict=True))
+    packed = b"".join(p for _, p in rows)
+    return np.array([k for k, _ in rows], np.int64), np.frombuffer(packed, "<i8").reshape(len(rows), dims)
 
 
 def _pack(batches):
     for batch in batches:
         vectors = batch.column("vector")
-        flat = vectors.flatten().to_numpy(zero_copy_only=False).astype("<i4")
+        flat = vectors.flatten().to_numpy(zero_copy_only=False).astype("<i8")
         ends = np.cumsum(np.asarray(batch.column("dims").to_numpy(zero_copy_only=False), np.int64))
         packed = [flat[e - d:e].tobytes() for e, d in zip(ends, batch.column("dims").to_pylist(), strict=True)]
         yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("dims"), pa.array(packed, pa.binary())],
@@ -164,11 +168,15 @@ def _pack(batches):
 def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
     """``id``, ``dims`` and the quantised components, packed, of the rows that
     take part."""
-    ints = F.transform(vector_col, lambda x: F.floor(F.lit(float(scale)) * x.cast("double")))
-    finite = F.forall(vector_col, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double") * scale) < LIMIT))
+    def whole(x):
+        value = F.lit(float(scale)) * x.cast("double")
+        return F.when(value >= LIMIT, F.lit(LIMIT)).when(value <= -LIMIT, F.lit(-LIMIT)).otherwise(F.floor(value))
+
+    ints = F.transform(vector_col, whole)
+    finite = F.forall(vector_col, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")))
     return (vectors.filter(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & finite)
             .select(F.col(id_col).cast("long").alias("id"), F.size(vector_col).alias("dims"),
-                    F.transform(ints, lambda x: x.cast("int")).alias("vector"))
+                    ints.alias("vector"))
             .mapInArrow(_pack, "id bigint, dims int, packed binary"))
 
 
@@ -187,8 +195,8 @@ def top_k(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vec
     left = rows.withColumns({"block": deal(blocks), "chunk": F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))})
     right = queries.withColumns({"chunk": deal(chunks), "block": F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))})
     found = (left.groupBy("dims", "block", "chunk").cogroup(right.groupBy("dims", "block", "chunk"))
-             .applyInArrow(_search(k), "query_id bigint, vec_id bigint, score bigint"))
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+             .applyInArrow(_search(k), "query_id bigint, vec_id bigint, score bigint, top bigint, rest bigint"))
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("top"), F.desc("rest"), "vec_id"))
     return found.withColumn("rank", place).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 

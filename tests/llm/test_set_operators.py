@@ -184,6 +184,19 @@ def test_top_k_equals_brute_force(spark):
     assert topk.top_k(data.limit(0), lambda key: key % 20 == 0).count() == 0
 
 
+def test_top_k_of_wide_values_and_repeated_ids(spark):
+    rng = random.Random(9)
+    rows = [(0, [1.0, 2.0]), (1, [5e7, 1.0]), (2, [1.0, 1.0]), (2, [1.0, 1.0]), (2, [0.5, 3.0]), (3, [-4e12, 0.25]), (20, [3e9, -2.0])]
+    rows += [(k, [rng.uniform(-1, 1) * 10 ** rng.randrange(15), rng.uniform(-9, 9)]) for k in range(100, 160) if k % 20]
+    data = spark.createDataFrame([(k, [float(x) for x in v]) for k, v in rows] + [(None, [1.0, 1.0])], "vec_id bigint, embedding array<double>")
+    got = sorted(tuple(r) for r in topk.top_k(data, lambda key: key % 20 == 0, 20).collect())
+    assert got == [(*r[:3], min(max(r[3], -2 ** 63), 2 ** 63 - 1)) for r in brute_top(rows, 20)]
+    assert sum(r[0] == 0 and r[2] == 2 for r in topk.top_k(data, lambda key: key == 0, 100).collect()) == 3
+    huge = spark.createDataFrame([(0, [1e30, -1.0]), (1, [1e300]), (2, [1e20, 1.0]), (3, [-1e25, 0.0])], "vec_id bigint, embedding array<double>")
+    out = [tuple(r) for r in topk.top_k(huge, lambda key: key == 0, 20).collect()]  # beyond 64 bits: the nearest number, the rank exact
+    assert [(r[1], r[2], r[3]) for r in sorted(out)] == [(1, 2, 2 ** 63 - 1), (2, 3, -2 ** 63)]
+
+
 # --- pipeline
 
 
