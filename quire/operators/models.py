@@ -100,6 +100,7 @@ def tune(df: DataFrame, label: str = "label", text: str = "text", validation: Da
     prepared = tok.transform(data).persist(StorageLevel.MEMORY_AND_DISK)  # at most FIT_ROWS rows
     history: list[tuple[float, float, bool]] = []
     best, best_loss, since = None, float("inf"), 0
+    held = None
     try:
         indexer_model = indexer.fit(prepared)
         cv = cv_est.fit(prepared)
@@ -108,7 +109,6 @@ def tune(df: DataFrame, label: str = "label", text: str = "text", validation: Da
         # scoring tables may hold labels unseen in training: index them past the end
         indexer_model.setHandleInvalid("keep")
         features = PipelineModel(stages=[indexer_model, tok, cv, idf])
-        held = None
         if validation is not None:
             held = features.transform(validation.withColumn(label, F.col(label).cast("string")))
             held = held.select("label_idx", "features").persist(StorageLevel.MEMORY_AND_DISK)
@@ -125,10 +125,10 @@ def tune(df: DataFrame, label: str = "label", text: str = "text", validation: Da
                 since += 1
             if since >= patience:
                 break
-        if held is not None:
-            held.unpersist()
     finally:
         prepared.unpersist()
+        if held is not None:
+            held.unpersist()
     history[kept] = (*history[kept][:2], True)
     back = IndexToString(inputCol="prediction", outputCol="predicted_label", labels=indexer_model.labels)
     return PipelineModel(stages=[*features.stages, best, back]), history
