@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -137,3 +138,17 @@ def test_a_fit_without_gain_stops(spark, grids):
     model = AT.fit(train, wrong, 30, max_passes=60, patience=2)
     kept = next(k for k, h in enumerate(model.history) if h[2])
     assert len(model.history) - 1 - kept <= 2 and len(model.history) < 60
+
+
+def test_grids_lose_padding_only():
+    column = pa.array([[[0, 0, 0, 0]] * 3, [[3, 9, 0, 0], [0, 2, 0, 0], [0] * 4]])
+    assert AT._grids(column, 9).tolist() == [[[0, 0]] * 2, [[3, 0], [0, 2]]]
+    assert AT._grids(column.slice(0, 1), 9).tolist() == [[[0]]]
+
+
+def test_a_fits_rows_are_cut_without_gathering_them(spark, grids):
+    train, _ = grids
+    labels = ["class 0", "class 1", "class 2"]
+    taken = AT._dealt(train, labels, "id", "grid", "label", None, 50)
+    assert {r.k for r in taken.select("k").collect()} == {r.k for r in train.select(F.xxhash64("id").alias("k")).orderBy("k").limit(50).collect()}
+    assert taken.rdd.getNumPartitions() == AT.PARTITIONS
