@@ -61,9 +61,12 @@ def table_text(words: DataFrame, doc: str, line: str = "line_num", left: str = "
     ending in a newline, wrapped by the start / end markers.  A page whose words
     were all rejected has an empty block; a page without word rows has none."""
     kept = (F.col(conf).cast("double").cast("int") > 0) & (strip_ws(F.col(text)) != "")
-    lines = words.groupBy(doc, line).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.when(kept, F.struct(left, pos, text)))), lambda x: x[text]),
-                     WORD_SEPARATOR).alias("_line"), F.count_if(kept).alias("_kept"))
+    # rejected words stay where they are: of them one row a page travels; a page's rows meet once, for lines and page
+    rows = words.filter(kept).select(doc, line, left, pos, text, F.lit(True).alias("_word"))
+    rows = rows.unionByName(words.select(doc).distinct(), allowMissingColumns=True).repartition(doc)
+    lines = rows.groupBy(doc, line).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("_word"), F.struct(left, pos, text)))), lambda x: x[text]),
+                     WORD_SEPARATOR).alias("_line"), F.count("_word").alias("_kept"))
     per_doc = lines.groupBy(doc).agg(F.sort_array(F.collect_list(
         F.when(F.col("_kept") > 0, F.struct(line, "_line")))).alias("_ls"))
     body = F.concat_ws("", F.transform("_ls", lambda x: F.concat(x["_line"], F.lit("\n"))))
