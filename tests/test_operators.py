@@ -330,6 +330,7 @@ def test_explanations_list_everything(spark):
 def test_batch_isolates_bad_files(spark):
     from quire.operators import batch as B
     from quire.operators import models as M
+    from quire.operators import models as M
     from quire.operators import reports
     train = spark.createDataFrame([(f"invoice no {i} total", "invoice") for i in range(20)] + [(f"dear friend {i} hello", "letter") for i in range(20)],
                                   "text string, label string")
@@ -451,6 +452,7 @@ def test_whole_labels(spark):
 def test_files_that_cannot_be_read_are_error_rows(spark, tmp_path):
     from quire.operators import batch as B
     from quire.operators import models as M
+    from quire.operators import models as M
     spark.createDataFrame([(k, f"dear friend {k} hello") for k in range(4)], "k int, value string").repartition("k") \
         .write.partitionBy("k").text(str(tmp_path / "in"))
     (tmp_path / "in" / "odd.exe").write_bytes(b"x")
@@ -464,3 +466,46 @@ def test_files_that_cannot_be_read_are_error_rows(spark, tmp_path):
                                   "text string, label string")
     rows = B.process_folder(spark, str(tmp_path / "in"), M.train(train, max_iter=10)).collect()  # the file that has gone is not listed any more
     assert sorted((r.classification or "", r.error or "") for r in rows) == [("", B.LOST), ("", B.UNSUPPORTED), ("Letter", ""), ("Letter", "")]
+
+
+def test_a_fit_reads_even_parts(spark, monkeypatch):
+    from quire.operators import models as M
+    seen, sampled = [], M.fit_sample
+
+    def spy(df, *a, **k):
+        out = sampled(df, *a, **k)
+        seen.append(out.columns)
+        return out.coalesce(1)
+
+    cached = []
+    of = M.StringIndexer._fit
+    monkeypatch.setattr(M, "fit_sample", spy)
+    monkeypatch.setattr(M.StringIndexer, "_fit", lambda self, df: cached.append(df) or of(self, df))
+    text = " ".join(str(k) for k in range(2000))
+    rows = spark.range(2000).select(F.concat(F.md5(F.col("id").cast("string")), F.lit(text)).alias("text"), (F.col("id") % 2).alias("label"), F.lit("x").alias("more"))
+    M.train(rows, max_iter=2)
+    plan = cached[0]._jdf.queryExecution().toString()
+    assert seen == [["label", "text"]] and "REBALANCE" in plan.upper()
+
+
+def test_files_already_read_are_not_read_again(spark):
+    from quire.operators import batch as B
+    from quire.operators import models as M
+    files = spark.createDataFrame([(f"/in/{c}{k}.txt", bytearray(f"{c} {k} words", "utf-8"), c) for k in range(6) for c in ("invoice", "other")],
+                                  "path string, content binary, label string")
+    read = B.readable(files)
+    model = M.train(read.select("text", "label"), max_iter=5)
+    again = B.process_files(read.drop("content"), model)  # would fail if it decoded
+    assert sorted(map(str, again.collect())) == sorted(map(str, B.process_files(files, model).collect()))
+
+
+def test_rejected_words_are_not_shuffled(spark):
+    words = spark.range(20000).select((F.col("id") % 7).alias("doc"), (F.col("id") % 90).alias("line_num"), F.col("id").alias("left"), F.col("id").alias("pos"),
+                                      F.when(F.col("id") < 50, 1).otherwise(0).alias("conf"), F.md5(F.col("id").cast("string")).alias("text"))
+    table = OC.table_text(words, "doc")
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    # one exchange for the words of a page and one for the pages that have any
+    assert plan.count("Exchange hashpartitioning") == 2
+    got = {r.doc: r.table_text for r in table.collect()}
+    assert len(got) == 7 and sum(t.count("\n") for t in got.values()) == sum(OC.table_text(words.filter("conf = 1"), "doc").agg(
+        F.sum(F.length(F.regexp_replace("table_text", "[^\n]", "")))).first())
