@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from quire.functions.keywords import SENT_MARK, sentences
 from quire.functions.text import col_of
+from quire.session import staged
 
 #: Score from which a word is an abbreviation.
 THRESHOLD = 0.3
@@ -39,10 +40,14 @@ def token(raw) -> Column:
 def abbreviation_scores(df: DataFrame, text: str = "text") -> DataFrame:
     """``word``, ``with_stop``, ``without_stop`` and ``score`` of every type of
     letters (inner stops allowed) that stands with a full stop somewhere."""
-    tokens = df.select(F.explode_outer(F.split(F.coalesce(F.col(text), F.lit("")), r"\s+")).alias("raw")).select(token("raw").alias("t"))
+    # counted as they stand first: the patterns see every form once, not every use of it
+    raw = df.select(F.explode_outer(F.split(F.coalesce(F.col(text), F.lit("")), r"\s+")).alias("raw")).groupBy("raw").agg(F.count(F.lit(1)).alias("n"))
+    tokens = raw.select(token("raw").alias("t"), "n")
     stop = F.col("t").endswith(".")
-    counts = (tokens.filter(F.col("t") != "").select(F.regexp_replace("t", r"\.$", "").alias("word"), stop.alias("stop"))
-              .groupBy("word").agg(F.count_if("stop").alias("with_stop"), F.count_if(~F.col("stop")).alias("without_stop")))
+    counts = (tokens.filter(F.col("t") != "").select(F.regexp_replace("t", r"\.$", "").alias("word"), stop.alias("stop"), "n")
+              .groupBy("word").agg(F.sum(F.when(F.col("stop"), F.col("n")).otherwise(0)).alias("with_stop"),
+                                   F.sum(F.when(F.col("stop"), 0).otherwise(F.col("n"))).alias("without_stop")))
+    counts = staged(counts, "counts")  # read twice: the texts are cut into tokens once
     total = counts.agg(F.sum("with_stop").alias("stops"), (F.sum("with_stop") + F.sum("without_stop")).alias("tokens"))
     rows = counts.filter((F.col("with_stop") > 0) & F.col("word").rlike(_WORD))
     one = total.select(F.lit(1).alias("_one"), (F.col("stops") / F.col("tokens")).alias("chance"))

@@ -509,3 +509,44 @@ def test_rejected_words_are_not_shuffled(spark):
     got = {r.doc: r.table_text for r in table.collect()}
     assert len(got) == 7 and sum(t.count("\n") for t in got.values()) == sum(OC.table_text(words.filter("conf = 1"), "doc").agg(
         F.sum(F.length(F.regexp_replace("table_text", "[^\n]", "")))).first())
+
+
+def test_class_weights_do_not_gather_a_class(spark):
+    from quire.operators import models as M
+    from quire.session import settings
+    rows = spark.range(0, 400, 1, 4).select(F.when(F.col("id") < 390, "hot").otherwise("rare").alias("label"), F.col("id").cast("string").alias("text"))
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        weighted = M.with_class_weights(rows)
+        assert weighted.rdd.getNumPartitions() == 4  # the rows stay where they are
+    assert {r.label: round(r.weight, 6) for r in weighted.select("label", "weight").distinct().collect()} == {"hot": round(400 / 780, 6), "rare": 20.0}
+
+
+def test_stream_holds_ids_without_python_per_id(spark, tmp_path):
+    from quire.streaming import ingest
+    spark.createDataFrame([("a",)], "id string").write.parquet(str(tmp_path / "stored"))
+    spark.createDataFrame([("a", "f", "t", "l")], "id string, filename string, text string, label_name string").write.parquet(str(tmp_path / "in"))
+    rows = spark.readStream.schema("id string, filename string, text string, label_name string").parquet(str(tmp_path / "in"))
+    plan = ingest.arrivals(rows, spark.readStream.schema("id string").parquet(str(tmp_path / "stored")))._jdf.queryExecution().logical().toString()
+    assert "Deduplicate" in plan and "TransformWithState" not in plan
+    batch = spark.createDataFrame([("a", "t", ["f"], ["l"], 0), ("a", None, None, None, 1), ("a", None, None, None, 2),  # stored before
+                                   ("b", "u", ["g"], ["l"], 0), ("b", "u", ["h"], ["l"], 0), ("b", None, None, None, 1),
+                                   ("c", "v", ["i"], ["l"], 0)],  # in an earlier batch
+                                  "id string, text string, filenames array<string>, labels array<string>, kind int")
+    assert sorted(r.filename for r in ingest.unseen(batch).collect()) == ["g", "h"]
+
+
+def test_letters_and_invoices_are_dealt_out(spark, sf001):
+    from quire.plans import q_features
+    from quire.plans.fixtures import invoice_text
+    for df, n in ((q_features.letters(spark, sf001), 2), (invoice_text(spark, sf001), 1)):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("RebalancePartitions") == n
+
+
+def test_abbreviation_counts_are_of_uses(spark, monkeypatch):
+    from quire.operators import abbreviations as AB
+    plans, write = [], AB.staged
+    monkeypatch.setattr(AB, "staged", lambda df, name: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or write(df, name))
+    rows = spark.createDataFrame([("(No. no no. x",), ("No. No., y",), (None,)], "text string")
+    got = {r.word: (r.with_stop, r.without_stop) for r in AB.abbreviation_scores(rows).collect()}
+    assert got == {"no": (4, 1)}
+    assert len(plans) == 1 and "Aggregate [raw" in plans[0]  # texts are cut once, and forms counted before the patterns see them
