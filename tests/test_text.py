@@ -99,3 +99,35 @@ def test_the_chain_equals_its_rules_one_after_the_other(spark):
     df = spark.createDataFrame(rows, "k int, text string")
     steps = TX.squash_ws(TX.fix_spacing(TX.noise_strip(TX.ocr_substitute(TX.nfkc("text")))))
     assert df.filter(~steps.eqNullSafe(TX.clean_text("text"))).collect() == []
+
+
+def test_nfkc_holds_a_piece_of_a_batch_at_a_time():
+    import tracemalloc
+
+    import pyarrow as pa
+    # 13 million characters in one batch; each holds a ligature, a decomposed letter or a full-width sign
+    texts = [None if k % 7 == 0 else f"{k} " + "ﬁx e\u0301 Ａ é 中 " * 1000 for k in range(1000)]
+    batch, pieces = pa.array(texts, pa.string()), []
+    tracemalloc.start()
+    try:
+        for piece in TX._nfkc.func(iter([batch])):
+            pieces.append(piece)  # Arrow's memory, which is not traced
+        held = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert held < 8 * TX.PIECE_CHARS < batch.nbytes / 2
+    assert max(sum(len(x or "") for x in p.to_pylist()) for p in pieces) < 2 * TX.PIECE_CHARS
+    out = [x for p in pieces for x in p.to_pylist()]
+    assert out == [None if x is None else x.replace("ﬁ", "fi").replace("e\u0301", "é").replace("Ａ", "A") for x in texts]
+    assert all(p.type == pa.large_string() for p in TX._nfkc.func(iter([batch.cast(pa.large_string())])))
+
+
+def test_nfkc_of_long_texts_keeps_rows_and_their_order(spark):
+    texts = [(k, [None, "", "plain", f"{k} ﬁ①Ａ", "e\u0301" * 400_000, "中" * 1_100_000, "\u1100\u1161"][k % 7]) for k in range(28)]
+    df = spark.createDataFrame(texts, "k int, t string").coalesce(1)
+    out = df.select("k", TX.nfkc("t").alias("n"), F.length(TX.nfkc(F.concat("t", F.lit("ﬂ")))).alias("m")).collect()
+    want = {0: None, 1: "", 2: "plain", 4: "é" * 400_000, 5: "中" * 1_100_000, 6: "가"}
+    assert [r.k for r in out] == list(range(28))
+    for r in out:
+        expected = f"{r.k} fi1A" if r.k % 7 == 3 else want[r.k % 7]
+        assert r.n == expected and r.m == (None if expected is None else len(expected) + 2)
