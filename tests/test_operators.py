@@ -550,3 +550,18 @@ def test_abbreviation_counts_are_of_uses(spark, monkeypatch):
     got = {r.word: (r.with_stop, r.without_stop) for r in AB.abbreviation_scores(rows).collect()}
     assert got == {"no": (4, 1)}
     assert len(plans) == 1 and "Aggregate [raw" in plans[0]  # texts are cut once, and forms counted before the patterns see them
+
+
+def test_a_fit_reads_all_rows(spark):
+    from quire.operators import models as M
+    n = 1_001_000
+    rows = spark.range(0, n, 1, 8).select(F.when(F.col("id") % 2 == 0, "bill").otherwise("letter").alias("text"), (F.col("id") % 2).alias("label"))
+    assert M.train(rows, max_iter=1).stages[3].numDocs == n
+    feats, _ = M.train_presence(rows, ["label"], max_iter=1)
+    assert feats.stages[2].numDocs == n
+
+
+def test_the_vocabulary_is_the_most_frequent_words(spark):
+    from quire.operators import models as M
+    tokens = spark.createDataFrame([(["b", "a", "b"],), (["c", "a", "d"],), ([],), (None,)], "tokens array<string>")
+    assert M.vocabulary(tokens) == ["a", "b", "c", "d"] and M.vocabulary(tokens, size=3) == ["a", "b", "c"]
