@@ -565,3 +565,12 @@ def test_the_vocabulary_is_the_most_frequent_words(spark):
     from quire.operators import models as M
     tokens = spark.createDataFrame([(["b", "a", "b"],), (["c", "a", "d"],), ([],), (None,)], "tokens array<string>")
     assert M.vocabulary(tokens) == ["a", "b", "c", "d"] and M.vocabulary(tokens, size=3) == ["a", "b", "c"]
+
+
+def test_a_fit_of_passes_reads_all_rows(spark, monkeypatch):
+    from quire.operators import attention as AT
+    seen = []
+    monkeypatch.setattr(AT, "_passes", lambda data, *a: seen.append(data.count()) or (0.0, 0.0, None))
+    grids = spark.range(0, 201_000, 1, 8).select("id", F.array(F.array(F.lit(1).cast("long"))).alias("grid"), (F.col("id") % 2).cast("string").alias("label"))
+    AT.fit(grids, grids.limit(10), 2)
+    assert seen == [201_000]
