@@ -1,6 +1,7 @@
 """Invariants and hand-written cases for the corpus, split, annotation,
 vocabulary, OCR and spelling operators."""
 
+import hashlib
 import os
 
 import pytest
@@ -574,3 +575,19 @@ def test_a_fit_of_passes_reads_all_rows(spark, monkeypatch):
     grids = spark.range(0, 201_000, 1, 8).select("id", F.array(F.array(F.lit(1).cast("long"))).alias("grid"), (F.col("id") % 2).cast("string").alias("label"))
     AT.fit(grids, grids.limit(10), 2)
     assert seen == [201_000]
+
+
+def test_a_split_moves_only_the_rows_of_cut_buckets(spark):
+    ids = spark.range(3000).select(F.col("id").cast("string").alias("id"), F.when(F.col("id") % 7 > 0, F.concat(F.lit("c"), F.col("id") % 7)).alias("label"))
+    out = SP.stratified_split(ids, "label", "id")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "rightHint=(strategy=broadcast)" in plan
+    got = {r.id: r.split for r in out.collect()}
+    by_class = {}
+    for r in ids.collect():
+        by_class.setdefault(r.label, []).append(r.id)
+    for members in by_class.values():
+        order = sorted(members, key=lambda i: (hashlib.md5(f"42|{i}".encode()).hexdigest(), i))
+        names = [got[i] for i in order]
+        assert names == sorted(names, key=("test", "validation", "train").index) and set(names) == set(SP.SPLITS)
+    assert len(got) == 3000 and sum(x == "test" for x in got.values()) == 300
