@@ -591,3 +591,16 @@ def test_a_split_moves_only_the_rows_of_cut_buckets(spark):
         names = [got[i] for i in order]
         assert names == sorted(names, key=("test", "validation", "train").index) and set(names) == set(SP.SPLITS)
     assert len(got) == 3000 and sum(x == "test" for x in got.values()) == 300
+
+
+def test_lemmas_are_the_same_in_place_and_joined(spark):
+    from quire.operators import lemmas as LM
+    table = spark.createDataFrame([("went", "go"), ("cats", "cat"), ("go", "go")], "word string, lemma string")
+    rows = [(1, [["cats", "went", "x"], []]), (2, [["go"]]), (3, [["went"], ["cats", "y"]]), (3, [["cats", "a"]]), (None, [["cats"]]), (5, [])]
+    rows += [(k, [["cats", str(k)]] * (k % 3)) for k in range(10, 40)]
+    df = spark.createDataFrame(rows, "id int, segs array<array<string>>").coalesce(1)
+    alone = df.filter("id IS NULL OR id <> 3")
+    assert "Exchange" not in LM.lemmatise(alone, "id", "segs", table)._jdf.queryExecution().executedPlan().toString()
+    for some in (df, alone, df.limit(3).filter("id = 2")):
+        here, joined = (sorted(map(str, LM.lemmatise(some, "id", "segs", table, in_place=n).collect())) for n in (2, 0))
+        assert here == joined and len(here) == some.select("id").distinct().count()
